@@ -8,8 +8,9 @@ LOGS_FOLDER = "AWSLogs/"
 TRAIL_FOLDER = "CloudTrail"
 ORG_PATTERN = r"o-[^/]*"
 
-# The organization level is taken whenever it is there (possessive `?+`).
-ACCOUNT_PATTERN = rf"^(?:({ORG_PATTERN})/)?+([^/]+)/"
+# Below the base prefix. The organization level is taken whenever it is there
+# (possessive `?+`).
+ACCOUNT_PATTERN = rf"(?:({ORG_PATTERN})/)?+([^/]+)/"
 PAIR_PATTERN = rf"{ACCOUNT_PATTERN}{TRAIL_FOLDER}/([^/]+)/"
 
 
@@ -35,18 +36,16 @@ def search_prefix(base, org, account, region=None) -> Column:
     return F.concat(*parts)
 
 
-def below_base(key, prefix) -> Column:
-    """The part of a key below its trail's base prefix, '' when it lies elsewhere."""
-    base = base_prefix(prefix)
-    k = _text(key)
-    return F.when(F.startswith(k, base), F.substring(k, F.length(base) + 1, F.length(k))).otherwise("")
+def extract_below(key, prefix, pattern: str, group: int) -> Column:
+    """A group of `pattern` right below the base prefix of a key, '' where it does not match."""
+    anchored = F.concat(F.lit(r"^\Q"), base_prefix(prefix), F.lit(r"\E" + pattern))
+    return F.call_function("regexp_extract", F.col(key) if isinstance(key, str) else key, anchored, F.lit(group))
 
 
 def parse_object_key(objects: DataFrame) -> DataFrame:
     """Add `org_id`, `account_id`, `region`; '' where the key has no such folder."""
-    below = below_base("key", "prefix")
     return objects.withColumns({
-        name: F.regexp_extract(below, PAIR_PATTERN, i)
+        name: extract_below("key", "prefix", PAIR_PATTERN, i)
         for i, name in enumerate(("org_id", "account_id", "region"), start=1)
     })
 

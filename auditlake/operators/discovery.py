@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ACCOUNT_PATTERN, below_base, is_account_id, parse_object_key
+from ..functions.paths import ACCOUNT_PATTERN, extract_below, is_account_id, parse_object_key
 from ..schemas import LOG_SUFFIX
 
 
@@ -15,11 +15,10 @@ def _known_account(strict_accounts: bool) -> Column:
 
 def discover_accounts(objects: DataFrame, strict_accounts: bool = False) -> DataFrame:
     """Distinct `(bucket, org_id, account_id)`, with or without trail logs in them."""
-    below = below_base("key", "prefix")
     return (objects
             .select("bucket",
-                    F.regexp_extract(below, ACCOUNT_PATTERN, 1).alias("org_id"),
-                    F.regexp_extract(below, ACCOUNT_PATTERN, 2).alias("account_id"))
+                    extract_below("key", "prefix", ACCOUNT_PATTERN, 1).alias("org_id"),
+                    extract_below("key", "prefix", ACCOUNT_PATTERN, 2).alias("account_id"))
             .filter(_known_account(strict_accounts))
             .distinct())
 

@@ -1,6 +1,6 @@
 """Log files: gzip of one JSON value `{"Records": [...]}`."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import decoded
@@ -18,6 +18,12 @@ READ_OPTIONS = {
 }
 
 
+def corrupt() -> Column:
+    """`_corrupt`, tied to `Records`: the reader refuses to read the former alone."""
+    bad = F.col("_corrupt")
+    return F.when(F.col("Records").isNull() | bad.isNotNull(), bad).alias("_corrupt")
+
+
 def read_log_files(spark: SparkSession, paths) -> DataFrame:
     """`(path, Records, _corrupt)`.
 
@@ -25,7 +31,7 @@ def read_log_files(spark: SparkSession, paths) -> DataFrame:
     all, which only shows against the listing.
     """
     files = spark.read.schema(LOG_FILE).options(**READ_OPTIONS).json(paths)
-    return files.select(decoded("_metadata.file_path").alias("path"), "Records", "_corrupt")
+    return files.select(decoded("_metadata.file_path").alias("path"), "Records", corrupt())
 
 
 def explode_records(files: DataFrame, file_rows: bool = False) -> DataFrame:

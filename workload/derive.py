@@ -60,8 +60,26 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.withColumn("trail_rank", F.explode(copies)).withColumn("trail", names)
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, what: str, make) -> str:
+    """The folder `make(path)` filled, made at the first call of the application."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _written:
+        path = scratch(spark, what)
+        make(path)
+        _written[key] = path
+    return _written[key]
+
+
 def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An object listing: one object per account, region and hour."""
+    """An object inventory table: one object per account, region and hour."""
+    path = once(spark, sf_dir, "inventory", lambda at: _listing(spark, sf_dir).write.parquet(at))
+    return spark.read.parquet(path)
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_org = F.col("acct") <= "000000000003"
     stamp = F.concat(F.replace(F.substring("hr", 1, 10), F.lit("-"), F.lit("")), F.lit("T"),
                      F.substring("hr", 12, 2), F.lit("00Z"))
@@ -123,23 +141,19 @@ def write_log_files(files: DataFrame, root: str) -> int:
     return at.mapInPandas(_write_batches, "path string").count()
 
 
-_written: dict[tuple[str, str], str] = {}
+def _write_stored(spark: SparkSession, sf_dir: str, root: str) -> None:
+    files = log_files(spark, sf_dir).select("acct", "key", "body")
+    names = F.when(F.col("acct") == "000000000003",
+                   F.array("key", F.concat("key", F.lit(".tmp")))).otherwise(F.array("key"))
+    write_log_files(files.withColumn("key", F.explode(names)), root)
 
 
 def stored_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Root folder of the log files of `sf_dir`, written once per application.
+    """Root folder of the log files of `sf_dir`.
 
     Beside each file of account 3 lies an unfinished upload that no reader may touch.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        root = scratch(spark, "logs")
-        files = log_files(spark, sf_dir).select("acct", "key", "body")
-        names = F.when(F.col("acct") == "000000000003",
-                       F.array("key", F.concat("key", F.lit(".tmp")))).otherwise(F.array("key"))
-        write_log_files(files.withColumn("key", F.explode(names)), root)
-        _written[key] = root
-    return _written[key]
+    return once(spark, sf_dir, "logs", lambda root: _write_stored(spark, sf_dir, root))
 
 
 def options_for(root: str, **changes) -> IngestOptions:

@@ -273,10 +273,10 @@ def _routes(lines: DataFrame) -> DataFrame:
     return lines.groupBy(fn.route_key().alias("route")).agg(F.count(F.lit(1)).alias("events"))
 
 
-def _ingested(spark, sf_dir, **options) -> str:
-    logs, root = d.stored_logs(spark, sf_dir), scratch(spark, "lake")
-    ingest_batch(spark, d.TRAILS, root, d.options_for(logs, **options))
-    return root
+def _ingested(spark, sf_dir) -> str:
+    """The tables of one full ingest, shared by the queries that look at them."""
+    logs = d.stored_logs(spark, sf_dir)
+    return d.once(spark, sf_dir, "lake", lambda root: ingest_batch(spark, d.TRAILS, root, d.options_for(logs)))
 
 
 def ingest(spark, sf_dir):
@@ -302,10 +302,10 @@ def ingest_incremental(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir) -> str:
-    logs, root = d.stored_logs(spark, sf_dir), scratch(spark, "lake")
+    logs = d.stored_logs(spark, sf_dir)
     options = d.options_for(logs, late="file_log", max_files=5000)
-    st.stream_ingest(spark, d.TRAILS, root, scratch(spark, "stream"), options, once=True).awaitTermination()
-    return root
+    return d.once(spark, sf_dir, "stream-lake", lambda root: st.stream_ingest(
+        spark, d.TRAILS, root, scratch(spark, "stream"), options, once=True).awaitTermination())
 
 
 def stream_ingest(spark, sf_dir):
