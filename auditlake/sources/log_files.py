@@ -41,9 +41,11 @@ def explode_records(files: DataFrame, file_rows: bool = False) -> DataFrame:
     the same pass over the data tells which files were read.
     """
     others = [c for c in files.columns if c != "Records"]
-    if not file_rows:
-        return files.select(*others, F.posexplode("Records").alias("ordinal", "raw"))
+    # Not the bare column: a filter on it that reaches the JSON parser makes files
+    # with a repeated "Records" key look bad.
     records = F.coalesce("Records", F.array().cast("array<string>"))
+    if not file_rows:
+        return files.select(*others, F.posexplode(records).alias("ordinal", "raw"))
     marked = files.select(*others, F.posexplode(F.array_prepend(records, F.lit(None).cast("string")))
                           .alias("ordinal", "raw"))
     return marked.withColumn("ordinal", F.col("ordinal") - 1)

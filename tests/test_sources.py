@@ -1,0 +1,116 @@
+"""Listing and reading of log files, good and bad."""
+
+import pytest
+
+from auditlake import Trail
+from auditlake.functions import object_key
+from auditlake.operators import discover_account_regions, discover_accounts, reject_files
+from auditlake.sources import explode_records, list_objects, read_log_files
+from auditlake.sources.paths import load_or_empty
+
+from helpers import TRAIL, key, log, options, put, rows
+
+
+def scan(spark, root):
+    files = read_log_files(spark, f"{root}/b").withColumn("key", object_key("path", f"{root}/b"))
+    return files
+
+
+EXACT = [
+    '{"n":1.50e3}', '{"n":0.12345678901234567890123}', '{"s":"\\u00e9 é"}', '{"a" : [ 1,  2 ]}',
+    '{"nested":{"Records":[{"x":"}]"}]}}', '{"s":"a\\nb\\u0001"}',
+]
+
+
+def test_records_keep_their_bytes(spark, tmp_path):
+    put(tmp_path, key("x.json.gz"), log(*EXACT))
+    pretty = '{\n  "Records": [\n    {\n      "a": 1\n    },\n    {"b": 2}\n  ],\n  "more": 1\n}\n'
+    put(tmp_path, key("y.json.gz"), pretty)
+    got = explode_records(scan(spark, tmp_path)).orderBy("key", "ordinal").select("ordinal", "raw").collect()
+    assert [r.raw for r in got] == [*EXACT, '{\n      "a": 1\n    }', '{"b": 2}']
+    assert [r.ordinal for r in got] == [0, 1, 2, 3, 4, 5, 0, 1]
+
+
+FILES = {
+    # name: (body, write options, records or None if the file is bad)
+    "good": (log('{"a":1}'), {}, ['{"a":1}']),
+    "trailing": (log('{"a":1}') + ' {"x":', {}, ['{"a":1}']),
+    "no-records": ('{"other":1}', {}, []),
+    "null-records": ('{"Records":null}', {}, []),
+    "empty-records": ('{"Records":[]}', {}, []),
+    "repeated-key": ('{"Records":[1],"Records":[2]}', {}, ["2"]),
+    "elements": (log("null", "5", '"str"'), {}, [None, "5", "str"]),
+    "cut-json": (log('{"a":1}')[:-1], {}, None),
+    "string-records": ('{"Records":"x"}', {}, None),
+    "object-records": ('{"Records":{"a":1}}', {}, None),
+    "empty": ("", {}, None),
+    "blank": (" \n ", {}, None),
+    "not-gzip": (log('{"a":1}'), {"compress": False}, None),
+    "cut-gzip": (log(*['{"a":%d}' % (i * 7919) for i in range(5000)]), {"cut": 2000}, None),
+}
+
+
+def test_bad_files_are_found_and_others_read(spark, tmp_path):
+    for name, (body, how, _) in FILES.items():
+        put(tmp_path, key(f"{name}.json.gz"), body, **how)
+    files = scan(spark, tmp_path)
+    listed = list_objects(spark, [TRAIL], options(tmp_path)).select("key")
+    bad = {k.split("/")[-1].split(".")[0] for k, in rows(reject_files(listed, files), "key")}
+    assert bad == {n for n, (_, _, records) in FILES.items() if records is None}
+    got = {}
+    for r in explode_records(files).filter("_corrupt is null").orderBy("key", "ordinal").collect():
+        got.setdefault(r.key.split("/")[-1].split(".")[0], []).append(r.raw)
+    assert {n: got.get(n, []) for n, (_, _, r) in FILES.items() if r is not None} == {
+        n: r for n, (_, _, r) in FILES.items() if r is not None}
+
+
+def test_file_rows(spark, tmp_path):
+    put(tmp_path, key("a.json.gz"), log('{"a":1}', "null"))
+    put(tmp_path, key("b.json.gz"), '{"Records":null}')
+    put(tmp_path, key("c.json.gz"), "{")
+    got = rows(explode_records(scan(spark, tmp_path), file_rows=True).selectExpr(
+        "right(key, 9) as k", "ordinal", "coalesce(raw, '-') as raw", "_corrupt is not null as bad"))
+    assert got == [("a.json.gz", -1, "-", False), ("a.json.gz", 0, '{"a":1}', False), ("a.json.gz", 1, "-", False),
+                   ("b.json.gz", -1, "-", False), ("c.json.gz", -1, "-", True)]
+
+
+def test_listing_takes_log_files_of_the_trail_only(spark, tmp_path):
+    mine = [key("2024/01/01/a.json.gz", prefix="p"), key("b c%41+é.json.gz", prefix="p", org="o-1")]
+    for k in [*mine, key("c.json.gz.tmp", prefix="p"), key("d.json", prefix="p"), key("e.json.gz"),
+              key("f.json.gz", prefix="p/q")]:
+        put(tmp_path, k, log())
+    found = list_objects(spark, [Trail("t", "b", "p")], options(tmp_path))
+    assert rows(found, "key") == sorted((k,) for k in mine)
+    assert found.first().trail == "t" and found.first().size > 0
+    keys = scan(spark, tmp_path).select("key")
+    assert set(mine) <= {k for k, in rows(keys)}
+
+
+def test_listing_of_a_missing_folder_is_empty(spark, tmp_path):
+    assert list_objects(spark, [Trail("t", "b", "none")], options(tmp_path)).count() == 0
+
+
+def test_unreadable_table_fails(spark, tmp_path):
+    (tmp_path / "x.parquet").write_bytes(b"junk")
+    with pytest.raises(Exception):
+        load_or_empty(spark, "a int", lambda: spark.read.parquet(str(tmp_path))).collect()
+
+
+def test_discovery_rules(spark):
+    keys = [
+        ("", key("a.json.gz")), ("", key("a.json.gz", account="12345")),
+        ("", key("a.json.gz", account="12345", org="o-1")), ("", key("a.json.gz", org="o-2")),
+        ("", "AWSLogs/000000000007/CloudTrail-Digest/us-east-1/a.json.gz"),
+        ("", "AWSLogs/o-3/CloudTrail/us-east-1/a.json.gz"),
+        ("", "AWSLogs/a.json.gz"), ("", "else/AWSLogs/000000000008/CloudTrail/r/a.json.gz"),
+        ("CloudTrail/x", key("a.json.gz", account="000000000009", prefix="CloudTrail/x")),
+    ]
+    objects = spark.createDataFrame([("b", p, k) for p, k in keys], "bucket string, prefix string, key string")
+    assert rows(discover_accounts(objects), "org_id", "account_id") == [
+        ("", "000000000001"), ("", "000000000007"), ("", "000000000009"),
+        ("o-1", "12345"), ("o-2", "000000000001"), ("o-3", "CloudTrail")]
+    assert rows(discover_accounts(objects, strict_accounts=True), "org_id", "account_id") == [
+        ("", "000000000001"), ("", "000000000007"), ("", "000000000009"), ("o-2", "000000000001")]
+    assert rows(discover_account_regions(objects), "org_id", "account_id", "region") == [
+        ("", "000000000001", "us-east-1"), ("", "000000000009", "us-east-1"),
+        ("o-1", "12345", "us-east-1"), ("o-2", "000000000001", "us-east-1")]
