@@ -16,12 +16,13 @@ def spark(tmp_path_factory):
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.driver.memory", "8g")
-               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-               # No checksum files: each costs a forked chmod on a local disk.
-               .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem"))
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))))
     for k, v in RECOMMENDED.items():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    # No checksum files: each costs forked chmods on a local disk.
+    local = session._jvm.org.apache.hadoop.fs.FileSystem.getLocal(session._jsc.hadoopConfiguration())
+    local.setWriteChecksum(False)
     yield session
     session.stop()
