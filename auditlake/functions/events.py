@@ -14,24 +14,46 @@ RFC3339 = (
     r"(?:Z|[+-](?:[01]\d|2[0-4]):(?:[0-5]\d|60))\z"
 )
 
-# A read field that may hold something other than text or null, or a key that may
-# be written with escapes. Only such records are parsed a second time, typed.
-SUSPECT = (
-    r'"(?:eventTime|eventID|awsRegion|recipientAccountId|accountId)"\s*:\s*[^"n\s]'
-    r"|\\u00[4-7]"
-)
 TEXT_FIELDS = ["eventTime", "eventID", "awsRegion", "recipientAccountId", "userIdentity.accountId"]
 
+# How a JSON value that is no text looks once it was read as text.
+NOT_TEXT = r"^(?:[-+]?\d[\d.eE+-]*|[{\[].*|true|false|NaN|[-+]?(?:INF|Inf|Infinity))\z"
+
+# The end of both account keys; a pattern that starts with plain letters is found fast.
+UNQUOTED_ACCOUNT = r'ccountId"(?!:")'
+
+
+def _looks_untyped(c: Column) -> Column:
+    return F.rlike(c, F.lit("(?s)" + NOT_TEXT))
+
+
+def _escaped_letters(raw: Column) -> Column:
+    """A key may be written with escapes such as \\u0041."""
+    def has(text: str) -> Column:
+        return F.contains(raw, F.lit(text))
+
+    return has("\\u00") & reduce(lambda a, b: a | b, [has(f"\\u00{d}") for d in "4567"])
+
+
+def _wrong_type(raw: Column, e: Column) -> Column:
+    """A read field holds something other than text or null.
+
+    Few records can: those are parsed once more, with types. Account ids are digits
+    in any case, so there it counts whether each such key is directly followed by `:"`.
+    """
+    suspect = (
+        _looks_untyped(F.coalesce(e.getField("eventID"), F.lit("")))
+        | _looks_untyped(F.coalesce(e.getField("awsRegion"), F.lit("")))
+        | _looks_untyped(F.coalesce(e.getField("eventTime"), F.lit("")))
+        | F.rlike(raw, F.lit(UNQUOTED_ACCOUNT)) | _escaped_letters(raw))
+
+    def wrong(typed: Column) -> Column:
+        fields = [reduce(lambda c, name: c.getField(name), f.split("."), typed) for f in TEXT_FIELDS]
+        kinds = [F.coalesce(F.schema_of_variant(f), F.lit("VOID")) for f in fields]
+        return reduce(lambda a, b: a | b, [~k.isin("STRING", "VOID") for k in kinds])
 
-def _wrong_type(raw: Column) -> Column:
-    typed = F.from_json(raw, TYPED_EVENT)
-    wrong = [
-        ~F.coalesce(F.schema_of_variant(typed.getField(f) if "." not in f
-                                        else typed.getField(f.split(".")[0]).getField(f.split(".")[1])),
-                    F.lit("VOID")).isin("STRING", "VOID")
-        for f in TEXT_FIELDS
-    ]
-    return F.when(F.rlike(raw, F.lit(SUSPECT)), reduce(lambda a, b: a | b, wrong)).otherwise(False)
+    # As a lambda, the check stays out of the generated code of the common case.
+    return F.when(suspect, F.exists(F.array(F.from_json(raw, TYPED_EVENT)), wrong)).otherwise(False)
 
 
 def project_minimal(records: DataFrame, strict: bool = True) -> DataFrame:
@@ -40,11 +62,14 @@ def project_minimal(records: DataFrame, strict: bool = True) -> DataFrame:
     Missing ids and regions become ''. With `strict`, a field of another JSON type
     than text makes the record malformed; without, it is taken as its text.
     """
-    raw = F.col("raw")
-    parsed = records.withColumn("_e", F.from_json(raw, MINIMAL_EVENT, {"columnNameOfCorruptRecord": "_bad"}))
-    malformed = F.col("_e").isNull() | F.col("_e._bad").isNotNull()
+    raw, e = F.col("raw"), F.col("_e")
+    event = F.from_json(raw, MINIMAL_EVENT, {"columnNameOfCorruptRecord": "_bad"})
+    # Out of a one-element array: a later filter on the fields cannot move below it,
+    # which would parse every record twice.
+    parsed = records.select("*", F.explode(F.array(event)).alias("_e"))
+    malformed = e.isNull() | F.col("_e._bad").isNotNull()
     if strict:
-        malformed = malformed | _wrong_type(raw)
+        malformed = malformed | _wrong_type(raw, e)
     return parsed.withColumns({
         "malformed": malformed,
         "event_time": F.coalesce(F.col("_e.eventTime"), F.lit("")),
