@@ -42,9 +42,11 @@ def mark_duplicates(records: DataFrame, order: Sequence[str] = ARRIVAL, min_rows
     """
     place = F.struct(*order)
     firsts = records.groupBy("event_id").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("copies"))
-    hot = hot_keys(firsts, ["event_id"], min_rows=min_rows)
-    marked = salted_join(records, firsts.drop("copies"), ["event_id"], "inner", hot, list(order))
-    return marked.withColumn("is_duplicate", place != F.col("_first")).drop("_first")
+    # Asks for all columns of `firsts`, so that both uses share one shuffle.
+    hot = hot_keys(firsts.filter(F.col("_first").isNotNull()), ["event_id"], min_rows=min_rows)
+    marked = salted_join(records, firsts, ["event_id"], "inner", hot, list(order))
+    later = place != F.col("_first")
+    return marked.withColumn("is_duplicate", later & (F.col("copies") > 1)).drop("_first", "copies")
 
 
 def drop_seen(records: DataFrame, seen: DataFrame, spread: Sequence[str] = ARRIVAL, unique: bool = False,

@@ -22,7 +22,8 @@ class IngestOptions:
     dedup: Literal["exact", "approx"] = "exact"
     bloom_items: int = 100_000_000
     bloom_fpp: float = 0.001
-    # "high_water" never reads keys at or below the last one of their pair.
+    # Streams only: "high_water" never reads keys at or below the last one of their
+    # pair, as a batch run always does; "file_log" reads every new file.
     late: Literal["file_log", "high_water"] = "high_water"
     # A record of wrong JSON type in a read field is malformed.
     strict: bool = True
@@ -37,3 +38,5 @@ class IngestOptions:
     # How often a file that could not be read is tried.
     max_attempts: int = 3
     flush_seconds: int = 30
+    # Runs after which the ids of all runs so far are merged into one folder.
+    compact_every: int = 100

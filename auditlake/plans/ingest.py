@@ -28,8 +28,8 @@ from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
 from ..session import drop_scratch, scratch
-from ..sinks import (write_bloom, write_checkpoints, write_events, write_failed_files, write_metrics,
-                     write_seen)
+from ..sinks import (compact_seen, write_bloom, write_checkpoints, write_events, write_failed_files,
+                     write_metrics, write_seen)
 from ..sources.listing import distinct_objects, list_objects
 from ..sources.log_files import explode_records, read_log_files
 from ..sources.tables import (committed_runs, read_bloom, read_checkpoints, read_failed_files, read_metrics,
@@ -189,6 +189,8 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
                              "elapsed_seconds": F.lit(time.time() - started)}))
     write_metrics(metrics, root, run_id)
     drop_scratch(spark, work)
+    if seq % options.compact_every == 0:
+        compact_seen(spark, root)
     return add_rates(read_metrics(spark, root).filter(F.col("run_id") == run_id))
 
 

@@ -1,7 +1,7 @@
 from .events import event_lines, write_events
-from .tables import write_bloom, write_checkpoints, write_failed_files, write_metrics, write_seen
+from .tables import compact_seen, write_bloom, write_checkpoints, write_failed_files, write_metrics, write_seen
 
 __all__ = [
-    "event_lines", "write_bloom", "write_checkpoints", "write_events", "write_failed_files",
+    "compact_seen", "event_lines", "write_bloom", "write_checkpoints", "write_events", "write_failed_files",
     "write_metrics", "write_seen",
 ]

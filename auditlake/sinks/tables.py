@@ -3,16 +3,30 @@
 A repeated run of the same id replaces its own folder and no other.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import BLOOM, CHECKPOINT, FAILED_FILE, METRICS
-from ..sources.tables import table_path
+from ..sources.tables import committed_runs, read_seen, table_path
 
 
-def write_seen(seen: DataFrame, root: str, run_id: str) -> None:
+def write_seen(seen: DataFrame, root: str, run_id: str, table: str = "seen") -> None:
     """Append a run's ids, in folders by event date."""
     (seen.select("event_id", "event_date").hint("rebalance", "event_date")
-     .write.mode("overwrite").partitionBy("event_date").parquet(table_path(root, "seen", run_id)))
+     .write.mode("overwrite").partitionBy("event_date").parquet(table_path(root, table, run_id)))
+
+
+def compact_seen(spark: SparkSession, root: str) -> None:
+    """Merge the ids of all committed runs into one folder, so that reading them stays cheap.
+
+    The folder counts once its mark is written; the runs' own folders stay as they are.
+    """
+    runs = committed_runs(spark, root)
+    if not runs:
+        return
+    seq, last = runs[-1]
+    write_seen(read_seen(spark, root, [r for _, r in runs]), root, last, "seen_base")
+    (spark.range(1).selectExpr(f"{seq}L as seq").coalesce(1)
+     .write.mode("overwrite").json(table_path(root, "seen_base_done", last)))
 
 
 def write_checkpoints(checkpoints: DataFrame, root: str, run_id: str) -> None:

@@ -64,10 +64,25 @@ def read_bloom(spark: SparkSession, root: str, runs=None) -> DataFrame | None:
         return None
 
 
+def seen_bases(spark: SparkSession, root: str) -> set[str]:
+    """Run ids up to which all ids were merged into one folder."""
+    done = load_or_empty(spark, "run_id string",
+                         lambda: spark.read.schema("seq bigint, run_id string").json(table_path(root, "seen_base_done")))
+    return {r.run_id for r in done.select("run_id").collect()}
+
+
 def read_seen(spark: SparkSession, root: str, runs=None) -> DataFrame:
-    """Ids of all events written by committed runs."""
-    return _read_runs(spark, root, "seen", SEEN, _runs(spark, root, runs),
-                      lambda reader, paths: reader.parquet(*paths))
+    """Ids of all events written by committed runs: the last merged folder and what came after."""
+    runs = _runs(spark, root, runs)
+    bases = seen_bases(spark, root)
+    merged = max((i for i, r in enumerate(runs) if r in bases), default=-1)
+
+    def read(reader, paths):
+        return reader.parquet(*paths).select(*SEEN.names)
+
+    old = _read_runs(spark, root, "seen_base", SEEN, runs[merged:merged + 1] if merged >= 0 else [], read)
+    new = _read_runs(spark, root, "seen", SEEN, runs[merged + 1:], read)
+    return new if merged < 0 else old if merged + 1 == len(runs) else old.unionByName(new)
 
 
 def read_events(spark: SparkSession, root: str, runs=None) -> DataFrame:

@@ -92,6 +92,18 @@ def test_many_small_runs_equal_one(spark, tmp_path):
         (a, key("4.json.gz", account=a), 5) for a in ("000000000001", "000000000002")]
 
 
+@pytest.mark.parametrize("every", [1, 2])
+def test_merged_ids_are_all_ids(spark, tmp_path, every):
+    for i in range(3):
+        put(tmp_path, key(f"{i}.json.gz"), log(*[event(f"e{j}") for j in range(2 * i, 2 * i + 3)]))
+    m = run(spark, tmp_path, max_files=1, compact_every=every)
+    assert (m["events_written"], m["events_duplicate"]) == (7, 2)
+    lake = str(tmp_path / "lake")
+    merged = [f"run_id={r}" for seq, r in committed_runs(spark, lake) if seq % every == 0]
+    assert sorted(os.listdir(f"{lake}/seen_base_done")) == merged
+    assert rows(read_seen(spark, lake), "event_id") == [(f"e{j}",) for j in range(7)]
+
+
 def test_a_broken_run_leaves_no_trace(spark, tmp_path, monkeypatch):
     put(tmp_path, key("1.json.gz"), log(event("a"), event("b")))
 

@@ -335,7 +335,8 @@ def stream_resume(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     logs, out, state = d.stored_logs(spark, sf_dir), scratch(spark, "events"), scratch(spark, "stream")
     events = st.stream_dedup(st.stream_events(st.stream_log_files(spark, f"{logs}/{d.BUCKET}", 10_000)))
-    st.stream_write(events, f"{out}/events/run_id=1", state, once=True).awaitTermination()
+    # Hours are small here.
+    st.stream_write(events, f"{out}/events/run_id=1", state, once=True, spread=1).awaitTermination()
     return _routes(src.read_events(spark, out, ["1"]))
 
 
