@@ -48,8 +48,9 @@ def checkpoint_marks(objects: DataFrame, every: int = 100) -> DataFrame:
     path = scratch(spark, "marks")
     (objects.select(*PAIR, "key").repartitionByRange(*PAIR, "key")
      .withColumn("_slot", F.spark_partition_id()).write.parquet(path))
-    numbered = running_number(spark.read.parquet(path), PAIR, ["_slot"], ["key"])
-    last = numbered.groupBy(*PAIR).agg(F.max("key").alias("_last"))
+    placed = spark.read.parquet(path)
+    numbered = running_number(placed, PAIR, ["_slot"], ["key"])
+    last = placed.groupBy(*PAIR).agg(F.max("key").alias("_last"))
     marked = lookup_join(numbered, last, PAIR, spread=["key"])
     return (marked.withColumn("is_last", F.col("key") == F.col("_last"))
             .filter((F.col("_number") % every == 0) | F.col("is_last"))

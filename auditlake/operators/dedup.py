@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .skew import HOT_ROWS, hot_keys, salted_join
@@ -49,6 +49,15 @@ def mark_duplicates(records: DataFrame, order: Sequence[str] = ARRIVAL, min_rows
     return marked.withColumn("is_duplicate", later & (F.col("copies") > 1)).drop("_first", "copies")
 
 
+def same_dates(records: DataFrame, most: int = 1000) -> Column:
+    """A filter that skips folders of `event_date`s the records do not have."""
+    dates = [r.event_date for r in records.select("event_date").distinct().limit(most + 1).collect()]
+    if len(dates) <= most:
+        return F.col("event_date").isin(dates)
+    low, high = records.agg(F.min("event_date"), F.max("event_date")).first()
+    return F.col("event_date").between(low, high)
+
+
 def drop_seen(records: DataFrame, seen: DataFrame, spread: Sequence[str] = ARRIVAL, unique: bool = False,
               prune_by_date: bool = False, min_rows: int = HOT_ROWS) -> DataFrame:
     """Records whose id is not in `seen`.
@@ -57,7 +66,10 @@ def drop_seen(records: DataFrame, seen: DataFrame, spread: Sequence[str] = ARRIV
     `dedup_first`): then no id can be hot. With `prune_by_date` only ids of the same
     event date are compared, so that `seen`, partitioned by it, is read in part.
     """
-    keys = ["event_id", "event_date"] if prune_by_date else ["event_id"]
+    keys = ["event_id"]
+    if prune_by_date:
+        keys.append("event_date")
+        seen = seen.filter(same_dates(records))
     seen = seen.select(*keys)
     if unique:
         return records.join(seen, keys, "left_anti")

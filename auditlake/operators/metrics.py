@@ -14,6 +14,17 @@ def reject_counts(records: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("events")))
 
 
+def observe_outcomes(records: DataFrame, name: str = "outcomes") -> DataFrame:
+    """The same rows; their outcomes are counted on the way, for progress reports.
+
+    A repeated task counts again, so the counters of a run are not taken from here.
+    """
+    reason = F.col("reject_reason")
+    return records.observe(
+        name, F.count(F.lit(1)).alias("events"),
+        *[F.count_if(reason == r).alias(r) for r in REJECT_REASONS])
+
+
 def event_metrics(groups: DataFrame) -> DataFrame:
     """Event counters from groups of equal records.
 

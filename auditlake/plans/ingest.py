@@ -20,7 +20,7 @@ from ..functions.naming import add_rates
 from ..functions.paths import bare_path, glob_literal
 from ..operators.bloom import bloom_build, bloom_merge, bloom_probe
 from ..operators.checkpoints import advance_checkpoints, merge_checkpoints, pending_objects
-from ..operators.dedup import ARRIVAL
+from ..operators.dedup import ARRIVAL, same_dates
 from ..operators.discovery import log_objects
 from ..operators.metrics import run_metrics
 from ..operators.numbering import running_number
@@ -119,23 +119,13 @@ def _mark_seen(groups: DataFrame, root, runs, options: IngestOptions, work: str)
         keys.append("event_date")
         groups.write.parquet(f"{work}/groups")
         groups = spark.read.parquet(f"{work}/groups")
-        seen = seen.filter(_dates_of(groups))
+        seen = seen.filter(same_dates(groups.filter(F.col("kind") == EVENT)))
     # Same key and same partitioning as the groups: only the ids are shuffled here.
     known = (seen.withColumn("group_id", F.concat(F.lit(EVENT), F.col("event_id")))
              .groupBy(*keys).agg(F.lit(True).alias("_known")))
     return groups.join(known, keys, "left").withColumn("is_seen", F.col("_known").isNotNull()).drop("_known")
 
 
-def _dates_of(groups: DataFrame, most: int = 1000):
-    """A filter on `event_date` that skips folders of dates the groups do not have."""
-    events = groups.filter(F.col("kind") == EVENT).select("event_date")
-    dates = [r.event_date for r in events.distinct().limit(most + 1).collect()]
-    if len(dates) <= most:
-        return F.col("event_date").isin(dates)
-    low, high = events.agg(F.min("event_date"), F.max("event_date")).first()
-    return F.col("event_date").between(low, high)
-
-
 def known_sketch(spark, root, runs, options: IngestOptions) -> DataFrame:
     """The last run's sketch, or one of all ids where that run kept none."""
     sketch = read_bloom(spark, root, runs)
@@ -163,7 +153,9 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
     files.write.parquet(f"{work}/files")
     files = spark.read.schema(FAILED_FILE).parquet(f"{work}/files")
     groups = group_rows(scan_records(spark, files), options)
-    _mark_seen(groups, root, run_ids, options, work).write.parquet(f"{work}/staged")
+    marked = _mark_seen(groups, root, run_ids, options, work)
+    # Known events are only counted.
+    marked.withColumn("raw", F.when(~F.col("is_seen"), F.col("raw"))).write.parquet(f"{work}/staged")
     staged = spark.read.parquet(f"{work}/staged")
 
     new = staged.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen"))

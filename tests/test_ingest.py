@@ -1,7 +1,9 @@
 """Whole runs, batch and stream."""
 
 import collections
+import json
 import os
+import time
 
 import pytest
 
@@ -9,7 +11,7 @@ from auditlake import Trail, ingest_batch
 from auditlake.plans import ingest as plan
 from auditlake.sources import (committed_runs, read_bloom, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
-from auditlake.streaming import (checkpoint_table, stream_dedup, stream_events, stream_ingest, stream_log_files,
+from auditlake.streaming import (ProgressLog, checkpoint_table, stream_dedup, stream_events, stream_ingest, stream_log_files,
                                  stream_write)
 
 from helpers import TRAIL, event, key, log, options, put, rows
@@ -229,6 +231,25 @@ def test_declarative_stream(spark, tmp_path, horizon, expect):
     assert read_events(spark, str(tmp_path / "lake"), ["1"]).count() == expect
 
 
+def test_progress_is_logged(spark, tmp_path, caplog):
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        put(tmp_path, key("1.json.gz"), log(event("a"), event("b"), event("c", time="no"), event(7)))
+        with caplog.at_level("INFO", "auditlake.progress"):
+            events = stream_events(stream_log_files(spark, str(tmp_path / "b")))
+            stream_write(events, f"{tmp_path}/out", f"{tmp_path}/state", once=True).awaitTermination()
+            for _ in range(100):
+                lines = [json.loads(r.message) for r in caplog.records]
+                if any(x.get("state") == "stopped" for x in lines):
+                    break
+                time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    seen = [x["observed"]["outcomes"] for x in lines if x.get("observed")]
+    assert seen[0] == {"events": 4, "malformed": 1, "bad_time": 1, "no_account": 0}
+
+
 def test_batch_equals_stream(spark, tmp_path):
     for i in range(6):
         put(tmp_path, key(f"{i}.json.gz", region=f"r{i % 2}"), log(*[event(f"e{j}", region=f"r{j % 3}") for j in range(i, i + 5)]))
