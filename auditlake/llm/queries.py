@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import packing, quality, simhash
 from .common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -22,7 +26,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash, op5_quality)}
+        op1_simhash, op3_packing, op5_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

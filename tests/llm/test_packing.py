@@ -1,0 +1,108 @@
+import collections
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from auditlake.llm import packing
+
+from .helpers import EDGE_TEXTS, docs, texts
+
+ODD = ["a<|endoftext|>b c", "<|startoftext|> x", "it's 's'S DON'T", "é ́x", "a\x1cb\x85c d", "İstanbul ΣΑΣ ß",
+       "🙂🙂👨‍👩‍👧 x" * 9, " ", "\t\tq\r\nz", "x" * 500 + " y", "ÀÉ ÿ×÷ 12³ ½ a_b-c"]
+
+
+@pytest.fixture(scope="module")
+def words():
+    return packing.WordEncoder()
+
+
+def test_ids_equal_the_tokenizer(words, spark):
+    values = EDGE_TEXTS + ODD + [" ".join(ODD)] + [
+        r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text, ids in zip(values, words.ids(values), strict=True):
+        assert ids.tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_a_full_cache_only_costs_time(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "TOGETHER", 100)
+    own = packing.WordEncoder()
+    values = [" ".join(f"w{i * j}" for j in range(20)) for i in range(40)]
+    for text, ids in zip(values, own.ids(values), strict=True):
+        assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def check_packing(items, rows, capacity):
+    bins = collections.defaultdict(list)
+    for key, sequence, offset in rows:
+        bins[sequence].append((offset, items[key]))
+    assert sorted(k for k, _, _ in rows) == sorted(items)
+    for members in bins.values():
+        end = 0
+        for offset, size in sorted(members):
+            assert offset == end
+            end += size
+        assert end <= capacity
+    return len(bins)
+
+
+def packed(spark, sizes, capacity, block):
+    items = dict(enumerate(sizes))
+    frame = spark.createDataFrame(list(items.items()), "key long, size long")
+    rows = [tuple(r) for r in packing.pack(frame, capacity, block).collect()]
+    return check_packing(items, rows, capacity), packing.lower_bound(sizes, capacity)
+
+
+def test_packing_of_many_blocks(spark):
+    rng = random.Random(1)
+    used, bound = packed(spark, [min(1000, int(rng.expovariate(1 / 300)) + 1) for _ in range(2000)], 1000, 300)
+    assert used <= bound + 2
+
+
+def test_packing_where_best_fit_is_not_optimal(spark):
+    """Triples that fill bins exactly: falling best fit misses many of them."""
+    rng = random.Random(3)
+    sizes = []
+    for _ in range(40):
+        a, b = rng.randrange(260, 480), rng.randrange(260, 280)
+        sizes += [a, b, 1000 - a - b]
+    plain = len(packing.best_fit(sorted(range(120), key=lambda i: -sizes[i]), sizes, 1000))
+    used, bound = packed(spark, sizes, 1000, 1000)
+    assert bound <= used <= plain
+
+
+def test_crossover_keeps_every_item():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 600, 300).tolist()
+    one = packing.best_fit(rng.permutation(300).tolist(), sizes, 1000)
+    two = packing.best_fit(rng.permutation(300).tolist(), sizes, 1000)
+    for _ in range(20):
+        child = packing.mutate(packing.crossover(one, two, sizes, 1000, rng), sizes, 1000, rng)
+        assert sorted(i for b in child for i in b) == list(range(300))
+        assert all(sum(sizes[i] for i in b) <= 1000 for b in child)
+        one, two = two, child
+
+
+def test_full_and_tiny_items(spark):
+    assert packed(spark, [10] * 7 + [1] * 10, 10, 100)[0] == 8
+    assert packed(spark, [6] * 5, 10, 2)[0] == 5
+    assert packed(spark, [], 10, 5)[0] == 0
+
+
+def test_documents(spark, words):
+    values = EDGE_TEXTS + ["word " * 9000, "some words"]
+    rows = [(i, v) for i, v in enumerate(values)] + [(None, "x"), (9, "some words"), (9, "some words")]
+    got = packing.packed_documents(docs(spark, rows, ", key int, piece string, size int"), block=5).collect()
+    want = collections.Counter()
+    for i, v in rows:
+        ids = np.array(words.tokenizer.encode(v or "", add_special_tokens=False).ids + [1], "<u4")
+        for p, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at:at + 4096]
+            want[i, p, at, len(part), zlib.crc32(part.tobytes())] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    items = {k: r.length for k, r in enumerate(got)}
+    used = check_packing(items, [(k, r.sequence_id, r.offset) for k, r in enumerate(got)], 4096)
+    assert used == packing.lower_bound(list(items.values()), 4096)
+    assert packing.packed_documents(texts(spark, [])).count() == 0
