@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, simhash
+from . import language, packing, quality, secrets, simhash, toxicity
 from .common import read_table
 
 
@@ -28,9 +28,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severities(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash, op2_secrets, op3_packing, op5_quality)}
+        op1_simhash, op2_secrets, op3_packing, op5_quality, op6_language,
+        op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

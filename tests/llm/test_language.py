@@ -1,0 +1,92 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from auditlake.llm import language
+
+from .helpers import EDGE_TEXTS, docs
+
+
+def slow_buckets(text, bits):
+    """The bucket of every n-gram, one at a time."""
+    points = [ord(c) if c.isalpha() else 32 for c in text.lower()] + [32]
+    out = Counter()
+    for at in range(len(points)):
+        mixed = 0
+        for order in (1, 2, 3):
+            if at + order > len(points):
+                break
+            mixed = ((mixed * 0x01000193 + points[at + order - 1] + order) * 0x9E3779B1) % 2**32
+            out[mixed >> (32 - bits)] += 1
+    return out
+
+
+def slow_predict(rows, texts, bits):
+    langs = sorted({lang for _, lang in rows})
+    counts = {lang: sum((slow_buckets(t, bits) for t, g in rows if g == lang), Counter()) for lang in langs}
+    n = Counter(lang for _, lang in rows)
+    out = []
+    for text in texts:
+        total = {}
+        for lang in langs:
+            size = sum(counts[lang].values()) + 0.5 * 2**bits
+            total[lang] = math.log((n[lang] + 1) / (len(rows) + len(langs))) + sum(
+                k * math.log((counts[lang][b] + 0.5) / size) for b, k in slow_buckets(text, bits).items())
+        best = max(langs, key=lambda g: total[g])
+        letters = any(c.isalpha() for c in text)
+        share = 1 / sum(math.exp(v - total[best]) for v in total.values())
+        out.append((best, share) if letters else ("und", 0.0))
+    return out
+
+
+def made(rng, letters, n):
+    return " ".join("".join(rng.choices(letters, k=rng.randrange(1, 7))) for _ in range(n))
+
+
+def test_predictions_against_a_slow_version(spark):
+    rng = random.Random(1)
+    alphabets = {"aa": "abcde", "bb": "cdefgé", "cc": "漢字假名ab"}
+    rows = [(made(rng, a, rng.randrange(1, 20)), lang) for lang, a in alphabets.items() for _ in range(30)]
+    frame = spark.createDataFrame(rows + [(None, "aa"), ("x", None), ("", "dd")], "text string, lang string")
+    model = language.fit(frame)
+    assert model.languages == ["aa", "bb", "cc"]
+    texts = [t or "" for t in EDGE_TEXTS] + [made(rng, rng.choice(list(alphabets.values())), 5) for _ in range(50)]
+    langs, scores = model.predict(texts)
+    want = slow_predict(rows, texts, language.BITS)
+    assert langs == [w[0] for w in want]
+    assert np.allclose(scores, [w[1] for w in want])
+    assert language.Model([], np.zeros((0, 2)), np.zeros(0)).predict(["a"]) == (["und"], [0.0])
+
+
+def test_held_out_accuracy_and_no_leak(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in language.identify(frame).collect()}
+    rows = frame.collect()
+    assert all(got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if got[r.doc_id].held_out]
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) > 0.95 * len(held)
+    # Other langs, sources and texts of held-out rows change nothing that is learned.
+    wrong = frame.withColumn("lang", language.F.when(language.held_out(language.F.col("doc_id")), "xx")
+                             .otherwise(language.F.col("lang"))).drop("source")
+    again = {r.doc_id: r for r in language.identify(wrong).collect()}
+    assert all(again[k].lang_pred == r.lang_pred and math.isclose(again[k].score, r.score) for k, r in got.items())
+
+
+def test_bounded_sample_still_learns(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language.identify(frame, max_rows=20).join(frame, "doc_id")
+    assert got.filter("lang = lang_pred").count() > 0.9 * frame.count()
+
+
+def test_edges(spark):
+    rows = [(i, t, "en") for i, t in enumerate(EDGE_TEXTS)] + [(None, "one two", "en"), (5, "one " * 100000, None)]
+    got = language.identify(docs(spark, rows, ", score int, lang_pred string, p int")).collect()
+    assert len(got) == len(rows)
+    assert {r.lang_pred for r in got if r.doc_id in (0, 1, 2)} == {"und"}
+    assert not [r for r in got if r.doc_id is None][0].held_out
+    assert all(0 <= r.score <= 1 for r in got)
+    assert language.identify(docs(spark, [])).count() == 0
+    assert {r.lang_pred for r in language.identify(docs(spark, [(1, "abc", None)])).collect()} == {"und"}
