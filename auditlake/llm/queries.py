@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, secrets, simhash, toxicity
+from . import language, line_templates, packing, quality, secrets, simhash, toxicity
 from .common import read_table
 
 
@@ -32,6 +32,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_templates.drop_lines(docs, count_col="n_dropped")
+    return cleaned.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -39,7 +45,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_secrets, op3_packing, op5_quality, op6_language,
-        op8_toxicity)}
+        op7_line_dedup, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
