@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_templates, packing, quality, secrets, simhash, toxicity
+from . import language, line_templates, neighbours, packing, quality, secrets, simhash, toxicity
 from .common import read_table
 
 
@@ -42,10 +42,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_secrets, op3_packing, op5_quality, op6_language,
-        op7_line_dedup, op8_toxicity)}
+        op7_line_dedup, op8_toxicity, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
