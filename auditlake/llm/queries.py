@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_templates, neighbours, packing, quality, secrets, simhash, toxicity
+from . import language, line_templates, neighbours, oracles, packing, quality, secrets, simhash, toxicity, warc
 from .common import read_table
 
 
@@ -22,6 +22,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.compare(warc.archive(pages), warc.archive(warc.damaged(pages)))[0]
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -48,9 +53,9 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash, op2_secrets, op3_packing, op5_quality, op6_language,
+        op1_simhash, op2_secrets, op3_packing, op4_warc, op5_quality, op6_language,
         op7_line_dedup, op8_toxicity, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": oracles.OP4}
