@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_templates, neighbours, oracles, packing, quality, secrets, simhash, toxicity, warc
+from . import language, line_templates, neighbours, oracles, packing, pieces, quality, secrets, simhash, toxicity, warc
 from .common import read_table
 
 
@@ -47,6 +47,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -54,7 +58,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_secrets, op3_packing, op4_warc, op5_quality, op6_language,
-        op7_line_dedup, op8_toxicity, op10_neighbours)}
+        op7_line_dedup, op8_toxicity, op9_pieces, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,111 @@
+import random
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from auditlake.llm import pieces
+from auditlake.llm.common import tokenizer_path
+
+from .helpers import EDGE_TEXTS, docs
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(pieces.MODEL))
+
+
+def cases():
+    rng = random.Random(1)
+    out = [t or "" for t in EDGE_TEXTS] + ["a" * n for n in range(40)] + ["▁", "a▁ b", " ▁▁", "<s></s><unk><0x41>"]
+    for letters, most in (("aeistnrlo h", 30), ("aab", 30), ("the of=-_.<>/0123 \n\t漢é🙂▁", 40), ("==--  ", 60)):
+        out += ["".join(rng.choices(letters, k=rng.randrange(1, most))) for _ in range(1500)]
+    return out + [" ".join(out[:500]), "x" * 5000, "ab" * 3000 + " " * 300 + "c"]
+
+
+def test_ids_and_decoding_equal_the_library(library):
+    values = cases()
+    mine = pieces.encoder().encode(values)
+    want = library.encode(values)
+    assert mine == want
+    assert [pieces.encoder().model.decode(x) for x in want] == library.decode(want)
+    odd = [[0, 1, 2, 300], [200, 201, 5000], [3], [259, 1526, 259]]
+    for ids in odd[:1] + odd[3:]:
+        assert pieces.encoder().model.decode(ids) == library.decode(ids)
+
+
+def test_documents_equal_the_library(library, spark):
+    values = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    assert pieces.encoder().encode(values) == library.encode(values)
+
+
+def test_a_full_cache_only_costs_time(library, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 40)
+    monkeypatch.setattr(pieces, "TOGETHER", 200)
+    own = pieces.Encoder(pieces.encoder().model)
+    values = cases()[:300]
+    assert own.encode(values) == library.encode(values)
+
+
+def test_merging_one_by_one_equals_the_search():
+    model = pieces.encoder().model
+    rng = random.Random(4)
+    words = ["▁" + "".join(rng.choices("abcdeinrst", k=9)) for _ in range(500)]
+    assert model.search(words) == [model.merged(w) for w in words]
+
+
+def unigram_model(scored):
+    """A serialised unigram model with byte fallback."""
+    def field(number, kind, body):
+        return bytes([number << 3 | kind]) + body
+
+    def block(number, body):
+        return field(number, 2, bytes([len(body)]) + body)
+
+    named = [("<unk>", 0.0, 2)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] + [(t, s, 1) for t, s in scored]
+    data = b"".join(block(1, block(1, t.encode()) + field(2, 5, struct.pack("<f", s)) + field(3, 0, bytes([k])))
+                    for t, s, k in named)
+    trainer = field(3, 0, b"\x01") + bytes([35 << 3 & 127 | 128, 2, 1])
+    return data + block(2, trainer) + block(3, field(4, 0, b"\x00"))
+
+
+def test_unigram_scores_are_the_highest():
+    rng = random.Random(2)
+    scored = {c: -rng.uniform(5, 9) for c in "abc▁"}
+    for _ in range(60):
+        scored["".join(rng.choices("abc", k=rng.randrange(2, 5)))] = -rng.uniform(5, 16)
+    model = pieces.Model(unigram_model(list(scored.items())))
+    assert model.unigram
+
+    def best(word):
+        top = [0.0]
+        for end in range(1, len(word) + 1):
+            top.append(max(top[b] + np.float32(scored.get(word[b:end], model.unknown if end - b == 1 else -np.inf))
+                           for b in range(end)))
+        return top[-1]
+    for _ in range(300):
+        word = "".join(rng.choices("abcx", k=12))
+        split = model.search([word])[0]
+        assert sum(model.unknown if p < 0 else float(model.scores[p]) for p in split) == pytest.approx(best(word))
+        assert "".join(model.texts[p] if p >= 0 else chr(-1 - p) for p in split) == word
+
+
+def test_columns_and_query(spark, library):
+    rows = [(i, t) for i, t in enumerate(EDGE_TEXTS)] + [(None, "x"), (3, "two words"), (3, "two words")]
+    got = pieces.encoded_documents(docs(spark, rows, ", e int, n_tokens string")).collect()
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "")
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    both = docs(spark, rows).select("text", pieces.encode_column(pieces.F.col("text")).alias("ids"))
+    back = both.select("text", pieces.decode_column(pieces.F.col("ids")).alias("back")).collect()
+    assert all((r.text or "") == r.back for r in back)
+    assert pieces.encoded_documents(docs(spark, [])).count() == 0
+
+
+def test_models_with_rewriting_are_refused():
+    with pytest.raises(ValueError):
+        pieces.Model(unigram_model([("a", -1.0)])[:-2] + b"\x20\x01")
