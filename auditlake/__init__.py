@@ -1,6 +1,6 @@
 """Incremental, deduplicating ingestion of audit-trail logs on Spark."""
 
 from .options import IngestOptions, Trail
-from .plans import ingest_batch, ingest_objects
+from .plans import ingest_batch, ingest_objects, requeue_files
 
-__all__ = ["IngestOptions", "Trail", "ingest_batch", "ingest_objects"]
+__all__ = ["IngestOptions", "Trail", "ingest_batch", "ingest_objects", "requeue_files"]

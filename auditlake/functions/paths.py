@@ -1,5 +1,7 @@
 """Object paths: `[prefix/]AWSLogs/[org/]account/CloudTrail/region/...`."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +77,11 @@ def object_key(path, root: str) -> Column:
     return F.substring(bare, F.instr(bare, stem) + F.length(stem), F.length(bare))
 
 
+def glob_escaped(path: str) -> str:
+    """`glob_literal` of a known path."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def glob_literal(path) -> Column:
     """A path as a load pattern that stands for that very path."""
     return F.regexp_replace(path, r"([{}\[\]*?\\])", r"\\$1")

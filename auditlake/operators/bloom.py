@@ -50,7 +50,10 @@ def bloom_build(ids: DataFrame, items: int, fpp: float, id_col: str = "event_id"
     Repeats go first (combined before their shuffle), then each block's ids meet in
     one task: bitmaps of many blocks per input task would cost far more to move.
     """
-    size = bloom_size(items, fpp)
+    return _built(ids, bloom_size(items, fpp), id_col)
+
+
+def _built(ids: DataFrame, size: BloomSize, id_col: str) -> DataFrame:
     c = F.col(id_col)
     return (ids.select(c).distinct()
             .select(_block(c, size).alias("block"), _bits(c, size).alias("bits"))
@@ -59,14 +62,28 @@ def bloom_build(ids: DataFrame, items: int, fpp: float, id_col: str = "event_id"
             .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")))
 
 
+def bloom_add(bloom: DataFrame, ids: DataFrame, size: BloomSize, id_col: str = "event_id") -> DataFrame:
+    """`bloom` with more ids, in its own size."""
+    return bloom_merge(bloom, _built(ids, size, id_col))
+
+
 def bloom_merge(a: DataFrame, b: DataFrame) -> DataFrame:
     """The sketch of both id sets; both must have been built for the same size."""
-    return a.unionByName(b).groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return a.select("block", "bitmap").unionByName(b.select("block", "bitmap")).groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
 
-def _has_bit(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
+def _words(bitmap: Column) -> Column:
+    """The bitmap as 64-bit words, made once for each block and not for each id."""
+    def word(i):
+        return F.conv(F.hex(F.substring(bitmap, i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BYTES // 8 - 1)), word)
+
+
+def _has_bit(words: Column, bit: Column) -> Column:
+    # Byte k of a bitmap holds bits 8k to 8k+7, and a word begins with its first byte.
+    place = 56 - 8 * F.floor(F.pmod(bit, F.lit(64)) / 8) + F.pmod(bit, F.lit(8))
+    return F.getbit(F.get(words, F.floor(bit / 64).cast("int")), place.cast("int")) == 1
 
 
 def _probe_ids(ids: DataFrame, bloom: DataFrame, size: BloomSize, broadcast: bool) -> DataFrame:
@@ -74,22 +91,25 @@ def _probe_ids(ids: DataFrame, bloom: DataFrame, size: BloomSize, broadcast: boo
     bits = _bits(c, size)
     hit = F.lit(True)
     for i in range(size.hashes):
-        hit = hit & _has_bit(F.col("bitmap"), F.get(bits, F.lit(i)))
-    blocks = F.broadcast(bloom) if broadcast else bloom
-    return (ids.withColumn("block", _block(c, size)).join(blocks, "block", "left")
-            .withColumn("maybe_seen", F.coalesce(hit, F.lit(False))).drop("block", "bitmap"))
+        hit = hit & _has_bit(F.col("_words"), F.get(bits, F.lit(i)))
+    blocks = bloom.select(F.col("block").alias("_block"), _words(F.col("bitmap")).alias("_words"))
+    blocks = F.broadcast(blocks) if broadcast else blocks
+    return (ids.join(blocks, _block(c, size) == F.col("_block"), "left")
+            .withColumn("maybe_seen", F.coalesce(hit, F.lit(False))).drop("_block", "_words"))
 
 
 def bloom_probe(records: DataFrame, bloom: DataFrame, items: int, fpp: float, unique: bool = False,
-                spread=ARRIVAL, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                size: BloomSize | None = None, spread=ARRIVAL, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                 min_rows: int = HOT_ROWS) -> DataFrame:
     """Add `maybe_seen`: false only for ids that were surely never added.
 
+    `size` is that of a stored sketch, where it may differ from the one of `items` and `fpp`.
+
     The sketch has a fixed size, so whether it may be broadcast follows from its
     parameters. A larger one is joined on the block with one row per id (ids
     spread evenly over blocks), and the answer is joined back with hot ids salted.
     """
-    size = bloom_size(items, fpp)
+    size = size or bloom_size(items, fpp)
     if size.blocks * BLOCK_BYTES <= max_broadcast_bytes:
         return _probe_ids(records, bloom, size, broadcast=True)
     if unique:

@@ -47,17 +47,23 @@ def event_metrics(groups: DataFrame) -> DataFrame:
 
 
 def file_metrics(files: DataFrame) -> DataFrame:
-    """File counters from listed files with `size` and `failed`."""
+    """File counters from listed files with `size`, `attempts` before this run, `downloaded` and `failed`.
+
+    A file that is tried again was listed by an earlier run. One that vanished or could not be
+    unpacked was not downloaded.
+    """
+    got = F.col("downloaded")
     return files.agg(
-        F.count(F.lit(1)).alias("files_listed"),
-        F.count(F.lit(1)).alias("files_downloaded"),
+        F.count_if(F.col("attempts") == 0).alias("files_listed"),
+        F.count_if(got).alias("files_downloaded"),
         F.count_if(~F.col("failed")).alias("files_processed"),
-        F.coalesce(F.sum("size"), F.lit(0)).alias("bytes_downloaded"),
+        F.coalesce(F.sum(F.when(got, F.col("size"))), F.lit(0)).alias("bytes_downloaded"),
         F.count_if(F.col("failed")).alias("errors"),
     )
 
 
-def run_metrics(groups: DataFrame, files: DataFrame) -> DataFrame:
-    """All counters in one row."""
+def run_metrics(groups: DataFrame, files: DataFrame, jsonl_files: int = 0) -> DataFrame:
+    """All counters in one row; `jsonl_files` is the number of files the sink wrote."""
     parts = event_metrics(groups).unionByName(file_metrics(files), allowMissingColumns=True)
+    parts = parts.withColumn("jsonl_files", F.when(F.col("files_listed").isNotNull(), F.lit(jsonl_files).cast("bigint")))
     return parts.agg(*[F.sum(c).alias(c) for c in COUNTERS])

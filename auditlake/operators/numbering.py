@@ -30,15 +30,14 @@ def assign_file_no(events: DataFrame, events_per_file: int = 10_000, route: Sequ
                    place: Sequence[str] = ARRIVAL) -> DataFrame:
     """Give each event the number of its file in its hour folder, and the file's name.
 
-    Inside the hour, events are in order of minute, then of a hash that spreads even
-    a single busy minute over 256 slices: at most 15,360 slices per folder.
+    Inside the hour, events are in order of time in whole seconds, then of id. A slice is a
+    second and the first two characters of the id, so that no busy second is one task.
     """
-    spread = F.md5(F.concat_ws("|", "event_id", *place))
     sliced = events.withColumns({
-        "_minute": F.regexp_extract("event_time", r"T\d{1,2}:(\d{2})", 1),
-        "_spread": F.substring(spread, 1, 2),
+        "_second": F.floor(F.col("event_micros") / 1_000_000),
+        "_spread": F.substring("event_id", 1, 2),
     })
-    numbered = running_number(sliced, route, ["_minute", "_spread"], ["event_time", "event_id", *place])
+    numbered = running_number(sliced, route, ["_second", "_spread"], ["event_id", *place])
     file_no = F.floor((F.col("_number") - 1) / events_per_file)
     return (numbered.withColumn("file_no", file_no).withColumn("file_name", file_name("file_no"))
-            .drop("_minute", "_spread", "_number"))
+            .drop("_second", "_spread", "_number"))

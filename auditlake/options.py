@@ -18,13 +18,15 @@ class IngestOptions:
     events_per_file: int = 10_000
     # Listed files between two checkpoint marks.
     checkpoint_every: int = 100
-    # "exact" compares with every id written before; "approx" asks a Bloom sketch.
-    dedup: Literal["exact", "approx"] = "exact"
-    bloom_items: int = 100_000_000
+    # Both are exact. "exact" compares with every id written before; "approx" asks a Bloom
+    # sketch first and compares only what it may hold, so that most ids are not read.
+    dedup: Literal["exact", "approx"] = "approx"
+    # Ids the sketch is made for at first; it is made anew, four times as large, when full.
+    bloom_items: int = 1_000_000
     bloom_fpp: float = 0.001
-    # Streams only: "high_water" never reads keys at or below the last one of their
-    # pair, as a batch run always does; "file_log" reads every new file.
-    late: Literal["file_log", "high_water"] = "high_water"
+    # Streams only: "file_log" reads every new file; "high_water" leaves out keys at or
+    # below the last one of their pair when the query started, as a batch run does.
+    late: Literal["file_log", "high_water"] = "file_log"
     # A record of wrong JSON type in a read field is malformed.
     strict: bool = True
     # True keeps every record without an id; False lets only the first one through.
@@ -35,8 +37,15 @@ class IngestOptions:
     prune_by_date: bool = False
     # Files of one run; what is left over is the next run's work.
     max_files: int = 100_000
-    # How often a file that could not be read is tried.
-    max_attempts: int = 3
+    # A file that could not be read is tried again after this time, then after twice as
+    # long and so on, a day at most.
+    retry_seconds: int = 300
+    # After so many tries a file waits for `requeue_files`; None tries without end.
+    give_up_after: int | None = None
+    # A run that began longer ago than this and did not end no longer keeps others out.
+    claim_hours: float = 6.0
     flush_seconds: int = 30
     # Runs after which the ids of all runs so far are merged into one folder.
     compact_every: int = 100
+    # Folders a run's ids are dealt to by a hash.
+    id_buckets: int = 16

@@ -1,3 +1,3 @@
-from .ingest import ingest_batch, ingest_objects
+from .ingest import ingest_batch, ingest_objects, requeue_files
 
-__all__ = ["ingest_batch", "ingest_objects"]
+__all__ = ["ingest_batch", "ingest_objects", "requeue_files"]

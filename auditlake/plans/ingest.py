@@ -11,14 +11,15 @@ import math
 import time
 import uuid
 from collections.abc import Iterable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.naming import add_rates
 from ..functions.paths import bare_path, glob_literal
-from ..operators.bloom import bloom_build, bloom_merge, bloom_probe
+from ..operators.bloom import BloomSize, bloom_add, bloom_build, bloom_probe, bloom_size
 from ..operators.checkpoints import advance_checkpoints, merge_checkpoints, pending_objects
 from ..operators.dedup import ARRIVAL, same_dates
 from ..operators.discovery import log_objects
@@ -27,9 +28,9 @@ from ..operators.numbering import running_number
 from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
-from ..session import drop_scratch, scratch
-from ..sinks import (compact_seen, write_bloom, write_checkpoints, write_events, write_failed_files,
-                     write_metrics, write_seen)
+from ..session import scratch_folder
+from ..sinks import (claimed, compact_seen, count_files, drop_old_sketches, id_bucket, write_bloom, write_checkpoints,
+                     write_events, write_failed_files, write_metrics, write_seen)
 from ..sources.listing import distinct_objects, list_objects
 from ..sources.log_files import explode_records, read_log_files
 from ..sources.tables import (committed_runs, read_bloom, read_checkpoints, read_failed_files, read_metrics,
@@ -104,34 +105,69 @@ def group_rows(records: DataFrame, options: IngestOptions) -> DataFrame:
             .select("group_id", F.substring("group_id", 1, 1).alias("kind"), "_first.*", "copies", "corrupt"))
 
 
-def _mark_seen(groups: DataFrame, root, runs, options: IngestOptions, work: str) -> DataFrame:
-    """Add `is_seen`. Groups are unique, so no id is hot any more."""
-    spark = groups.sparkSession
-    groups = groups.withColumn("event_date", F.concat_ws("-", "year", "month", "day"))
-    if options.dedup == "approx":
-        probed = bloom_probe(groups, known_sketch(spark, root, runs, options),
-                             options.bloom_items, options.bloom_fpp, unique=True)
-        return (probed.withColumn("is_seen", F.col("maybe_seen") & (F.col("kind") == EVENT))
-                .drop("maybe_seen"))
+class Sketch(NamedTuple):
+    """The ids written so far as a sketch; `added` of them in a sketch made for `items`."""
+    table: DataFrame
+    size: BloomSize
+    items: int
+    added: int
+
+
+def known_sketch(spark, root, runs, options: IngestOptions) -> Sketch:
+    """The last run's sketch, or one of all ids where that run kept none or it was full."""
+    found = read_bloom(spark, root, runs)
+    first = None if found is None else found.select("blocks", "hashes", "items", "added").first()
+    if first is not None and first.added <= first.items:
+        return Sketch(found.select("block", "bitmap"), BloomSize(first.blocks, first.hashes), first.items, first.added)
     seen = read_seen(spark, root, runs)
-    keys = ["group_id"]
-    if options.prune_by_date:
-        keys.append("event_date")
-        groups.write.parquet(f"{work}/groups")
-        groups = spark.read.parquet(f"{work}/groups")
-        seen = seen.filter(same_dates(groups.filter(F.col("kind") == EVENT)))
-    # Same key and same partitioning as the groups: only the ids are shuffled here.
-    known = (seen.withColumn("group_id", F.concat(F.lit(EVENT), F.col("event_id")))
-             .groupBy(*keys).agg(F.lit(True).alias("_known")))
-    return groups.join(known, keys, "left").withColumn("is_seen", F.col("_known").isNotNull()).drop("_known")
-
-
-def known_sketch(spark, root, runs, options: IngestOptions) -> DataFrame:
-    """The last run's sketch, or one of all ids where that run kept none."""
-    sketch = read_bloom(spark, root, runs)
+    added = seen.count()
+    items = options.bloom_items
+    while items < 2 * added:
+        items *= 4
+    return Sketch(bloom_build(seen, items, options.bloom_fpp), bloom_size(items, options.bloom_fpp), items, added)
+
+
+def _with_new_ids(sketch: Sketch, ids: DataFrame) -> DataFrame:
+    """The sketch with more ids, as it is stored."""
+    added = bloom_add(sketch.table, ids, sketch.size)
+    return added.withColumns({
+        "blocks": F.lit(sketch.size.blocks).cast("bigint"), "hashes": F.lit(sketch.size.hashes),
+        "items": F.lit(sketch.items).cast("bigint"), "added": F.lit(sketch.added + ids.count()).cast("bigint")})
+
+
+def _maybe_seen(groups: DataFrame, sketch: Sketch | None, options: IngestOptions) -> DataFrame:
+    """Add `maybe_seen`: false for what needs no comparison with the ids written before."""
+    is_event = F.col("kind") == EVENT
     if sketch is None:
-        return bloom_build(read_seen(spark, root, runs), options.bloom_items, options.bloom_fpp)
-    return sketch
+        return groups.withColumn("maybe_seen", is_event)
+    probed = bloom_probe(groups, sketch.table, sketch.items, options.bloom_fpp, unique=True, size=sketch.size)
+    return probed.withColumn("maybe_seen", F.col("maybe_seen") & is_event)
+
+
+def _mark_seen(staged: DataFrame, root, runs, options: IngestOptions, work: str) -> DataFrame:
+    """Add `is_seen`, by comparing the groups that a sketch may hold with the ids themselves.
+
+    Only the id folders such groups fall into are read; none, if there are no such groups. Groups
+    are unique, so no id is hot any more.
+    """
+    spark = staged.sparkSession
+    keys = ["event_id", "event_date"] if options.prune_by_date else ["event_id"]
+    hits = staged.filter("maybe_seen").select("event_id", "event_date")
+    hits = hits.withColumn("id_bucket", id_bucket(F.col("event_id"), options.id_buckets))
+    buckets = [r.id_bucket for r in hits.select("id_bucket").distinct().collect()]
+    if not buckets or not runs:
+        return staged.drop("maybe_seen").withColumn("is_seen", F.lit(False))
+    seen = read_seen(spark, root, runs)
+    # Older ids may have been dealt to another number of folders.
+    if seen.select(F.coalesce(F.max("id_bucket"), F.lit(0))).first()[0] < options.id_buckets:
+        seen = seen.filter(F.col("id_bucket").isin(buckets))
+    if options.prune_by_date:
+        seen = seen.filter(same_dates(hits))
+    seen.join(hits.select(*keys), keys, "left_semi").select(*keys).distinct().write.parquet(f"{work}/known")
+    known = spark.read.parquet(f"{work}/known").withColumn("_known", F.lit(True))
+    compared = staged.filter("maybe_seen").join(known, keys, "left")
+    rest = staged.filter("not maybe_seen").withColumn("is_seen", F.lit(False))
+    return rest.unionByName(compared.withColumn("is_seen", F.col("_known").isNotNull()).drop("_known")).drop("maybe_seen")
 
 
 def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str,
@@ -142,48 +178,79 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
     committed run id is not run again. Gives the run's metrics.
     """
     runs = committed_runs(spark, root)
-    if run_id in (r for _, r in runs):
-        return add_rates(read_metrics(spark, root).filter(F.col("run_id") == run_id))
-    seq = runs[-1][0] + 1 if runs else 1
-    run_ids = [r for _, r in runs]
-    started = time.time()
-    work = scratch(spark, "ingest")
+    if run_id not in (r for _, r in runs):
+        seq = runs[-1][0] + 1 if runs else 1
+        with claimed(spark, root, seq, run_id, options.claim_hours), scratch_folder(spark, "ingest") as work:
+            _commit(spark, files, root, run_id, seq, [r for _, r in runs], options, work)
+        if seq % options.compact_every == 0:
+            compact_seen(spark, root)
+            drop_old_sketches(spark, root)
+    return add_rates(read_metrics(spark, root).filter(F.col("run_id") == run_id))
+
 
+def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids: list[str],
+            options: IngestOptions, work: str) -> None:
+    started = time.time()
     # Written down, so that all steps see one listing.
     files.write.parquet(f"{work}/files")
     files = spark.read.schema(FAILED_FILE).parquet(f"{work}/files")
-    groups = group_rows(scan_records(spark, files), options)
-    marked = _mark_seen(groups, root, run_ids, options, work)
-    # Known events are only counted.
-    marked.withColumn("raw", F.when(~F.col("is_seen"), F.col("raw"))).write.parquet(f"{work}/staged")
-    staged = spark.read.parquet(f"{work}/staged")
+    sketch = known_sketch(spark, root, run_ids, options) if options.dedup == "approx" else None
+    groups = (group_rows(scan_records(spark, files), options)
+              .withColumn("event_date", F.concat_ws("-", "year", "month", "day")))
+    _maybe_seen(groups, sketch, options).write.parquet(f"{work}/staged")
+    staged = _mark_seen(spark.read.parquet(f"{work}/staged"), root, run_ids, options, work)
 
     new = staged.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen"))
-    read = staged.filter((F.col("kind") == FILE) & ~F.col("corrupt")).select("bucket", "key", F.lit(True).alias("_read"))
+    read = staged.filter(F.col("kind") == FILE).select("bucket", "key", "corrupt")
     tried = (files.join(read, ["bucket", "key"], "left")
-             .withColumn("failed", F.col("_read").isNull()).drop("_read"))
+             .withColumn("downloaded", F.col("corrupt").isNotNull())
+             .withColumn("failed", F.coalesce("corrupt", F.lit(True))).drop("corrupt"))
 
-    write_events(new, table_path(root, "events", run_id), options.events_per_file)
+    events = table_path(root, "events", run_id)
+    write_events(new, events, options.events_per_file)
     ids = new.filter(F.col("kind") == EVENT)
-    write_seen(ids, root, run_id)
-    if options.dedup == "approx":
-        added = bloom_build(ids, options.bloom_items, options.bloom_fpp)
-        write_bloom(bloom_merge(known_sketch(spark, root, run_ids, options), added), root, run_id)
+    write_seen(ids, root, run_id, options.id_buckets)
+    if sketch is not None:
+        write_bloom(_with_new_ids(sketch, ids), root, run_id)
     write_checkpoints(_advanced(spark, root, run_ids, tried, options), root, run_id)
-    failed = tried.filter("failed").withColumn("attempts", F.col("attempts") + 1).drop("failed")
+    wait = F.least(F.lit(86_400.0), options.retry_seconds * F.pow(F.lit(2.0), F.least("attempts", F.lit(40))))
+    retry_at = F.current_timestamp() + F.make_dt_interval(secs=wait.cast("decimal(18,6)"))
+    failed = (tried.filter("failed").withColumn("retry_at", retry_at)
+              .withColumn("attempts", F.col("attempts") + 1).select(*FAILED_FILE.names))
     before = read_failed_files(spark, root, run_ids)
     waiting = before.join(tried.select("bucket", "key"), ["bucket", "key"], "left_anti")
-    write_failed_files(waiting.unionByName(failed), root, run_id)
+    write_failed_files(waiting.select(*FAILED_FILE.names).unionByName(failed), root, run_id)
 
     # A file's own group is no event.
-    metrics = (run_metrics(staged.filter(F.col("kind") != FILE), tried)
+    metrics = (run_metrics(staged.filter(F.col("kind") != FILE), tried, count_files(spark, events))
                .withColumns({"seq": F.lit(seq).cast("bigint"), "finished_at": F.current_timestamp(),
                              "elapsed_seconds": F.lit(time.time() - started)}))
     write_metrics(metrics, root, run_id)
-    drop_scratch(spark, work)
-    if seq % options.compact_every == 0:
-        compact_seen(spark, root)
-    return add_rates(read_metrics(spark, root).filter(F.col("run_id") == run_id))
+
+
+def due_files(spark, root: str, run_ids: list[str], options: IngestOptions) -> DataFrame:
+    """Files that could not be read and whose time to be tried again has come."""
+    failed = read_failed_files(spark, root, run_ids).filter(F.col("retry_at") <= F.current_timestamp())
+    return failed if options.give_up_after is None else failed.filter(F.col("attempts") < options.give_up_after)
+
+
+def requeue_files(spark: SparkSession, root: str, which: Column | None = None) -> int:
+    """Make files that could not be read, given-up ones too, due at once; how many.
+
+    `which` is a condition on the failed files; without it all are meant.
+    """
+    runs = [r for _, r in committed_runs(spark, root)]
+    if not runs:
+        return 0
+    which = F.lit(True) if which is None else F.coalesce(which, F.lit(False))
+    with scratch_folder(spark, "requeue") as work:
+        read_failed_files(spark, root, runs).write.parquet(work)
+        failed = spark.read.schema(FAILED_FILE).parquet(work)
+        again = F.when(which, F.lit(0).cast("timestamp"))
+        write_failed_files(failed.withColumns({
+            "attempts": F.when(which, F.lit(1)).otherwise(F.col("attempts")).cast("bigint"),
+            "retry_at": F.coalesce(again, "retry_at")}), root, runs[-1])
+        return failed.filter(which).count()
 
 
 def _advanced(spark, root, run_ids, tried: DataFrame, options: IngestOptions) -> DataFrame:
@@ -206,20 +273,19 @@ def ingest_batch(spark: SparkSession, trails: Iterable[Trail], root: str,
     runs = committed_runs(spark, root)
     run_ids = [r for _, r in runs]
     seq = runs[-1][0] + 1 if runs else 1
-    listed = list_objects(spark, trails, options) if objects is None else objects
+    checkpoints = read_checkpoints(spark, root, run_ids)
+    listed = list_objects(spark, trails, options, after=checkpoints) if objects is None else objects
     listed = log_objects(distinct_objects(listed), options.strict_accounts)
-    failed = read_failed_files(spark, root, run_ids)
-    pending = (pending_objects(listed, read_checkpoints(spark, root, run_ids))
-               .withColumn("attempts", F.lit(0).cast("bigint"))
-               .unionByName(failed.filter(F.col("attempts") < options.max_attempts)))
-
-    work = scratch(spark, "plan")
-    count = plan_runs(pending.select(*FAILED_FILE.names), options.max_files, work)
+    pending = (pending_objects(listed, checkpoints)
+               .withColumns({"attempts": F.lit(0).cast("bigint"), "retry_at": F.lit(None).cast("timestamp")})
+               .select(*FAILED_FILE.names)
+               .unionByName(due_files(spark, root, run_ids, options).select(*FAILED_FILE.names)))
     made = []
-    for i in range(count):
-        part = f"{work}/all/run_no=0" if count == 1 else f"{work}/runs/run_no={i}"
-        files = spark.read.schema(FAILED_FILE).parquet(part)
-        made.append(f"{seq + i:08d}-{uuid.uuid4().hex[:8]}")
-        ingest_objects(spark, files, root, made[-1], options)
-    drop_scratch(spark, work)
+    with scratch_folder(spark, "plan") as work:
+        count = plan_runs(pending, options.max_files, work)
+        for i in range(count):
+            part = f"{work}/all/run_no=0" if count == 1 else f"{work}/runs/run_no={i}"
+            files = spark.read.schema(FAILED_FILE).parquet(part)
+            made.append(f"{seq + i:08d}-{uuid.uuid4().hex[:8]}")
+            ingest_objects(spark, files, root, made[-1], options)
     return add_rates(read_metrics(spark, root).filter(F.col("run_id").isin(made)))

@@ -56,17 +56,24 @@ FAILED_FILE = T.StructType([
     T.StructField("account_id", T.StringType()),
     T.StructField("region", T.StringType()),
     T.StructField("attempts", T.LongType()),
+    T.StructField("retry_at", T.TimestampType()),
 ])
 
 SEEN = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("event_date", T.StringType()),
+    T.StructField("id_bucket", T.IntegerType()),
     T.StructField("run_id", T.StringType()),
 ])
 
 BLOOM = T.StructType([
     T.StructField("block", T.LongType()),
     T.StructField("bitmap", T.BinaryType()),
+    # The same in each row: what the sketch was made for, and the ids added to it.
+    T.StructField("blocks", T.LongType()),
+    T.StructField("hashes", T.IntegerType()),
+    T.StructField("items", T.LongType()),
+    T.StructField("added", T.LongType()),
 ])
 
 ROUTE = ["account_id", "region", "year", "month", "day", "hour"]
@@ -81,7 +88,7 @@ COUNTERS = [
     "files_listed", "files_downloaded", "files_processed", "bytes_downloaded",
     "events_processed", "events_written", "events_duplicate",
     "events_malformed", "events_bad_time", "events_no_account",
-    "hour_buffers", "errors",
+    "hour_buffers", "jsonl_files", "errors",
 ]
 
 METRICS = T.StructType([

@@ -1,7 +1,9 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,9 +25,14 @@ RECOMMENDED = {
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; a local one only where none is named."""
+    """The folder all executors see, named by spark.checkpoint.dir.
+
+    Only where driver and executors are one process may it be unset.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="auditlake-")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -38,9 +45,22 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/auditlake-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by `scratch`."""
-    if "/auditlake-" not in path:
-        raise ValueError(f"not a scratch folder: {path}")
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as an object of it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str):
+    """A scratch folder that goes when the block ends, however it ends."""
+    path = scratch(spark, label)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)

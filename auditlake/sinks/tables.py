@@ -3,30 +3,109 @@
 A repeated run of the same id replaces its own folder and no other.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from contextlib import contextmanager
 
-from ..schemas import BLOOM, CHECKPOINT, FAILED_FILE, METRICS
-from ..sources.tables import committed_runs, read_seen, table_path
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..schemas import BLOOM, CHECKPOINT, FAILED_FILE, METRICS, SEEN
+from ..session import drop_folder, file_system
+from ..sources.paths import load_or_empty
+from ..sources.tables import committed_runs, seen_segments, segment_id, table_path
 
-def write_seen(seen: DataFrame, root: str, run_id: str, table: str = "seen") -> None:
-    """Append a run's ids, in folders by event date."""
-    (seen.select("event_id", "event_date").hint("rebalance", "event_date")
-     .write.mode("overwrite").partitionBy("event_date").parquet(table_path(root, table, run_id)))
+#: A merged folder is merged again once what came after it has this part of its ids.
+MERGE_SHARE = 0.5
+
+
+def id_bucket(event_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(event_id), F.lit(buckets)).cast("int")
+
+
+def write_seen(seen: DataFrame, root: str, run_id: str, buckets: int = 16) -> None:
+    """Append a run's ids, in folders by a hash of the id and sorted by event date."""
+    _write_ids(seen.withColumn("id_bucket", id_bucket(F.col("event_id"), buckets)), table_path(root, "seen", run_id))
+
+
+def _write_ids(ids: DataFrame, path: str) -> None:
+    (ids.select("event_id", "event_date", "id_bucket").hint("rebalance", "id_bucket")
+     .sortWithinPartitions("id_bucket", "event_date")
+     .write.mode("overwrite").partitionBy("id_bucket").parquet(path))
 
 
 def compact_seen(spark: SparkSession, root: str) -> None:
-    """Merge the ids of all committed runs into one folder, so that reading them stays cheap.
+    """Merge the ids of the last runs into one folder, and older merged folders while they are not
+    much larger: each id is written again a few times only, however long the history.
 
-    The folder counts once its mark is written; the runs' own folders stay as they are.
+    A merged folder counts once its mark is written; then what it was made from goes.
     """
-    runs = committed_runs(spark, root)
-    if not runs:
+    runs = [r for _, r in committed_runs(spark, root)]
+    segments, behind = seen_segments(spark, root, runs)
+    if not behind:
         return
-    seq, last = runs[-1]
-    write_seen(read_seen(spark, root, [r for _, r in runs]), root, last, "seen_base")
-    (spark.range(1).selectExpr(f"{seq}L as seq").coalesce(1)
-     .write.mode("overwrite").json(table_path(root, "seen_base_done", last)))
+    sources = [table_path(root, "seen", r) for r in behind]
+    read = spark.read.schema(SEEN)
+
+    def ids(paths):
+        parts = [read.option("basePath", path).parquet(path) for path in paths]
+        found = parts[0]
+        for p in parts[1:]:
+            found = found.unionByName(p)
+        return found.select("event_id", "event_date", "id_bucket")
+
+    size, first = ids(sources).count(), behind[0]
+    while segments and size >= MERGE_SHARE * segments[-1][2]:
+        first, last, more = segments.pop()
+        sources.append(table_path(root, "seen_base", segment_id(first, last)))
+        size += more
+    made = segment_id(first, behind[-1])
+    _write_ids(ids(sources), table_path(root, "seen_base", made))
+    (spark.range(1).select(F.lit(first).alias("first"), F.lit(size).cast("bigint").alias("ids"),
+                           F.lit(behind[-1]).alias("run_id")).coalesce(1)
+     .write.mode("overwrite").json(table_path(root, "seen_base_done") + f"/made={made}"))
+    for path in sources:
+        drop_folder(spark, path)
+
+
+def drop_old_sketches(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Sketches but those of the last runs; each holds all that the ones before it hold."""
+    for _, run in committed_runs(spark, root)[:-keep][-keep:]:
+        drop_folder(spark, table_path(root, "bloom", run))
+
+
+class Claimed(RuntimeError):
+    """Another run has the number."""
+
+
+@contextmanager
+def claimed(spark: SparkSession, root: str, seq: int, run_id: str, hours: float):
+    """Hold run number `seq` while the block runs, by a file that only one can create.
+
+    A claim older than `hours` was left behind by a run that died, and is taken over.
+    """
+    fs, path = file_system(spark, f"{table_path(root, 'claims')}/{seq:08d}")
+    if fs.exists(path) and time.time() - fs.getFileStatus(path).getModificationTime() / 1000 > hours * 3600:
+        fs.delete(path, False)
+    try:
+        out = fs.create(path, False)
+    except Py4JJavaError as e:
+        if not fs.exists(path):
+            raise
+        raise Claimed(f"run {seq} of {root} is being made by another writer, or died within {hours} hours") from e
+    out.write(bytearray(run_id.encode()))
+    out.close()
+    try:
+        yield
+    finally:
+        fs.delete(path, False)
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """The data files below a folder."""
+    found = load_or_empty(spark, "path string", lambda: spark.read.format("binaryFile").option(
+        "recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select("path"))
+    return found.count()
 
 
 def write_checkpoints(checkpoints: DataFrame, root: str, run_id: str) -> None:

@@ -1,10 +1,10 @@
-from .listing import bucket_root, list_objects, trails_df
+from .listing import as_trails, bucket_root, list_objects, trails_df
 from .log_files import explode_records, read_log_files
 from .tables import (committed_runs, read_bloom, read_checkpoints, read_events, read_failed_files,
                      read_metrics, read_seen)
 
 __all__ = [
-    "bucket_root", "committed_runs", "explode_records", "list_objects", "read_bloom",
+    "as_trails", "bucket_root", "committed_runs", "explode_records", "list_objects", "read_bloom",
     "read_checkpoints", "read_events", "read_failed_files", "read_log_files", "read_metrics",
     "read_seen", "trails_df",
 ]

@@ -1,20 +1,42 @@
-"""Trails and the listing of their objects."""
+"""Trails and the listing of their objects.
+
+The folders above the files are walked first, and only what can hold new log files is listed: the
+trail folders of account and region pairs, and of a pair that was read before only the folders
+that do not end before its last read key. Spark lists the folders that are left.
+"""
 
 from collections.abc import Iterable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import LOGS_FOLDER, object_key
+from ..functions.paths import LOGS_FOLDER, TRAIL_FOLDER, glob_escaped, object_key
 from ..options import IngestOptions, Trail
 from ..schemas import LOG_SUFFIX, OBJECT, TRAIL
+from ..session import file_system
 from .paths import load_or_empty
 
+#: Folders asked for at the same time.
+THREADS = 16
+#: Folder levels below a region that are looked into for the last read key.
+LEVELS = 8
+
+
+def as_trails(trails: Iterable[Trail] | DataFrame) -> list[Trail]:
+    """The trails in order of rank. A table has `name`, `bucket`, `prefix`, and may have `trail_rank`,
+    without which names are in order; it is as small as a list of trails."""
+    if not isinstance(trails, DataFrame):
+        return [Trail(*t) for t in trails]
+    order = ["trail_rank"] if "trail_rank" in trails.columns else []
+    rows = trails.orderBy(*order, "name", "bucket", "prefix").collect()
+    return [Trail(r.name, r.bucket, r.prefix or "") for r in rows]
 
-def trails_df(spark: SparkSession, trails: Iterable[Trail]) -> DataFrame:
+
+def trails_df(spark: SparkSession, trails: Iterable[Trail] | DataFrame) -> DataFrame:
     """The trail list as a table; its order ranks trails for dedup."""
-    rows = [(t.name, t.bucket, t.prefix or "", i) for i, t in enumerate(trails)]
+    rows = [(t.name, t.bucket, t.prefix or "", i) for i, t in enumerate(as_trails(trails))]
     return spark.createDataFrame(rows, TRAIL)
 
 
@@ -27,13 +49,88 @@ def trail_root(trail: Trail, options: IngestOptions) -> str:
     return f"{bucket_root(trail.bucket, options)}/{prefix}{LOGS_FOLDER}"
 
 
-def _list_trail(spark, trail: Trail, rank: int, options: IngestOptions, suffix: str) -> DataFrame:
+class Walk:
+    """The folders of one trail that a listing has to read; `asked` are those that were looked into."""
+
+    def __init__(self, spark: SparkSession, trail: Trail, options: IngestOptions,
+                 last_keys: dict[tuple[str, str], str] | None = None):
+        self.spark, self.trail, self.options = spark, trail, options
+        self.last_keys = last_keys or {}
+        self.asked: list[str] = []
+        root = trail_root(trail, options).rstrip("/")
+        self.key_start = len(bucket_root(trail.bucket, options)) + 1
+        with ThreadPoolExecutor(THREADS) as pool:
+            accounts = []
+            for name, is_folder in self._inside(root):
+                if is_folder and name.startswith("o-"):
+                    accounts += [f"{root}/{name}/{a}" for a, folder in self._inside(f"{root}/{name}") if folder]
+                if is_folder:
+                    accounts.append(f"{root}/{name}")
+            found = pool.map(lambda a: [(a, r) for r, folder in self._inside(f"{a}/{TRAIL_FOLDER}") if folder], accounts)
+            pairs = [p for some in found for p in some]
+            self.folders = [f for some in pool.map(lambda p: self._below(*p), pairs) for f in some]
+
+    def _inside(self, folder: str) -> list[tuple[str, bool]]:
+        """Names in a folder and whether they are folders; none if it is not there."""
+        self.asked.append(folder)
+        fs, path = file_system(self.spark, folder)
+        try:
+            return [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(path)]
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() != "FileNotFoundException":
+                raise
+            return []
+
+    def _below(self, account: str, region: str) -> list[str]:
+        """The parts of a region's folder that hold keys after the pair's last one."""
+        here = f"{account}/{TRAIL_FOLDER}/{region}"
+        last = self.last_keys.get((account.rsplit("/", 1)[1], region))
+        if last is None:
+            return [here]
+        out = []
+        for _ in range(LEVELS):
+            holds_last, inside = None, self._inside(here)
+            if not any(is_folder for _, is_folder in inside):
+                return [*out, here]
+            for name, is_folder in inside:
+                key = f"{here}/{name}"[self.key_start:]
+                if not is_folder:
+                    out += [f"{here}/{name}"] if _bytes(key) > _bytes(last) else []
+                elif last.startswith(f"{key}/"):
+                    holds_last = f"{here}/{name}"
+                elif _bytes(f"{key}/") > _bytes(last):
+                    out.append(f"{here}/{name}")
+            if holds_last is None:
+                return out
+            here = holds_last
+        return [*out, here]
+
+
+def _bytes(key: str) -> bytes:
+    return key.encode()
+
+
+def _last_keys(after: DataFrame | None, trail: Trail) -> dict[tuple[str, str], str]:
+    """One row for each account and region read before."""
+    if after is None:
+        return {}
+    mine = after.filter((F.col("bucket") == trail.bucket) & (F.col("prefix") == (trail.prefix or "")))
+    rows = mine.select("account_id", "region", "last_processed_key").collect()
+    return {(r.account_id, r.region): r.last_processed_key for r in rows if r.last_processed_key}
+
+
+def _list_trail(spark, trail: Trail, rank: int, options: IngestOptions, suffix: str, after) -> DataFrame | None:
+    paths = [glob_escaped(f) for f in Walk(spark, trail, options, _last_keys(after, trail)).folders]
+    if not paths:
+        return None
+
     def load():
         # `content` is never selected, so no file is opened.
         return (spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
                 .option("pathGlobFilter", f"*{suffix}")
-                .load(trail_root(trail, options))
+                .option("ignoreMissingFiles", True)
+                .load(paths)
                 .select("path", "length", "modificationTime"))
 
     found = load_or_empty(spark, "path string, length bigint, modificationTime timestamp", load)
@@ -45,18 +142,19 @@ def _list_trail(spark, trail: Trail, rank: int, options: IngestOptions, suffix:
         F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
 
 
-def list_objects(spark: SparkSession, trails: Iterable[Trail], options: IngestOptions,
-                 suffix: str = LOG_SUFFIX) -> DataFrame:
-    """All log objects of all trails, each trail's listing starting at its own folder.
+def list_objects(spark: SparkSession, trails: Iterable[Trail] | DataFrame, options: IngestOptions,
+                 suffix: str = LOG_SUFFIX, after: DataFrame | None = None) -> DataFrame:
+    """The log objects in the trail folders of all accounts and regions of all trails.
 
-    For buckets too large to be listed at every run, give `ingest_batch` an
-    inventory table of the same columns instead.
+    With checkpoints in `after`, folders that end before the last read key of their pair are not
+    listed; objects at or below that key may still be among the rows.
     """
-    trails = list(trails)
-    if not trails:
-        return spark.createDataFrame([], OBJECT)
-    return reduce(DataFrame.unionByName, [
-        _list_trail(spark, t, i, options, suffix) for i, t in enumerate(trails)])
+    parts = [_list_trail(spark, t, i, options, suffix, after) for i, t in enumerate(as_trails(trails))]
+    out = spark.createDataFrame([], OBJECT)
+    for part in parts:
+        if part is not None:
+            out = out.unionByName(part)
+    return out
 
 
 def distinct_objects(objects: DataFrame) -> DataFrame:

@@ -64,25 +64,42 @@ def read_bloom(spark: SparkSession, root: str, runs=None) -> DataFrame | None:
         return None
 
 
-def seen_bases(spark: SparkSession, root: str) -> set[str]:
-    """Run ids up to which all ids were merged into one folder."""
-    done = load_or_empty(spark, "run_id string",
-                         lambda: spark.read.schema("seq bigint, run_id string").json(table_path(root, "seen_base_done")))
-    return {r.run_id for r in done.select("run_id").collect()}
+def seen_segments(spark: SparkSession, root: str, runs: list[str]) -> tuple[list[tuple[str, str, int]], list[str]]:
+    """Merged id folders `(first run, last run, ids)` that cover the oldest of `runs`, oldest first, and
+    the runs behind them, whose ids lie in folders of their own."""
+    marks = load_or_empty(spark, "first string, ids bigint, run_id string", lambda: spark.read.schema(
+        "first string, ids bigint, run_id string").json(table_path(root, "seen_base_done")))
+    found = {(r.first, r.run_id): r.ids for r in marks.collect()}
+    place = {r: i for i, r in enumerate(runs)}
+    ends: dict[int, list[tuple[int, int]]] = {}
+    for (first, last), ids in found.items():
+        if first in place and last in place:
+            ends.setdefault(place[last], []).append((place[first], ids))
+    at, segments = max(ends, default=-1), []
+    behind = runs[at + 1:]
+    while at >= 0:
+        # Of the segments that end here the widest: it was made from the others.
+        first, ids = min(ends[at])
+        segments.append((runs[first], runs[at], ids))
+        at = first - 1
+    return segments[::-1], behind
+
+
+def segment_id(first: str, last: str) -> str:
+    return f"{first}..{last}"
 
 
 def read_seen(spark: SparkSession, root: str, runs=None) -> DataFrame:
-    """Ids of all events written by committed runs: the last merged folder and what came after."""
+    """Ids of all events written by committed runs: merged folders and what came after."""
     runs = _runs(spark, root, runs)
-    bases = seen_bases(spark, root)
-    merged = max((i for i, r in enumerate(runs) if r in bases), default=-1)
+    segments, behind = seen_segments(spark, root, runs)
 
     def read(reader, paths):
         return reader.parquet(*paths).select(*SEEN.names)
 
-    old = _read_runs(spark, root, "seen_base", SEEN, runs[merged:merged + 1] if merged >= 0 else [], read)
-    new = _read_runs(spark, root, "seen", SEEN, runs[merged + 1:], read)
-    return new if merged < 0 else old if merged + 1 == len(runs) else old.unionByName(new)
+    old = _read_runs(spark, root, "seen_base", SEEN, [segment_id(a, b) for a, b, _ in segments], read)
+    new = _read_runs(spark, root, "seen", SEEN, behind, read)
+    return new if not segments else old if not behind else old.unionByName(new)
 
 
 def read_events(spark: SparkSession, root: str, runs=None) -> DataFrame:

@@ -7,12 +7,17 @@ import time
 
 import pytest
 
-from auditlake import Trail, ingest_batch
+from pyspark.sql import functions as F
+
+from auditlake import Trail, ingest_batch, requeue_files
 from auditlake.plans import ingest as plan
 from auditlake.sources import (committed_runs, read_bloom, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
-from auditlake.streaming import (ProgressLog, checkpoint_table, stream_dedup, stream_events, stream_ingest, stream_log_files,
-                                 stream_write)
+from auditlake.sources.listing import Walk
+from auditlake.sources.tables import seen_segments
+from auditlake.sinks.tables import Claimed, claimed
+from auditlake.streaming import (ProgressLog, checkpoint_table, stream_bad_files, stream_dedup, stream_events, stream_ingest,
+                                 stream_log_files, stream_write)
 
 from helpers import TRAIL, event, key, log, options, put, rows
 
@@ -22,7 +27,7 @@ def run(spark, tmp_path, trails=(TRAIL,), **changes):
     made = ingest_batch(spark, trails, str(tmp_path / "lake"), options(tmp_path, **changes)).collect()
     total = collections.Counter()
     for r in made:
-        total.update({k: v for k, v in r.asDict().items() if k.startswith(("files", "events", "errors", "bytes", "hour"))})
+        total.update({k: v for k, v in r.asDict().items() if k.startswith(("files", "events", "errors", "bytes", "hour", "jsonl"))})
         assert r.events_processed == (r.events_written + r.events_duplicate + r.events_malformed
                                       + r.events_bad_time + r.events_no_account)
     return total
@@ -63,22 +68,32 @@ def test_run_and_rerun(spark, tmp_path):
     assert len(committed_runs(spark, lake)) == 2
 
 
-def test_bad_files_are_tried_again_and_then_left(spark, tmp_path):
+def test_bad_files_are_tried_again_until_given_up(spark, tmp_path):
     put(tmp_path, key("1.json.gz"), "{")
     put(tmp_path, key("2.json.gz"), log(event("a")))
     put(tmp_path, key("3.json.gz"), "")
     lake = str(tmp_path / "lake")
-    m = run(spark, tmp_path, max_attempts=2)
+    soon = {"retry_seconds": 0, "give_up_after": 2}
+    m = run(spark, tmp_path)
     assert (m["files_listed"], m["files_processed"], m["errors"], m["events_written"]) == (3, 1, 2, 1)
+    assert (m["files_downloaded"], m["jsonl_files"]) == (2, 1)
+    assert run(spark, tmp_path, **soon)["errors"] == 0
+    assert requeue_files(spark, lake) == 2
     assert rows(read_failed_files(spark, lake), "key", "attempts") == [(key("1.json.gz"), 1), (key("3.json.gz"), 1)]
     put(tmp_path, key("3.json.gz"), log(event("b")))
-    m = run(spark, tmp_path, max_attempts=2)
-    assert (m["files_listed"], m["files_processed"], m["errors"], m["events_written"]) == (2, 1, 1, 1)
+    m = run(spark, tmp_path, **soon)
+    assert (m["files_listed"], m["files_processed"], m["errors"], m["events_written"]) == (0, 1, 1, 1)
     assert rows(read_failed_files(spark, lake), "key", "attempts") == [(key("1.json.gz"), 2)]
-    assert run(spark, tmp_path, max_attempts=2)["files_listed"] == 0
+    assert run(spark, tmp_path, **soon)["errors"] == 0
     put(tmp_path, key("4.json.gz"), log(event("c")))
-    run(spark, tmp_path, max_attempts=2)
+    run(spark, tmp_path, **soon)
     assert rows(read_failed_files(spark, lake), "key", "attempts") == [(key("1.json.gz"), 2)]
+    # Given up, but not forgotten.
+    put(tmp_path, key("1.json.gz"), log(event("d")))
+    assert run(spark, tmp_path, **soon)["events_written"] == 0
+    assert requeue_files(spark, lake, F.col("key") == key("1.json.gz")) == 1
+    assert run(spark, tmp_path, **soon)["events_written"] == 1
+    assert read_failed_files(spark, lake).count() == 0
 
 
 def test_many_small_runs_equal_one(spark, tmp_path):
@@ -101,8 +116,13 @@ def test_merged_ids_are_all_ids(spark, tmp_path, every):
     m = run(spark, tmp_path, max_files=1, compact_every=every)
     assert (m["events_written"], m["events_duplicate"]) == (7, 2)
     lake = str(tmp_path / "lake")
-    merged = [f"run_id={r}" for seq, r in committed_runs(spark, lake) if seq % every == 0]
-    assert sorted(os.listdir(f"{lake}/seen_base_done")) == merged
+    runs = [r for _, r in committed_runs(spark, lake)]
+    segments, behind = seen_segments(spark, lake, runs)
+    assert len(behind) == 3 % every and segments[0][0] == runs[0] and segments[-1][1] == runs[3 // every * every - 1]
+    assert sum(n for *_, n in segments) + read_seen(spark, lake).filter(F.col("run_id").isin(behind)).count() == 7
+    # What was merged is gone.
+    assert sorted(os.listdir(f"{lake}/seen")) == [f"run_id={r}" for r in behind]
+    assert len(os.listdir(f"{lake}/seen_base")) == len(segments)
     assert rows(read_seen(spark, lake), "event_id") == [(f"e{j}",) for j in range(7)]
 
 
@@ -155,23 +175,92 @@ def test_lines_stay_lines_and_files_small(spark, tmp_path):
 
 
 @pytest.mark.parametrize("changes", [
-    {"dedup": "approx", "bloom_items": 10_000}, {"prune_by_date": True}, {"strict": False}])
+    {"dedup": "approx", "bloom_items": 10_000}, {"dedup": "exact"}, {"dedup": "exact", "prune_by_date": True},
+    {"prune_by_date": True}, {"strict": False}])
 def test_other_ways_give_the_same(spark, tmp_path, changes):
     put(tmp_path, key("1.json.gz"), log(*[event(f"e{i}", time=f"2024-01-0{i % 9 + 1}T00:00:00Z") for i in range(40)]))
     assert run(spark, tmp_path, **changes)["events_written"] == 40
     put(tmp_path, key("2.json.gz"), log(*[event(f"e{i}", time=f"2024-01-0{i % 9 + 1}T00:00:00Z") for i in range(30, 60)]))
     m = run(spark, tmp_path, **changes)
     assert (m["events_written"], m["events_duplicate"]) == (20, 10)
-    assert (read_bloom(spark, str(tmp_path / "lake")) is not None) == (changes.get("dedup") == "approx")
+    assert (read_bloom(spark, str(tmp_path / "lake")) is not None) == (changes.get("dedup") != "exact")
 
 
 def test_sketch_starts_from_exact_history(spark, tmp_path):
     put(tmp_path, key("1.json.gz"), log(event("a")))
-    run(spark, tmp_path)
+    run(spark, tmp_path, dedup="exact")
     put(tmp_path, key("2.json.gz"), log(event("a"), event("b")))
     assert run(spark, tmp_path, dedup="approx", bloom_items=1000)["events_written"] == 1
 
 
+@pytest.mark.parametrize("first, then", [(1000, 100_000), (100_000, 1000), (10, 10)])
+def test_sketch_of_another_size_and_an_overfull_one(spark, tmp_path, first, then):
+    put(tmp_path, key("1.json.gz"), log(*[event(f"e{i}") for i in range(300)]))
+    assert run(spark, tmp_path, bloom_items=first)["events_written"] == 300
+    for part in (2, 3):
+        put(tmp_path, key(f"{part}.json.gz"), log(*[event(f"e{i}") for i in range(100 * part, 100 * part + 200)]))
+    m = run(spark, tmp_path, bloom_items=then, max_files=1)
+    assert (m["events_written"], m["events_duplicate"]) == (200, 200)
+
+
+def test_a_run_without_hits_reads_no_ids(spark, tmp_path, monkeypatch):
+    put(tmp_path, key("1.json.gz"), log(event("a")))
+    run(spark, tmp_path)
+    put(tmp_path, key("2.json.gz"), log(event("b")))
+    monkeypatch.setattr(plan, "read_seen", None)
+    assert run(spark, tmp_path)["events_written"] == 1
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    put(tmp_path, key("1.json.gz"), log(event("a")))
+    lake = str(tmp_path / "lake")
+    with claimed(spark, lake, 1, "other", 1):
+        with pytest.raises(Claimed):
+            run(spark, tmp_path)
+    assert run(spark, tmp_path)["events_written"] == 1
+    with claimed(spark, lake, 2, "dead", 1):
+        put(tmp_path, key("2.json.gz"), log(event("b")))
+        assert run(spark, tmp_path, claim_hours=0)["events_written"] == 1
+
+
+def test_listing_goes_on_after_the_last_key(spark, tmp_path):
+    names = [f"2024/01/{d:02d}/{n}.json.gz" for d in range(1, 6) for n in "ab"]
+    for n in names[:6]:
+        put(tmp_path, key(n), log(event(n)))
+    put(tmp_path, key("2024/01/01/x.json.gz", account="000000000002"), log(event("other")))
+    put(tmp_path, "AWSLogs/000000000001/CloudTrail-Digest/us-east-1/d.json.gz", "{}")
+    assert run(spark, tmp_path)["files_listed"] == 7
+    for n in names[6:]:
+        put(tmp_path, key(n), log(event(n)))
+    put(tmp_path, key("2024/01/03/c.json.gz"), log(event("c")))
+    pair = ("000000000001", "us-east-1")
+    walk = Walk(spark, TRAIL, options(tmp_path), {pair: key("2024/01/03/b.json.gz")})
+    below = [f.split("us-east-1/")[1] for f in walk.folders if "000000000001" in f]
+    assert sorted(below) == ["2024/01/03", "2024/01/04", "2024/01/05"]
+    assert not any("Digest" in f or f.endswith(("01/01", "01/02")) for f in walk.asked)
+    assert run(spark, tmp_path)["files_listed"] == 5
+    assert len(values(spark, tmp_path)) == 12
+
+
+def test_glob_characters_in_a_prefix(spark, tmp_path):
+    trail = Trail("t", "b", "x{1}[a]")
+    put(tmp_path, key("1.json.gz", prefix=trail.prefix), log(event("a")))
+    assert run(spark, tmp_path, [trail])["events_written"] == 1
+    q = stream_ingest(spark, [trail], str(tmp_path / "lake2"), str(tmp_path / "state"), options(tmp_path), once=True)
+    q.awaitTermination()
+    assert read_events(spark, str(tmp_path / "lake2")).count() == 1
+
+
+def test_trails_from_a_table(spark, tmp_path):
+    put(tmp_path, key("1.json.gz", prefix="p"), log(event("a")))
+    put(tmp_path, key("2.json.gz"), log(event("b")))
+    table = spark.createDataFrame([("one", "b", "p"), ("two", "b", None)], "name string, bucket string, prefix string")
+    assert run(spark, tmp_path, table)["events_written"] == 2
+    q = stream_ingest(spark, table, str(tmp_path / "lake2"), str(tmp_path / "state"), options(tmp_path), once=True)
+    q.awaitTermination()
+    assert read_events(spark, str(tmp_path / "lake2")).count() == 2
+
+
 def test_inventory_in_place_of_listing(spark, tmp_path):
     path = put(tmp_path, key("1.json.gz"), log(event("a")))
     put(tmp_path, key("2.json.gz"), log(event("b")))
@@ -185,7 +274,7 @@ def test_inventory_in_place_of_listing(spark, tmp_path):
 
 def stream(spark, tmp_path, **changes):
     q = stream_ingest(spark, [TRAIL], str(tmp_path / "lake"), str(tmp_path / "state"),
-                      options(tmp_path, late="file_log", **changes), once=True)
+                      options(tmp_path, retry_seconds=0, **changes), once=True)
     q.awaitTermination()
 
 
@@ -213,6 +302,46 @@ def test_repeated_micro_batch_does_nothing(spark, tmp_path):
     assert read_metrics(spark, str(tmp_path / "lake")).count() == 1
 
 
+@pytest.mark.parametrize("late", ["file_log", "high_water"])
+def test_stream_takes_files_in_any_order_of_keys(spark, tmp_path, late):
+    """Keys whose order differs from that of their times, one in each micro-batch."""
+    for i, name in enumerate("4213"):
+        path = put(tmp_path, key(f"{name}.json.gz"), log(event(name)))
+        os.utime(path, (1_700_000_000 + 10 * i,) * 2)
+    stream(spark, tmp_path, max_files=1, late=late)
+    assert values(spark, tmp_path) == [event(n) for n in "1234"]
+
+
+def test_a_second_query_does_not_repeat_run_ids(spark, tmp_path):
+    put(tmp_path, key("1.json.gz"), log(event("a")))
+    stream(spark, tmp_path)
+    put(tmp_path, key("2.json.gz"), log(event("b")))
+    q = stream_ingest(spark, [TRAIL], str(tmp_path / "lake"), str(tmp_path / "state2"), options(tmp_path), once=True)
+    q.awaitTermination()
+    assert values(spark, tmp_path) == [event("a"), event("b")]
+
+
+def test_stream_edges(spark, tmp_path):
+    with pytest.raises(ValueError):
+        stream_ingest(spark, [], str(tmp_path / "lake"), str(tmp_path / "state"), options(tmp_path))
+    os.makedirs(tmp_path / "b")
+    stream(spark, tmp_path)
+    put(tmp_path, key("1.json.gz"), log(event("a")))
+    stream(spark, tmp_path)
+    assert values(spark, tmp_path) == [event("a")]
+
+
+def test_bad_files_of_the_declarative_stream(spark, tmp_path):
+    put(tmp_path, key("1.json.gz"), log(event("a")))
+    bad = [put(tmp_path, key("2.json.gz"), "{"), put(tmp_path, key("3.json.gz"), log(event("b")), compress=False),
+           put(tmp_path, key("4.json.gz"), log(event("c")), cut=9)]
+    out = str(tmp_path / "bad")
+    for _ in range(2):
+        stream_bad_files(spark, str(tmp_path / "b"), out, str(tmp_path / "state"), once=True).awaitTermination()
+    found = {r.path.split("us-east-1/")[1] for r in spark.read.parquet(out).collect()}
+    assert found == {os.path.basename(p) for p in bad}
+
+
 def test_stream_after_backfill(spark, tmp_path):
     put(tmp_path, key("1.json.gz"), log(event("a")))
     run(spark, tmp_path)

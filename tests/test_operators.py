@@ -73,12 +73,21 @@ def test_drop_seen(spark, frame, records, known, min_rows):
     assert rows(got, "raw") == sorted((r[4],) for r in records if r[0] not in known)
 
 
+def test_two_thousand_hot_ids_are_all_split(spark):
+    frame = spark.range(40_000).select((F.col("id") % 2000).cast("string").alias("event_id"), F.col("id").alias("ordinal"))
+    counts = frame.groupBy("event_id").agg(F.count("*").alias("copies"))
+    hot = hot_keys(counts, ["event_id"], min_rows=5)
+    assert hot.count() == 2000 and {r["_salts"] for r in hot.collect()} == {5}
+    joined = salted_join(frame, counts, ["event_id"], "inner", hot, ["ordinal"])
+    assert joined.count() == 40_000 and joined.filter("copies <> 20").count() == 0
+
+
 def test_hot_keys_are_split(spark, frame):
     counts = frame.groupBy("event_id").agg(F.count("*").alias("copies"))
     hot = hot_keys(counts, ["event_id"], min_rows=300)
     assert hot.count() == counts.filter("copies >= 300").count() > 0
     ids = counts.select("event_id", F.lit(1).alias("there"))
-    joined = salted_join(frame, ids, ["event_id"], "inner", hot, ["key", "ordinal"], salts=8)
+    joined = salted_join(frame, ids, ["event_id"], "inner", hot, ["key", "ordinal"])
     assert joined.count() == frame.count()
     assert joined.columns == ["event_id", "trail_rank", "key", "ordinal", "raw", "there"]
 
@@ -97,8 +106,8 @@ def test_file_numbers(spark, frame, records):
     events = frame.withColumns({
         "account_id": F.lit("a"), "region": F.when(F.col("event_id") == "hot", "").otherwise("r"),
         "year": F.lit("2024"), "month": F.lit("01"), "day": F.lit("01"), "hour": F.lit("05"),
-        # One busy minute.
-        "event_time": F.lit("2024-01-01T05:06:07Z")})
+        # One busy second.
+        "event_time": F.lit("2024-01-01T05:06:07Z"), "event_micros": F.lit(1704085567000000)})
     per_file = defaultdict(int)
     numbers = defaultdict(set)
     got = assign_file_no(events, 100).collect()
@@ -111,6 +120,9 @@ def test_file_numbers(spark, frame, records):
         size = sum(v for (reg, _), v in per_file.items() if reg == region)
         assert n == set(range(-(-size // 100)))
         assert all(per_file[region, i] == 100 for i in range(size // 100))
+    in_order = sorted(got, key=lambda r: (r.region, r.file_no))
+    for a, b in zip(in_order, in_order[1:]):
+        assert a.region != b.region or a.file_no == b.file_no or a.event_id <= b.event_id
 
 
 def listing(spark, counts):

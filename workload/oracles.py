@@ -164,17 +164,18 @@ def oracle_sql() -> dict[str, str]:
             WHERE n % 100 = 0 OR key = last"""),
         "file_assignment": _audit("""
             SELECT route, event_id, (n - 1) // 2 AS file_no, printf('events_%05d.jsonl', (n - 1) // 2) AS file_name
-            FROM (SELECT *, row_number() OVER (PARTITION BY route ORDER BY substr(event_time, 15, 2),
-                    substr(md5(event_id || '|' || trail_rank || '|' || i), 1, 2), event_time, event_id, trail_rank, i) AS n
+            FROM (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date_trunc('second', instant),
+                    event_id, trail_rank, i) AS n
                   FROM firsts)"""),
         "write_read_back": _audit("""
             SELECT account_id, region, strftime(instant, '%Y') AS year, strftime(instant, '%m') AS month, strftime(instant, '%d') AS day,
                    strftime(instant, '%H') AS hour, raw AS value FROM firsts"""),
         "run_metrics": f"""
             WITH {AUDIT}, {FILES.replace('checkpoints AS', 'marks AS').replace('LEFT JOIN checkpoints', 'LEFT JOIN marks')}
-            SELECT {COUNTERS}, (SELECT count(*) FROM logs) AS files_listed, (SELECT count(*) FROM logs) AS files_downloaded,
+            SELECT {COUNTERS}, (SELECT count(*) FROM logs WHERE n_records <> 1) AS files_listed,
+              (SELECT count(*) FROM logs WHERE n_records <> 4) AS files_downloaded,
               (SELECT count(*) FROM logs WHERE n_records < 3) AS files_processed,
-              (SELECT CAST(sum(n_records) AS BIGINT) FROM logs) AS bytes_downloaded,
+              (SELECT CAST(sum(n_records) AS BIGINT) FROM logs WHERE n_records <> 4) AS bytes_downloaded,
               (SELECT count(*) FROM logs WHERE n_records >= 3) AS errors""",
         "metric_rates": _files("""
             SELECT account_id, region, CAST(floor(count(*) / 8 * 1000) AS BIGINT) AS download_rate,

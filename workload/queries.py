@@ -191,10 +191,10 @@ def bloom_merge(spark, sf_dir):
 def bloom_dedup(spark, sf_dir):
     """The sketch lets most new ids pass; only the rest is compared exactly."""
     seen = _seen(spark, sf_dir)
-    probed = op.bloom_probe(_firsts(spark, sf_dir), op.bloom_build(seen, *BLOOM), *BLOOM, unique=True)
-    surely_new = probed.filter(~F.col("maybe_seen"))
-    rest = op.drop_seen(probed.filter("maybe_seen"), seen, unique=True)
-    return surely_new.unionByName(rest).select("trail", "i", "event_id", "raw")
+    probed = op.bloom_probe(_firsts(spark, sf_dir), op.bloom_build(seen, *BLOOM), *BLOOM, unique=True).alias("p")
+    known = seen.select(F.col("event_id").alias("_id"))
+    left = probed.join(known, F.col("maybe_seen") & (F.col("event_id") == F.col("_id")), "left_anti")
+    return left.select("trail", "i", "event_id", "raw")
 
 
 # Checkpoints
@@ -238,8 +238,10 @@ def run_metrics(spark, sf_dir):
     groups = (c.groupBy("group").agg(F.min(F.struct("trail_rank", "i", "reject_reason", *ROUTE)).alias("g"),
                                      F.count(F.lit(1)).alias("copies"))
               .select("g.*", "copies", F.lit(False).alias("is_seen")))
-    files = _logs(spark, sf_dir).select(F.col("n_records").alias("size"), (F.col("n_records") >= 3).alias("failed"))
-    return op.run_metrics(groups, files)
+    n = F.col("n_records")
+    files = _logs(spark, sf_dir).select(n.alias("size"), (n >= 3).alias("failed"), (n != 4).alias("downloaded"),
+                                        F.when(n == 1, 1).otherwise(0).alias("attempts"))
+    return op.run_metrics(groups, files).drop("jsonl_files")
 
 
 def metric_rates(spark, sf_dir):
