@@ -24,14 +24,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+# All events of a dense set are of this day: few hour folders, with many events each.
+DENSE_DAY = "2024-01-01"
+
+
+def _base(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     ts = F.col("ts").cast("string")
+    day = F.lit(DENSE_DAY) if dense else F.substring(ts, 1, 10)
     return events(spark, sf_dir).select(
         F.col("event_id").alias("i"),
         F.lpad((F.pmod("user_id", F.lit(7)) + 1).cast("string"), 12, "0").alias("acct"),
         F.when(F.col("event_type") == "click", "us-east-1").when(F.col("event_type") == "view", "eu-west-1")
         .otherwise("ap-south-1").alias("rg"),
-        F.concat(F.substring(ts, 1, 10), F.lit("T"), F.substring(ts, 12, 8), F.lit("Z")).alias("iso"),
+        F.concat(day, F.lit("T"), F.substring(ts, 12, 8), F.lit("Z")).alias("iso"),
         F.md5(F.col("event_id").cast("string")).alias("eid"))
 
 
@@ -52,9 +57,9 @@ def _raw():
     return F.when(_every(70, 3), F.concat(F.lit('{"eventID":"'), "eid")).otherwise(whole)
 
 
-def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audit(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     """Records as both trails deliver them; one event in ten reaches both."""
-    base = _base(spark, sf_dir).withColumn("raw", _raw())
+    base = _base(spark, sf_dir, dense).withColumn("raw", _raw())
     copies = F.when(_every(10, 4), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     names = F.when(F.col("trail_rank") == 0, TRAILS[0].name).otherwise(TRAILS[1].name)
     return base.withColumn("trail_rank", F.explode(copies)).withColumn("trail", names)
@@ -103,13 +108,13 @@ def earlier(files_or_records: DataFrame, day) -> DataFrame:
     return files_or_records.filter(day < SPLIT_DAY)
 
 
-def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_files(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     """`(trail, acct, rg, block, key, body)`: log files of at most `BLOCK` events each.
 
     A cut-off record cannot stand inside a log file; there the id is a number.
     """
     record = F.when(_every(70, 3), F.concat(F.lit('{"eventID":'), F.col("i").cast("string"), F.lit("}"))).otherwise(F.col("raw"))
-    rows = audit(spark, sf_dir).select("trail", "acct", "rg", "i", record.alias("raw"),
+    rows = audit(spark, sf_dir, dense).select("trail", "acct", "rg", "i", record.alias("raw"),
                                        F.floor(F.col("i") / BLOCK).alias("block"))
     in_org = F.col("trail") == TRAILS[0].name
     key = F.concat(
@@ -141,19 +146,30 @@ def write_log_files(files: DataFrame, root: str) -> int:
     return at.mapInPandas(_write_batches, "path string").count()
 
 
-def _write_stored(spark: SparkSession, sf_dir: str, root: str) -> None:
-    files = log_files(spark, sf_dir).select("acct", "key", "body")
+def _write_stored(spark: SparkSession, sf_dir: str, root: str, dense: bool) -> None:
+    files = log_files(spark, sf_dir, dense).select("acct", "key", "body")
     names = F.when(F.col("acct") == "000000000003",
                    F.array("key", F.concat("key", F.lit(".tmp")))).otherwise(F.array("key"))
     write_log_files(files.withColumn("key", F.explode(names)), root)
 
 
-def stored_logs(spark: SparkSession, sf_dir: str) -> str:
+def stored_logs(spark: SparkSession, sf_dir: str, dense: bool = False) -> str:
     """Root folder of the log files of `sf_dir`.
 
     Beside each file of account 3 lies an unfinished upload that no reader may touch.
     """
-    return once(spark, sf_dir, "logs", lambda root: _write_stored(spark, sf_dir, root))
+    return once(spark, sf_dir, "dense-logs" if dense else "logs", lambda root: _write_stored(spark, sf_dir, root, dense))
+
+
+def spoilt_logs(spark: SparkSession, sf_dir: str) -> str:
+    """Root folder of dense log files; those of accounts 4 to 7 are spoilt, each account's in another way."""
+    def make(root):
+        files = log_files(spark, sf_dir, dense=True)
+        a = F.col("acct")
+        body = (F.when(a == "000000000004", F.expr("left(body, length(body) - 1)"))
+                .when(a == "000000000006", "").when(a == "000000000007", '{"Records":"none"}').otherwise(F.col("body")))
+        write_log_files(files.select("key", body.alias("body"), (a == "000000000005").alias("plain")), root)
+    return once(spark, sf_dir, "spoilt", make)
 
 
 def options_for(root: str, **changes) -> IngestOptions:

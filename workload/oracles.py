@@ -1,6 +1,6 @@
 """DuckDB SQL for every checked query, straight from the `events` table."""
 
-from .derive import BLOCK, BUCKET, ORG, SPLIT_DAY
+from .derive import BLOCK, BUCKET, DENSE_DAY, ORG, SPLIT_DAY
 
 AUDIT = f"""
 base AS (
@@ -89,6 +89,12 @@ def _audit(sql: str) -> str:
     return f"WITH {AUDIT} {sql}"
 
 
+def _dense(sql: str) -> str:
+    """The same with all events on one day."""
+    whole = f"WITH {STORED} {sql}"
+    return whole.replace("strftime(ts, '%Y-%m-%dT%H:%M:%SZ')", f"strftime(ts, '{DENSE_DAY}T%H:%M:%SZ')")
+
+
 def _files(sql: str) -> str:
     return f"WITH {FILES} {sql}"
 
@@ -204,4 +210,16 @@ def oracle_sql() -> dict[str, str]:
                    count(DISTINCT key) AS files_processed FROM stored GROUP BY ALL"""),
         "stream_resume": _stored("SELECT acct AS account_id, count(*) AS records FROM stored GROUP BY ALL"),
         "stream_dedup": _audit(f"{ROUTES}"),
+        **{name: _dense(ROUTES) for name in ("ingest_approx_resized", "ingest_approx_overfull", "trails_from_table",
+                                             "stream_late_keys", "stream_second_query")},
+        "ingest_file_counters": _dense("""
+            SELECT (SELECT count(DISTINCT key) FROM stored) AS files_listed,
+                   (SELECT count(DISTINCT key) FROM stored WHERE acct < '000000000004') AS files_processed,
+                   (SELECT count(DISTINCT key) FROM stored WHERE acct >= '000000000004') AS errors,
+                   (SELECT count(DISTINCT route) FROM good WHERE acct < '000000000004') AS hour_buffers,
+                   'yes' AS downloads_ok, 'yes' AS outputs_ok"""),
+        "list_after_checkpoint": _dense(f"""
+            SELECT DISTINCT '{BUCKET}' AS bucket, key
+            FROM (SELECT key, min(key) OVER (PARTITION BY trail, acct, rg) AS first FROM stored) WHERE key > first"""),
+        "stream_bad_files": _dense("SELECT DISTINCT key FROM stored WHERE acct >= '000000000004'"),
     }

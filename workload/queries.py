@@ -254,13 +254,7 @@ def metric_rates(spark, sf_dir):
 
 
 def reject_files(spark, sf_dir):
-    """Files of accounts 4 to 7 are spoilt, each account's in another way."""
-    files = d.log_files(spark, sf_dir)
-    a = F.col("acct")
-    body = (F.when(a == "000000000004", F.expr("left(body, length(body) - 1)"))
-            .when(a == "000000000006", "").when(a == "000000000007", '{"Records":"none"}').otherwise(F.col("body")))
-    root = scratch(spark, "spoilt")
-    d.write_log_files(files.select("key", body.alias("body"), (a == "000000000005").alias("plain")), root)
+    root = d.spoilt_logs(spark, sf_dir)
     bucket = f"{root}/{d.BUCKET}"
     listed = src.list_objects(spark, d.TRAILS, d.options_for(root)).select("key")
     read = src.read_log_files(spark, bucket).select(fn.object_key("path", bucket).alias("key"), "_corrupt")
@@ -342,6 +336,87 @@ def stream_dedup(spark, sf_dir):
     return _routes(src.read_events(spark, out, ["1"]))
 
 
+# Runs that must not lose anything; on the dense set, whose hour folders are few
+
+def _dense(spark, sf_dir, **changes):
+    return d.options_for(d.stored_logs(spark, sf_dir, dense=True), **changes)
+
+
+def ingest_approx_resized(spark, sf_dir):
+    """The sketch is asked for another size between the runs."""
+    root = scratch(spark, "lake")
+    ingest_batch(spark, d.TRAILS[:1], root, _dense(spark, sf_dir, bloom_items=1000))
+    ingest_batch(spark, d.TRAILS, root, _dense(spark, sf_dir, bloom_items=100_000))
+    return _routes(src.read_events(spark, root))
+
+
+def ingest_approx_overfull(spark, sf_dir):
+    """The first run brings many times the ids that the sketch was made for."""
+    root = scratch(spark, "lake")
+    for trails in (d.TRAILS[:1], d.TRAILS):
+        ingest_batch(spark, trails, root, _dense(spark, sf_dir, bloom_items=50))
+    return _routes(src.read_events(spark, root))
+
+
+def trails_from_table(spark, sf_dir):
+    table = spark.createDataFrame([(t.name, t.bucket, t.prefix or None, i) for i, t in enumerate(d.TRAILS)],
+                                  "name string, bucket string, prefix string, trail_rank int")
+    root = scratch(spark, "lake")
+    ingest_batch(spark, table, root, _dense(spark, sf_dir))
+    return _routes(src.read_events(spark, root))
+
+
+def ingest_file_counters(spark, sf_dir):
+    """Over spoilt files: what is no gzip cannot be downloaded, what is no log cannot be processed."""
+    root = scratch(spark, "lake")
+    made = ingest_batch(spark, d.TRAILS, root, d.options_for(d.spoilt_logs(spark, sf_dir)))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*")
+    written = files.load(f"{root}/events").select("path").count()
+    return made.select("files_listed", "files_processed", "errors", "hour_buffers",
+                       _yes_no(F.col("files_downloaded") <= F.col("files_listed")).alias("downloads_ok"),
+                       _yes_no(F.col("jsonl_files") == written).alias("outputs_ok"))
+
+
+def list_after_checkpoint(spark, sf_dir):
+    """A listing that goes on behind the first key of each pair."""
+    options = _dense(spark, sf_dir)
+    first = op.log_objects(src.list_objects(spark, d.TRAILS, options)).groupBy(*PAIR).agg(
+        F.min("key").alias("last_processed_key"))
+    listed = op.log_objects(src.list_objects(spark, d.TRAILS, options, after=first))
+    return op.pending_objects(listed, first).select("bucket", "key").distinct()
+
+
+def _streamed_parts(spark, sf_dir, parts, states, **changes):
+    """The routes of streams, one for each part of the files, that run one after another on one lake."""
+    files, logs, root = d.log_files(spark, sf_dir, dense=True), scratch(spark, "logs"), scratch(spark, "lake")
+    made = {}
+    for part, state in zip(parts, states):
+        d.write_log_files(files.filter(part).select("key", "body"), logs)
+        at = made.setdefault(state, scratch(spark, "stream"))
+        st.stream_ingest(spark, d.TRAILS, root, at, d.options_for(logs, **changes), once=True).awaitTermination()
+    return _routes(src.read_events(spark, root))
+
+
+def stream_late_keys(spark, sf_dir):
+    """The second run's files sort before the first one's, and a micro-batch holds few."""
+    early = F.col("block") == 0
+    return _streamed_parts(spark, sf_dir, (~early, early), ("one", "one"), max_files=60)
+
+
+def stream_second_query(spark, sf_dir):
+    """A second checkpoint folder on the same tables, under the same name."""
+    in_org = F.col("trail") == d.TRAILS[0].name
+    return _streamed_parts(spark, sf_dir, (in_org, ~in_org), ("one", "two"))
+
+
+def stream_bad_files(spark, sf_dir):
+    """The files of a stream that cannot be read, found by a query beside it."""
+    root, out = d.spoilt_logs(spark, sf_dir), scratch(spark, "bad")
+    bucket = f"{root}/{d.BUCKET}"
+    st.stream_bad_files(spark, bucket, out, scratch(spark, "stream"), once=True).awaitTermination()
+    return spark.read.parquet(out).select(fn.object_key("path", bucket).alias("key"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         base_prefixes, search_prefixes, parse_object_keys, account_ids, state_keys, discover_accounts,
@@ -350,5 +425,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         drop_seen_by_date, union_trails, bloom_members, bloom_merge, bloom_dedup, pending_objects,
         advance_checkpoints, merge_checkpoints, checkpoint_marks, file_assignment, write_read_back,
         run_metrics, metric_rates, reject_files, ingest_counters, ingest_checkpoints, ingest_incremental,
-        stream_ingest, stream_checkpoint_table, stream_resume, stream_dedup,
+        stream_ingest, stream_checkpoint_table, stream_resume, stream_dedup, ingest_approx_resized,
+        ingest_approx_overfull, trails_from_table, ingest_file_counters, list_after_checkpoint, stream_late_keys,
+        stream_second_query, stream_bad_files,
     )} | {"distinct_objects": distinct_listing, "ingest_batch": ingest}
