@@ -29,8 +29,11 @@ _LINE = ["leaf", "line"]
 
 
 def _masked(line: Column) -> Column:
-    tokens = F.filter(F.split(line, WORD_SPACE), lambda t: t != "")
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
+    """The tokens of a line; a line without any has one empty token."""
+    tokens = F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), WORD_SPACE)
+    variable = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
+    # Most lines have no digit at all.
+    return F.when(line.rlike("[0-9]"), variable).otherwise(tokens)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,8 +46,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
-    lead = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, DEPTH))
-    return rows.withColumn("leaf", F.xxhash64(lead)).withColumn("line", F.xxhash64(F.concat_ws(" ", "tokens")))
+    return (rows.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
+            .withColumn("line", F.xxhash64("tokens")))
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
