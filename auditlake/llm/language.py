@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDERS = (1, 2, 3)
@@ -141,11 +141,9 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     return Model(languages, counts, np.array([sizes[k] for k in languages], float))
 
 
-def predict_column(text: Column, model: Model) -> Column:
+def predict_column(spark: SparkSession, text: Column, model: Model) -> Column:
     """A struct (lang, score); `und` and 0 for a null text and one without letters."""
-    from pyspark.sql import SparkSession
-
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -167,5 +165,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                         F.col(lang_col).cast("string").alias("lang"))
     model = fit(named.filter(~held_out(F.col("doc_id"))), max_rows)
     return (named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
-                         predict_column(F.col("text"), model).alias("p"))
+                         predict_column(docs.sparkSession, F.col("text"), model).alias("p"))
             .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score"))

@@ -19,7 +19,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, tokenizer_path
@@ -317,7 +317,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: i
     blocks = max(1, -(-loose.count() // block))
     dealt = loose.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(blocks)))
     packed = checkpointed(_pack_blocks(dealt, capacity, seed))
-    level = 1
+    level, done = 1, full
     while blocks > 1:
         # Bins less than nine tenths full meet those of other blocks, ever fewer blocks at a time.
         fill = packed.groupBy("block", "bin").agg(F.sum("size").alias("fill"))
@@ -327,16 +327,16 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: i
         fewer = max(1, min(blocks // 2, -(-n // block)))
         if not n:
             break
-        good = packed.join(poor, ["block", "bin"], "left_anti")
+        # Bins that are full enough are never written again.
+        done = done.unionByName(packed.join(poor, ["block", "bin"], "left_anti"))
         dealt = again.withColumn("block", level * 2 ** 40 + F.pmod(F.xxhash64("key", F.lit(seed + level)), F.lit(fewer)))
-        packed = checkpointed(good.unionByName(_pack_blocks(dealt, capacity, seed + level)))
+        packed = checkpointed(_pack_blocks(dealt, capacity, seed + level))
         blocks, level = fewer, level + 1
     # A sequence is named by its smallest key; it holds `capacity` pieces at most.
-    inside = F.sort_array(F.collect_list(F.struct("key", "size"))).alias("items")
-    bins = full.unionByName(packed).groupBy("block", "bin").agg(inside)
-    offset = F.aggregate(F.slice("items", 1, F.col("pos")), F.lit(0).cast("long"), lambda s, x: s + x["size"])
-    return (bins.select("items", F.posexplode("items").alias("pos", "item"))
-            .select("item.key", F.col("items")[0]["key"].alias("sequence_id"), offset.alias("offset")))
+    inside = Window.partitionBy("block", "bin")
+    before = F.sum("size").over(inside.orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    return done.unionByName(packed).select("key", F.min("key").over(inside).alias("sequence_id"),
+                                           F.coalesce(before, F.lit(0)).cast("long").alias("offset"))
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

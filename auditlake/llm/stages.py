@@ -27,7 +27,7 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     model = toxicity.fit(named, toxicity.grades_of(read_table(spark, sf_dir, "labels")))
     scored = new_name(docs, "toxicity")
-    return (docs.withColumn(scored, toxicity.severity_column(F.col("text"), model))
+    return (docs.withColumn(scored, toxicity.severity_column(spark, F.col("text"), model))
             .filter(F.col(f"{scored}.severity") < toxicity.REJECT).select(*docs.columns))
 
 

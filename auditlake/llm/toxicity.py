@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpointed
@@ -187,11 +187,9 @@ def _shifted(cuts: np.ndarray, grades: np.ndarray, sizes: dict[int, int]) -> np.
     return np.maximum.accumulate(np.array(out))
 
 
-def severity_column(text: Column, model: Model) -> Column:
+def severity_column(spark: SparkSession, text: Column, model: Model) -> Column:
     """A struct (severity, grade). A null or empty text has the severity of one without any feature."""
-    from pyspark.sql import SparkSession
-
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("severity double, grade int")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -211,5 +209,5 @@ def severities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """(doc_id, severity, grade, rejected) of each row of `docs`; rejected from `reject` on."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = fit(named, grades_of(labels))
-    return (named.select("doc_id", severity_column(F.col("text"), model).alias("s")).select("doc_id", "s.*")
+    return (named.select("doc_id", severity_column(docs.sparkSession, F.col("text"), model).alias("s")).select("doc_id", "s.*")
             .withColumn("rejected", F.col("severity") >= reject))
