@@ -25,11 +25,12 @@ def observe_outcomes(records: DataFrame, name: str = "outcomes") -> DataFrame:
         *[F.count_if(reason == r).alias(r) for r in REJECT_REASONS])
 
 
-def event_metrics(groups: DataFrame) -> DataFrame:
+def event_metrics(groups: DataFrame, hour_buffers: int | None = None) -> DataFrame:
     """Event counters from groups of equal records.
 
     `copies` rows stand behind each group; `reject_reason` is set for unusable
-    ones, `is_seen` for ids of earlier runs.
+    ones, `is_seen` for ids of earlier runs. `hour_buffers` is the number of hours written, where
+    the groups do not have their route.
     """
     good = F.col("reject_reason").isNull()
     new = good & ~F.col("is_seen")
@@ -42,7 +43,8 @@ def event_metrics(groups: DataFrame) -> DataFrame:
         F.count_if(new).alias("events_written"),
         (rows(good) - F.count_if(new)).alias("events_duplicate"),
         *[rows(F.col("reject_reason") == r).alias(f"events_{r}") for r in REJECT_REASONS],
-        F.count_distinct(F.when(new, route_key())).alias("hour_buffers"),
+        (F.count_distinct(F.when(new, route_key())) if hour_buffers is None
+         else F.max(F.lit(hour_buffers).cast("bigint"))).alias("hour_buffers"),
     )
 
 
@@ -62,8 +64,9 @@ def file_metrics(files: DataFrame) -> DataFrame:
     )
 
 
-def run_metrics(groups: DataFrame, files: DataFrame, jsonl_files: int = 0) -> DataFrame:
+def run_metrics(groups: DataFrame, files: DataFrame, jsonl_files: int = 0,
+                hour_buffers: int | None = None) -> DataFrame:
     """All counters in one row; `jsonl_files` is the number of files the sink wrote."""
-    parts = event_metrics(groups).unionByName(file_metrics(files), allowMissingColumns=True)
+    parts = event_metrics(groups, hour_buffers).unionByName(file_metrics(files), allowMissingColumns=True)
     parts = parts.withColumn("jsonl_files", F.when(F.col("files_listed").isNotNull(), F.lit(jsonl_files).cast("bigint")))
-    return parts.agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    return parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])

@@ -1,10 +1,13 @@
 """One incremental run: new objects in, new events out.
 
-    pending objects -> scan -> records -> one group per id, reject reason and file
-                    -> known ids marked -> staged table
-    staged table    -> events, seen ids, checkpoints, failed files, metrics
-
-All counts come from the staged table, so a repeated task cannot count twice.
+    pending objects -> scan -> narrow rows, without the text
+    narrow rows     -> one group per id, reject reason and file -> known ids marked
+                    -> places of the copies that lose
+    scan again      -> records without the losers -> events
+    groups          -> seen ids, checkpoints, failed files, metrics
+
+So the text is moved once, by the sink. All counts come from tables that were written down, so a
+repeated task cannot count twice.
 """
 
 import math
@@ -13,7 +16,7 @@ import uuid
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -21,7 +24,7 @@ from ..functions.naming import add_rates
 from ..functions.paths import bare_path, glob_literal
 from ..operators.bloom import BloomSize, bloom_add, bloom_build, bloom_probe, bloom_size
 from ..operators.checkpoints import advance_checkpoints, merge_checkpoints, pending_objects
-from ..operators.dedup import ARRIVAL, same_dates
+from ..operators.dedup import same_dates
 from ..operators.discovery import log_objects
 from ..operators.metrics import run_metrics
 from ..operators.numbering import running_number
@@ -39,7 +42,8 @@ from ..sources.tables import (committed_runs, read_bloom, read_checkpoints, read
 # First character of a group's id: what the group stands for.
 EVENT, UNNAMED, REJECT, FILE = "e", "u", "r", "f"
 PLANNED = StructType([*FAILED_FILE.fields, StructField("run_no", IntegerType())])
-PAYLOAD = ["account_id", "region", "year", "month", "day", "hour", "event_time", "event_micros", "raw"]
+#: Longs, 64 MB as a hash table.
+MAX_BROADCAST_LOSERS = 2_000_000
 
 
 def plan_runs(pending: DataFrame, max_files: int, path: str) -> int:
@@ -63,46 +67,84 @@ def plan_runs(pending: DataFrame, max_files: int, path: str) -> int:
     return math.ceil(total / max_files)
 
 
+def numbered_files(files: DataFrame) -> DataFrame:
+    """The files of one run, at most `max_files` rows, with `file_no` in order of arrival."""
+    order = Window.orderBy("trail_rank", "key", "bucket")
+    return files.withColumn("file_no", F.row_number().over(order).cast("bigint"))
+
+
 def scan_records(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Records of the files of one run, and a row of ordinal -1 for each file.
 
     `files` is at most `max_files` rows: its paths go to the reader and its columns
-    are joined back by broadcast.
+    are joined back by broadcast. `place` orders the records by file and ordinal.
     """
+    place = (F.shiftleft("file_no", 32) + F.col("ordinal")).alias("place")
     paths = [r.path for r in files.select(glob_literal("path").alias("path")).collect()]
-    if not paths:
-        return explode_records(
-            files.select("trail_rank", "bucket", "key", F.lit(None).cast("array<string>").alias("Records"),
-                         F.lit(None).cast("string").alias("_corrupt")), file_rows=True)
-    known = files.select(bare_path("path").alias("_at"), "trail_rank", "bucket", "key")
-    read = read_log_files(spark, paths).withColumn("_at", bare_path("path"))
-    return explode_records(read.join(F.broadcast(known), "_at").drop("_at", "path"), file_rows=True)
+    known = files.select(bare_path("path").alias("_at"), "file_no", "bucket", "key")
+    if paths:
+        read = read_log_files(spark, paths).withColumn("_at", bare_path("path"))
+    else:
+        read = known.select("_at", F.lit(None).cast("array<string>").alias("Records"),
+                            F.lit(None).cast("string").alias("_corrupt"))
+    rows = explode_records(read.join(F.broadcast(known), "_at").drop("_at"), file_rows=True)
+    return rows.select("file_no", "bucket", "key", "ordinal", place, "raw", "_corrupt")
 
 
-def group_rows(records: DataFrame, options: IngestOptions) -> DataFrame:
-    """One row per event id, reject reason and file, from one shuffle.
+def narrow_rows(records: DataFrame, options: IngestOptions) -> DataFrame:
+    """`(group_id, place, day, corrupt)` of each record and file; the text stays behind.
 
-    The group id carries its kind, so events, rejects and files are combined before
-    the shuffle alike; only an event keeps its text.
+    Records with one event id are a group, and so are those with one reject reason; a file is a
+    group of its own. `day` counts from 1970.
     """
     c = classify_records(records, options.strict)
     is_file = F.col("ordinal") < 0
     file_id = F.concat_ws("/", F.lit(FILE), "bucket", "key")
     event = F.concat(F.lit(EVENT), F.col("event_id"))
     if options.keep_missing_ids:
-        event = F.when(F.col("event_id") == "", F.concat_ws("/", F.lit(UNNAMED), "bucket", "key", "ordinal")).otherwise(event)
+        event = F.when(F.col("event_id") == "", F.concat_ws("/", F.lit(UNNAMED), "place")).otherwise(event)
     group = (F.when(is_file, file_id)
              .when(F.col("reject_reason").isNotNull(), F.concat(F.lit(REJECT), F.col("reject_reason")))
              .otherwise(event))
+    # Of the clock the record shows, as its folder is.
+    day = F.datediff(F.concat_ws("-", "year", "month", "day").try_cast("date"), F.lit("1970-01-01"))
     kept = ~is_file & F.col("reject_reason").isNull()
-    first = F.struct(*ARRIVAL, *[F.when(kept, F.col(p)).alias(p) for p in PAYLOAD],
-                     F.when(kept, F.col("event_id")).alias("event_id"),
-                     F.when(~is_file, F.col("reject_reason")).alias("reject_reason"),
-                     "bucket")
-    return (c.groupBy(group.alias("group_id"))
-            .agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("copies"),
-                 F.bool_or(F.col("_corrupt").isNotNull()).alias("corrupt"))
-            .select("group_id", F.substring("group_id", 1, 1).alias("kind"), "_first.*", "copies", "corrupt"))
+    return c.select(group.alias("group_id"), "place", F.when(kept, day).alias("day"),
+                    F.col("_corrupt").isNotNull().alias("corrupt"))
+
+
+def group_rows(rows: DataFrame) -> DataFrame:
+    """One row per group of `narrow_rows` with its first place, from one shuffle of fixed-width sums.
+
+    Each id, reject reason and file is combined before the shuffle.
+    """
+    kind = F.substring("group_id", 1, 1)
+    date = F.date_add(F.lit("1970-01-01"), F.col("day")).cast("string")
+    return (rows.groupBy("group_id")
+            .agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"), F.min("day").alias("day"),
+                 F.max(F.col("corrupt").cast("int")).alias("corrupt"))
+            .select("group_id", kind.alias("kind"), "place", "copies", (F.col("corrupt") > 0).alias("corrupt"),
+                    F.when(kind == EVENT, F.substr("group_id", F.lit(2))).alias("event_id"),
+                    F.when(kind == REJECT, F.substr("group_id", F.lit(2))).alias("reject_reason"),
+                    F.coalesce(date, F.lit("")).alias("event_date")))
+
+
+def losing_places(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The places of good records that are not written: later copies, and copies of known events."""
+    several = groups.filter((F.col("kind") == EVENT) & ((F.col("copies") > 1) | F.col("is_seen"))).select(
+        "group_id", F.col("place").alias("_first"), "is_seen")
+    return (rows.select("group_id", "place").join(several, "group_id")
+            .filter(F.col("is_seen") | (F.col("place") != F.col("_first"))).select("place"))
+
+
+def new_events(records: DataFrame, losers: DataFrame, options: IngestOptions) -> DataFrame:
+    """The good records that are written; their text is not shuffled here.
+
+    Beyond a number of losers that is counted first, they are joined by a shuffle.
+    """
+    good = classify_records(records.filter(F.col("ordinal") >= 0), options.strict).filter(F.col("reject_reason").isNull())
+    few = losers.limit(MAX_BROADCAST_LOSERS + 1).count() <= MAX_BROADCAST_LOSERS
+    return good.join(F.broadcast(losers) if few else losers, "place", "left_anti")
 
 
 class Sketch(NamedTuple):
@@ -192,23 +234,26 @@ def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids:
             options: IngestOptions, work: str) -> None:
     started = time.time()
     # Written down, so that all steps see one listing.
-    files.write.parquet(f"{work}/files")
-    files = spark.read.schema(FAILED_FILE).parquet(f"{work}/files")
+    numbered_files(files).write.parquet(f"{work}/files")
+    files = spark.read.parquet(f"{work}/files")
     sketch = known_sketch(spark, root, run_ids, options) if options.dedup == "approx" else None
-    groups = (group_rows(scan_records(spark, files), options)
-              .withColumn("event_date", F.concat_ws("-", "year", "month", "day")))
-    _maybe_seen(groups, sketch, options).write.parquet(f"{work}/staged")
-    staged = _mark_seen(spark.read.parquet(f"{work}/staged"), root, run_ids, options, work)
-
-    new = staged.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen"))
-    read = staged.filter(F.col("kind") == FILE).select("bucket", "key", "corrupt")
-    tried = (files.join(read, ["bucket", "key"], "left")
+    records = scan_records(spark, files)
+    narrow_rows(records, options).write.parquet(f"{work}/rows")
+    rows = spark.read.parquet(f"{work}/rows")
+    _maybe_seen(group_rows(rows), sketch, options).write.parquet(f"{work}/groups")
+    _mark_seen(spark.read.parquet(f"{work}/groups"), root, run_ids, options, work).write.parquet(f"{work}/marked")
+    groups = spark.read.parquet(f"{work}/marked")
+    losing_places(rows, groups).write.parquet(f"{work}/losers")
+
+    read = groups.filter(F.col("kind") == FILE).select((F.shiftright("place", 32) + 1).alias("file_no"), "corrupt")
+    tried = (files.join(read, "file_no", "left")
              .withColumn("downloaded", F.col("corrupt").isNotNull())
              .withColumn("failed", F.coalesce("corrupt", F.lit(True))).drop("corrupt"))
 
+    # The files are read a second time, now for their text, which goes straight to the sink.
     events = table_path(root, "events", run_id)
-    write_events(new, events, options.events_per_file)
-    ids = new.filter(F.col("kind") == EVENT)
+    write_events(new_events(records, spark.read.parquet(f"{work}/losers"), options), events, options.events_per_file)
+    ids = groups.filter((F.col("kind") == EVENT) & ~F.col("is_seen"))
     write_seen(ids, root, run_id, options.id_buckets)
     if sketch is not None:
         write_bloom(_with_new_ids(sketch, ids), root, run_id)
@@ -222,7 +267,7 @@ def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids:
     write_failed_files(waiting.select(*FAILED_FILE.names).unionByName(failed), root, run_id)
 
     # A file's own group is no event.
-    metrics = (run_metrics(staged.filter(F.col("kind") != FILE), tried, count_files(spark, events))
+    metrics = (run_metrics(groups.filter(F.col("kind") != FILE), tried, *count_files(spark, events))
                .withColumns({"seq": F.lit(seq).cast("bigint"), "finished_at": F.current_timestamp(),
                              "elapsed_seconds": F.lit(time.time() - started)}))
     write_metrics(metrics, root, run_id)

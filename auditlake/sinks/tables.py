@@ -101,11 +101,13 @@ def claimed(spark: SparkSession, root: str, seq: int, run_id: str, hours: float)
         fs.delete(path, False)
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """The data files below a folder."""
+def count_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """The data files below a folder, and the folders they lie in."""
     found = load_or_empty(spark, "path string", lambda: spark.read.format("binaryFile").option(
         "recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select("path"))
-    return found.count()
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    row = found.agg(F.count(F.lit(1)), F.count_distinct(folder)).first()
+    return row[0], row[1]
 
 
 def write_checkpoints(checkpoints: DataFrame, root: str, run_id: str) -> None:

@@ -392,7 +392,20 @@ def test_batch_equals_stream(spark, tmp_path):
 def test_exploded_rows_do_not_reach_one_task(spark, tmp_path):
     """A hot id is combined before the shuffle: the group plan has a partial aggregate."""
     put(tmp_path, key("1.json.gz"), log(event("a")))
-    records = spark.createDataFrame([(0, "b", "k", 0, event("a"), None)],
-                                    "trail_rank int, bucket string, key string, ordinal int, raw string, _corrupt string")
-    text = plan.group_rows(records, options(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    records = spark.createDataFrame([(1, "b", "k", 0, 1, event("a"), None)], "file_no long, bucket string, key string, "
+                                    "ordinal int, place long, raw string, _corrupt string")
+    text = plan.group_rows(plan.narrow_rows(records, options(tmp_path)))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in text and text.count("Exchange hashpartitioning") == 1
+    # The text is neither sorted nor moved: a hash aggregate of fixed-width columns.
+    assert "SortAggregate" not in text and "raw" not in text[:text.index("Exchange")]
+    losers = spark.createDataFrame([(5,)], "place long")
+    text = plan.new_events(records, losers, options(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_many_losers_are_joined_by_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(plan, "MAX_BROADCAST_LOSERS", 0)
+    put(tmp_path, key("1.json.gz"), log(*[event(f"e{i % 3}", n=i) for i in range(20)]))
+    m = run(spark, tmp_path)
+    assert (m["events_written"], m["events_duplicate"]) == (3, 17)
+    assert values(spark, tmp_path) == sorted(event(f"e{i}", n=i) for i in range(3))

@@ -57,9 +57,17 @@ def _raw():
     return F.when(_every(70, 3), F.concat(F.lit('{"eventID":"'), "eid")).otherwise(whole)
 
 
-def audit(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
-    """Records as both trails deliver them; one event in ten reaches both."""
-    base = _base(spark, sf_dir, dense).withColumn("raw", _raw())
+def audit(spark: SparkSession, sf_dir: str, dense: bool = False, copies: int = 1) -> DataFrame:
+    """Records as both trails deliver them; one event in ten reaches both.
+
+    With `copies`, each event stands for so many with numbers and ids of their own.
+    """
+    base = _base(spark, sf_dir, dense)
+    if copies > 1:
+        shift = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
+        many = base.select("*", shift).withColumn("i", F.col("i") * copies + F.col("_copy")).drop("_copy")
+        base = many.withColumn("eid", F.md5(F.col("i").cast("string")))
+    base = base.withColumn("raw", _raw())
     copies = F.when(_every(10, 4), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     names = F.when(F.col("trail_rank") == 0, TRAILS[0].name).otherwise(TRAILS[1].name)
     return base.withColumn("trail_rank", F.explode(copies)).withColumn("trail", names)
@@ -108,14 +116,14 @@ def earlier(files_or_records: DataFrame, day) -> DataFrame:
     return files_or_records.filter(day < SPLIT_DAY)
 
 
-def log_files(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+def log_files(spark: SparkSession, sf_dir: str, dense: bool = False, copies: int = 1, block: int = BLOCK) -> DataFrame:
     """`(trail, acct, rg, block, key, body)`: log files of at most `BLOCK` events each.
 
     A cut-off record cannot stand inside a log file; there the id is a number.
     """
     record = F.when(_every(70, 3), F.concat(F.lit('{"eventID":'), F.col("i").cast("string"), F.lit("}"))).otherwise(F.col("raw"))
-    rows = audit(spark, sf_dir, dense).select("trail", "acct", "rg", "i", record.alias("raw"),
-                                       F.floor(F.col("i") / BLOCK).alias("block"))
+    rows = audit(spark, sf_dir, dense, copies).select("trail", "acct", "rg", "i", record.alias("raw"),
+                                       F.floor(F.col("i") / block).alias("block"))
     in_org = F.col("trail") == TRAILS[0].name
     key = F.concat(
         F.when(in_org, f"logs/AWSLogs/{ORG}/").otherwise("AWSLogs/"), "acct", F.lit("/CloudTrail/"), "rg",
@@ -161,6 +169,17 @@ def stored_logs(spark: SparkSession, sf_dir: str, dense: bool = False) -> str:
     return once(spark, sf_dir, "dense-logs" if dense else "logs", lambda root: _write_stored(spark, sf_dir, root, dense))
 
 
+def replicated_logs(spark: SparkSession, sf_dir: str, records: int) -> tuple[str, int]:
+    """Root folder of dense log files of about 5,000 records, and their number of events."""
+    have = events(spark, sf_dir).count()
+    copies = max(1, -(-records // have))
+
+    def make(root):
+        files = log_files(spark, sf_dir, dense=True, copies=copies, block=20 * BLOCK)
+        write_log_files(files.select("key", "body"), root)
+    return once(spark, sf_dir, f"replicated-{copies}", make), have * copies
+
+
 def spoilt_logs(spark: SparkSession, sf_dir: str) -> str:
     """Root folder of dense log files; those of accounts 4 to 7 are spoilt, each account's in another way."""
     def make(root):
