@@ -15,7 +15,6 @@ import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,8 +28,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Longer words, and those with more than one leading space, are merged one by one.
 MAX_BATCHED = 48
-#: A worker's memory of words, as entries; it starts anew when full, which costs time only.
-CACHE_WORDS = 400_000
+#: A worker's memory of words, as entries; words out of use go when it is full, which costs time only.
+CACHE_WORDS = 1_000_000
 TOGETHER = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -288,31 +287,37 @@ def _walk(back: list[int], last: list[int], size: int) -> list[int]:
 
 
 class Encoder:
-    """Ids of texts, looked up by words; new words are searched many at a time."""
+    """Ids of texts, looked up by words; new words are searched many at a time.
+
+    A word's ids are kept as the bytes of little-endian 32-bit numbers.
+    """
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        out, some, size = [], [], 0
+        return [np.frombuffer(x, "<u4").tolist() for x in self.encode_bytes(texts)]
+
+    def encode_bytes(self, texts: list[str | None]) -> Iterator[bytes]:
+        some, size = [], 0
         for text in texts:
             some.append(text or "")
             size += len(some[-1])
             if size > TOGETHER:
-                out += self._together(some)
+                yield from self._together(some)
                 some, size = [], 0
-        return out + self._together(some)
+        yield from self._together(some)
 
-    def _together(self, texts: list[str]) -> list[list[int]]:
+    def _together(self, texts: list[str]) -> list[bytes]:
         split = [_WORDS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         distinct = set().union(*split) if split else set()
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(distinct)
-        self.known.update(zip(new, self.model.split(new)))
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in split]
+            # What is still in use stays.
+            self.known = {w: self.known[w] for w in distinct if w in self.known}
+        self.known.update(zip(new, (struct.pack(f"<{len(x)}I", *x) for x in self.model.split(new))))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -331,7 +336,7 @@ def encode_column(text: Column, model: str = MODEL) -> Column:
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([np.array(x, np.int32) for x in encoder(model).encode(list(batch))], dtype=object)
+            yield pd.Series([np.frombuffer(x, "<i4") for x in encoder(model).encode_bytes(list(batch))], dtype=object)
     return run(text.cast("string"))
 
 
@@ -357,8 +362,8 @@ def encoded_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         own = encoder(model)
         for batch in batches:
             texts = [t or "" for t in batch]
-            rows = [(len(x), zlib.crc32(np.array(x, "<u4").tobytes()), own.model.decode(x) == t)
-                    for t, x in zip(texts, own.encode(texts))]
+            rows = [(len(x) // 4, zlib.crc32(x), own.model.decode(np.frombuffer(x, "<u4").tolist()) == t)
+                    for t, x in zip(texts, own.encode_bytes(texts))]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_crc32", "round_trip"])
     return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col).cast("string")).alias("e")).select(
         "doc_id", "e.*")
