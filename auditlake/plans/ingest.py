@@ -4,7 +4,7 @@
     narrow rows     -> one group per id, reject reason and file -> known ids marked
                     -> places of the copies that lose
     scan again      -> records without the losers -> events
-    groups          -> seen ids, checkpoints, failed files, metrics
+    groups          -> lines written compared -> seen ids, checkpoints, failed files, metrics
 
 So the text is moved once, by the sink. All counts come from tables that were written down, so a
 repeated task cannot count twice.
@@ -32,8 +32,8 @@ from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
 from ..session import scratch_folder
-from ..sinks import (claimed, compact_seen, count_files, drop_old_sketches, id_bucket, write_bloom, write_checkpoints,
-                     write_events, write_failed_files, write_metrics, write_seen)
+from ..sinks import (claimed, compact_seen, count_files, count_lines, drop_old_sketches, id_bucket, write_bloom,
+                     write_checkpoints, write_events, write_failed_files, write_metrics, write_seen)
 from ..sources.listing import distinct_objects, list_objects
 from ..sources.log_files import explode_records, read_log_files
 from ..sources.tables import (committed_runs, read_bloom, read_checkpoints, read_failed_files, read_metrics,
@@ -253,6 +253,11 @@ def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids:
     # The files are read a second time, now for their text, which goes straight to the sink.
     events = table_path(root, "events", run_id)
     write_events(new_events(records, spark.read.parquet(f"{work}/losers"), options), events, options.events_per_file)
+    # A file that the second scan cannot read, or only in part, gives fewer lines and no error.
+    wanted = groups.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen")).count()
+    written = count_lines(spark, events)
+    if written != wanted:
+        raise RuntimeError(f"run {run_id} wrote {written} of {wanted} events: a file could not be read again")
     ids = groups.filter((F.col("kind") == EVENT) & ~F.col("is_seen"))
     write_seen(ids, root, run_id, options.id_buckets)
     if sketch is not None:

@@ -1,6 +1,6 @@
 """Raw JSON lines by account, region and hour."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ROUTE
@@ -24,3 +24,8 @@ def write_events(events: DataFrame, path: str, events_per_file: int = 10_000) ->
     (event_lines(events).hint("rebalance", *ROUTE)
      .write.mode("overwrite").partitionBy(*ROUTE)
      .option("maxRecordsPerFile", events_per_file).text(path))
+
+
+def count_lines(spark: SparkSession, path: str) -> int:
+    """The lines that `write_events` wrote, read back."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").text(path).count()

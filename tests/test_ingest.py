@@ -142,6 +142,26 @@ def test_a_broken_run_leaves_no_trace(spark, tmp_path, monkeypatch):
     assert values(spark, tmp_path) == sorted([event("a"), event("b")])
 
 
+@pytest.mark.parametrize("broken", ["gone", "cut"])
+def test_a_file_lost_between_the_scans_fails_the_run(spark, tmp_path, monkeypatch, broken):
+    put(tmp_path, key("1.json.gz"), log(event("a"), event("b")))
+    path = put(tmp_path, key("2.json.gz"), log(event("c"), event("b")))
+    places = plan.losing_places
+
+    def lost(*args):
+        os.remove(path) if broken == "gone" else put(tmp_path, key("2.json.gz"), log(event("c"), event("b")), cut=9)
+        return places(*args)
+
+    monkeypatch.setattr(plan, "losing_places", lost)
+    with pytest.raises(RuntimeError, match="wrote 2 of 3 events"):
+        run(spark, tmp_path)
+    monkeypatch.undo()
+    assert values(spark, tmp_path) == []
+    put(tmp_path, key("2.json.gz"), log(event("c"), event("b")))
+    assert run(spark, tmp_path)["events_written"] == 3
+    assert values(spark, tmp_path) == sorted([event("a"), event("b"), event("c")])
+
+
 def test_trails_overlap(spark, tmp_path):
     """Shared folders are read once; between trails the first one's copy is kept."""
     trails = [Trail("one", "b", "z"), Trail("two", "b", ""), Trail("again", "b", "z")]
