@@ -2,9 +2,11 @@
 
 A line's place in the tree is fixed by its number of tokens and its first `DEPTH` tokens, with
 tokens that hold a digit taken as variable. Within such a leaf, a token that holds in `MIN_DOCS`
-documents at its position is constant, any other is a variable field. Lines of a leaf with the same
-constants share a template, if at least `MIN_CONSTANT` of their tokens are constant. A template in
-`MIN_DOCS` documents or more recurs: its lines are dropped from all documents but the first.
+documents at its position can be constant, any other is a variable field. A line has a row of shapes:
+all that can be constant, then without the tokens that the fewest documents hold, and so on while at
+least `MIN_CONSTANT` of its tokens are left. A shape in `MIN_DOCS` documents or more recurs, and the
+first of a line's shapes that does is its template, so a field with frequent values does not hide it.
+Lines of a template are dropped from all documents but the first.
 
 Everything is counted over all lines by narrow rows of hashes; only lines of leaves that can recur
 with variable fields are looked at token by token.
@@ -13,7 +15,7 @@ with variable fields are looked at token by token.
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD_SPACE, checkpointed, new_name
@@ -76,19 +78,24 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     tokens = checkpointed(seen.join(shared, _LINE).select(
         *_LINE, "docs", "first_id", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
         .withColumn("token", F.xxhash64("token")))
-    constant = (tokens.filter(F.col("token") != F.xxhash64(F.lit(VARIABLE))).groupBy("leaf", "at", "token")
-                .agg(F.sum("docs").alias("held")).filter(F.col("held") >= min_docs).select("leaf", "at", "token"))
-    fixed = tokens.join(constant, ["leaf", "at", "token"], "left_semi")
-    # The constants of a line in any order: their number and two mixed sums stand for them.
-    shape = fixed.groupBy(*_LINE).agg(
-        F.first("docs").alias("docs"), F.first("first_id").alias("first_id"), F.first("n").alias("n"),
-        F.count(F.lit(1)).alias("fixed"), F.bit_xor(F.xxhash64("at", "token")).alias("mix"),
-        F.bit_xor(F.xxhash64("token", "at")).alias("mix2"))
+    held = (tokens.filter(F.col("token") != F.xxhash64(F.lit(VARIABLE))).groupBy("leaf", "at", "token")
+            .agg(F.sum("docs").alias("held")).filter(F.col("held") >= min_docs))
+    fixed = tokens.join(held, ["leaf", "at", "token"])
+    # The tokens of a line that as many documents hold, or more. Their order does not matter: their
+    # number and two mixed sums stand for them.
+    above = Window.partitionBy(*_LINE).orderBy(F.col("held").desc())
+    shapes = fixed.select(
+        *_LINE, "docs", "first_id", "n", F.count(F.lit(1)).over(above).alias("fixed"),
+        F.bit_xor(F.xxhash64("at", "token")).over(above).alias("mix"),
+        F.bit_xor(F.xxhash64("token", "at")).over(above).alias("mix2"))
     key = ["leaf", "fixed", "mix", "mix2"]
-    shape = checkpointed(shape.filter(F.col("fixed") >= min_constant * F.col("n")))
-    templates = (shape.groupBy(*key).agg(F.sum("docs").alias("held"), F.min("first_id").alias("first_id"))
-                 .filter(F.col("held") >= min_docs).drop("held"))
-    general = shape.drop("first_id").join(templates, key).select(*_LINE, "first_id")
+    shapes = checkpointed(shapes.filter(F.col("fixed") >= min_constant * F.col("n")).dropDuplicates([*_LINE, "fixed"]))
+    found = shapes.groupBy(*key).agg(F.sum("docs").alias("held")).filter(F.col("held") >= min_docs).drop("held")
+    own = (shapes.join(found, key, "left_semi").groupBy(*_LINE)
+           .agg(F.max(F.struct("fixed", "mix", "mix2")).alias("own"), F.first("first_id").alias("first_id")))
+    own = checkpointed(own)
+    templates = own.groupBy("leaf", "own").agg(F.min("first_id").alias("first_id"))
+    general = own.drop("first_id").join(templates, ["leaf", "own"]).select(*_LINE, "first_id")
     return lines, checkpointed(alone.unionByName(general))
 
 

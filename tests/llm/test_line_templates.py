@@ -109,3 +109,14 @@ def test_edges(spark):
          (6, None, 0), (7, "", 0)], key=str)
     assert lt.drop_lines(docs(spark, [])).count() == 0
     assert run(texts(spark, ["one " * 200000])) == [(0, "one " * 200000)]
+
+
+def test_fields_with_frequent_values_do_not_hide_a_template(spark):
+    authors, sections = [f"a{'x' * i}" for i in range(6)], [f"s{'y' * i}" for i in range(5)]
+    pairs = [(a, s) for a in authors for s in sections]
+    rows = [(i, f"This story was filed by {a} under {s}") for i, (a, s) in enumerate(pairs)]
+    rows += [(100 + i, f"Printed for you by the office of {n}") for i, n in enumerate(["Ann"] * 20 + ["Bob"] * 2)]
+    got = dict(run(docs(spark, rows)))
+    # Sections are held by more documents than authors, so a template is a section's.
+    assert [i for i in range(30) if got[i]] == [0, 1, 2, 3, 4]
+    assert [i for i in range(100, 122) if got[i]] == [100, 120]
