@@ -8,6 +8,9 @@ least `MIN_CONSTANT` of its tokens are left. A shape in `MIN_DOCS` documents or
 first of a line's shapes that does is its template, so a field with frequent values does not hide it.
 Lines of a template are dropped from all documents but the first.
 
+Whatever else is in its leaf, a line recurs by itself if `MIN_DOCS` documents hold it verbatim, or
+with other numbers while more than half of its tokens (`MIN_WORDS`) hold no digit.
+
 Everything is counted over all lines by narrow rows of hashes; only lines of leaves that can recur
 with variable fields are looked at token by token.
 """
@@ -24,32 +27,47 @@ DEPTH = 3
 MIN_DOCS = 3
 MIN_TOKENS = 3
 MIN_CONSTANT = 0.7
+#: More than this part of a line that is alike but for its numbers must be words.
+MIN_WORDS = 0.5
 VARIABLE = "<*>"
 #: Above so many lines (of 24 bytes each), candidates are joined by a shuffle.
 MAX_BROADCAST_LINES = 500_000
 _LINE = ["leaf", "line"]
 
 
-def _masked(line: Column) -> Column:
-    """The tokens of a line; a line without any has one empty token."""
-    tokens = F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), WORD_SPACE)
-    variable = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
-    # Most lines have no digit at all.
-    return F.when(line.rlike("[0-9]"), variable).otherwise(tokens)
+def _masked(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, no, tokens) of each line with enough tokens."""
+    """(doc_id, text_hash, no, verbatim, numbered, tokens) of each line with enough tokens.
+
+    A line without any has one empty token. `verbatim` are the tokens as they are.
+    """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     split = named.select("doc_id", F.xxhash64("text").alias("text_hash"),
                          F.posexplode(F.split("text", "\n")).alias("no", "text"))
-    return (split.select("doc_id", "text_hash", "no", _masked(F.col("text")).alias("tokens"))
-            .filter(F.size("tokens") >= MIN_TOKENS))
+    verbatim = F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), WORD_SPACE)
+    # Most lines have no digit at all.
+    return (split.select("doc_id", "text_hash", "no", verbatim.alias("verbatim"),
+                         F.col("text").rlike("[0-9]").alias("numbered"))
+            .filter(F.size("verbatim") >= MIN_TOKENS)
+            .withColumn("tokens", F.when(F.col("numbered"), _masked(F.col("verbatim"))).otherwise(F.col("verbatim"))))
+
 
+def _keyed(rows: DataFrame, min_docs: int) -> DataFrame:
+    """The rows with `leaf` and `line`, and once more in a leaf of its own each line with numbers, verbatim.
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    return (rows.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
-            .withColumn("line", F.xxhash64("tokens")))
+    A line in `least` documents recurs by itself; null: only by a template.
+    """
+    words = F.size(F.filter("tokens", lambda t: t != VARIABLE))
+    enough = ~F.col("numbered") | (words > MIN_WORDS * F.size("tokens"))
+    masked = F.struct(F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"),
+                      F.xxhash64("tokens").alias("line"), F.when(enough, min_docs).alias("least"))
+    own = F.xxhash64("verbatim")
+    verbatim = F.struct(own.alias("leaf"), own.alias("line"), F.lit(min_docs).alias("least"))
+    entries = F.when(F.col("numbered"), F.array(masked, verbatim)).otherwise(F.array(masked))
+    return rows.select("*", F.inline(entries))
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
@@ -59,16 +77,16 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     `first_id` is the smallest id of a document with the template; null ids count as one document
     and come after all others.
     """
-    keyed = _keyed(_rows(docs, id_col, text_col))
-    lines = checkpointed(keyed.select("doc_id", "text_hash", "no", *_LINE))
+    keyed = _keyed(_rows(docs, id_col, text_col), min_docs)
+    lines = checkpointed(keyed.select("doc_id", "text_hash", "no", *_LINE, "least"))
     distinct = checkpointed(
-        lines.select("doc_id", *_LINE).distinct().groupBy(*_LINE)
-        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_id")))
+        lines.groupBy("doc_id", *_LINE).agg(F.min("least").alias("least")).groupBy(*_LINE)
+        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_id"), F.min("least").alias("least")))
     leaves = (distinct.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count(F.lit(1)).alias("leaf_lines"))
               .filter((F.col("leaf_docs") >= min_docs) & (F.col("leaf_lines") > 1)).select("leaf"))
     shared = checkpointed(distinct.join(leaves, "leaf", "left_semi"))
-    # Alone in its leaf, a line is its own template.
-    alone = distinct.filter(F.col("docs") >= min_docs).join(leaves, "leaf", "left_anti").select(*_LINE, "first_id")
+    by_itself = F.coalesce(F.col("docs") >= F.col("least"), F.lit(False))
+    alone = distinct.filter(by_itself).select(*_LINE, "first_id")
 
     wanted = shared.select(*_LINE, F.col("first_id").alias("doc_id"))
     if wanted.count() <= MAX_BROADCAST_LINES:
@@ -76,7 +94,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     one = [F.col(f"k.{c}") == F.col(f"w.{c}") for c in _LINE] + [F.col("k.doc_id").eqNullSafe(F.col("w.doc_id"))]
     seen = (keyed.alias("k").join(wanted.alias("w"), one, "left_semi").dropDuplicates(_LINE).select(*_LINE, "tokens"))
     tokens = checkpointed(seen.join(shared, _LINE).select(
-        *_LINE, "docs", "first_id", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
+        *_LINE, "docs", "first_id", by_itself.alias("alone"), F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
         .withColumn("token", F.xxhash64("token")))
     held = (tokens.filter(F.col("token") != F.xxhash64(F.lit(VARIABLE))).groupBy("leaf", "at", "token")
             .agg(F.sum("docs").alias("held")).filter(F.col("held") >= min_docs))
@@ -85,13 +103,13 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     # number and two mixed sums stand for them.
     above = Window.partitionBy(*_LINE).orderBy(F.col("held").desc())
     shapes = fixed.select(
-        *_LINE, "docs", "first_id", "n", F.count(F.lit(1)).over(above).alias("fixed"),
+        *_LINE, "docs", "first_id", "alone", "n", F.count(F.lit(1)).over(above).alias("fixed"),
         F.bit_xor(F.xxhash64("at", "token")).over(above).alias("mix"),
         F.bit_xor(F.xxhash64("token", "at")).over(above).alias("mix2"))
     key = ["leaf", "fixed", "mix", "mix2"]
     shapes = checkpointed(shapes.filter(F.col("fixed") >= min_constant * F.col("n")).dropDuplicates([*_LINE, "fixed"]))
     found = shapes.groupBy(*key).agg(F.sum("docs").alias("held")).filter(F.col("held") >= min_docs).drop("held")
-    own = (shapes.join(found, key, "left_semi").groupBy(*_LINE)
+    own = (shapes.filter(~F.col("alone")).join(found, key, "left_semi").groupBy(*_LINE)
            .agg(F.max(F.struct("fixed", "mix", "mix2")).alias("own"), F.first("first_id").alias("first_id")))
     own = checkpointed(own)
     templates = own.groupBy("leaf", "own").agg(F.min("first_id").alias("first_id"))
@@ -118,7 +136,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with an empty text. Rows with the same id are one document. Lines that only null ids share stay.
     """
     lines, found = recurring(docs, id_col, text_col, min_docs, min_constant)
-    later = lines.join(found, _LINE).filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
+    later = lines.drop("least").join(found, _LINE).filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     gone, hashed = new_name(docs, "gone"), new_name(docs, "text_hash")
     lists = later.groupBy("doc_id", "text_hash").agg(F.collect_set("no").alias(gone))
     lists = lists.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), gone)

@@ -120,3 +120,15 @@ def test_fields_with_frequent_values_do_not_hide_a_template(spark):
     # Sections are held by more documents than authors, so a template is a section's.
     assert [i for i in range(30) if got[i]] == [0, 1, 2, 3, 4]
     assert [i for i in range(100, 122) if got[i]] == [100, 120]
+
+
+def test_numbers_do_not_depend_on_the_neighbours(spark):
+    rows = [(i, f"Call 555 123 4567 today now\n{7 + i} 8 9\n2019 2020 {i} in") for i in range(4)]
+    rows += [(9, "Call 555 999 1111 anytime folks"), (10, "2019 2020 3 on"), (11, "2019 2020 3 at")]
+    got = dict(run(docs(spark, rows)))
+    assert got[0] == rows[0][1]
+    assert [got[i] for i in (1, 2, 3)] == [f"{7 + i} 8 9\n2019 2020 {i} in" for i in (1, 2, 3)]
+    assert all(got[i] == t for i, t in rows[4:])
+    # Without the neighbour, and verbatim without any word.
+    rows = [(i, "Call 555 123 4567 today now\n1 2 3") for i in range(4)]
+    assert dict(run(docs(spark, rows))) == {0: rows[0][1], 1: "", 2: "", 3: ""}
