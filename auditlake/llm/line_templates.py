@@ -8,8 +8,10 @@ least `MIN_CONSTANT` of its tokens are left. A shape in `MIN_DOCS` documents or
 first of a line's shapes that does is its template, so a field with frequent values does not hide it.
 Lines of a template are dropped from all documents but the first.
 
-Whatever else is in its leaf, a line recurs by itself if `MIN_DOCS` documents hold it verbatim, or
-with other numbers while more than half of its tokens (`MIN_WORDS`) hold no digit.
+Whatever else is in its leaf, a line recurs by itself if `MIN_DOCS` documents hold it verbatim (two
+are enough for a line of `LONG_BYTES`), or with other numbers while more than half of its tokens
+(`MIN_WORDS`) hold no digit. Lines under `MIN_TOKENS` tokens but of `MIN_BYTES` or more, as in scripts
+without spaces, take part verbatim.
 
 Everything is counted over all lines by narrow rows of hashes; only lines of leaves that can recur
 with variable fields are looked at token by token.
@@ -26,6 +28,8 @@ from .common import WORD_SPACE, checkpointed, new_name
 DEPTH = 3
 MIN_DOCS = 3
 MIN_TOKENS = 3
+MIN_BYTES = 16
+LONG_BYTES = 256
 MIN_CONSTANT = 0.7
 #: More than this part of a line that is alike but for its numbers must be words.
 MIN_WORDS = 0.5
@@ -40,33 +44,36 @@ def _masked(tokens: Column) -> Column:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, no, verbatim, numbered, tokens) of each line with enough tokens.
+    """(doc_id, text_hash, no, verbatim, numbered, bytes, tokens) of each line with enough tokens or bytes.
 
     A line without any has one empty token. `verbatim` are the tokens as they are.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     split = named.select("doc_id", F.xxhash64("text").alias("text_hash"),
                          F.posexplode(F.split("text", "\n")).alias("no", "text"))
-    verbatim = F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), WORD_SPACE)
+    trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
     # Most lines have no digit at all.
-    return (split.select("doc_id", "text_hash", "no", verbatim.alias("verbatim"),
-                         F.col("text").rlike("[0-9]").alias("numbered"))
-            .filter(F.size("verbatim") >= MIN_TOKENS)
+    return (split.select("doc_id", "text_hash", "no", F.split(trimmed, WORD_SPACE).alias("verbatim"),
+                         F.octet_length(trimmed).alias("bytes"), F.col("text").rlike("[0-9]").alias("numbered"))
+            .filter((F.size("verbatim") >= MIN_TOKENS) | (F.col("bytes") >= MIN_BYTES))
             .withColumn("tokens", F.when(F.col("numbered"), _masked(F.col("verbatim"))).otherwise(F.col("verbatim"))))
 
 
 def _keyed(rows: DataFrame, min_docs: int) -> DataFrame:
-    """The rows with `leaf` and `line`, and once more in a leaf of its own each line with numbers, verbatim.
+    """The rows with `leaf` and `line`, and verbatim in leaves of their own the short lines and, once
+    more, those with numbers.
 
     A line in `least` documents recurs by itself; null: only by a template.
     """
     words = F.size(F.filter("tokens", lambda t: t != VARIABLE))
-    enough = ~F.col("numbered") | (words > MIN_WORDS * F.size("tokens"))
+    exact = F.when(F.col("bytes") >= LONG_BYTES, min(2, min_docs)).otherwise(min_docs)
+    least = F.when(~F.col("numbered"), exact).when(words > MIN_WORDS * F.size("tokens"), min_docs)
     masked = F.struct(F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"),
-                      F.xxhash64("tokens").alias("line"), F.when(enough, min_docs).alias("least"))
+                      F.xxhash64("tokens").alias("line"), least.alias("least"))
     own = F.xxhash64("verbatim")
-    verbatim = F.struct(own.alias("leaf"), own.alias("line"), F.lit(min_docs).alias("least"))
-    entries = F.when(F.col("numbered"), F.array(masked, verbatim)).otherwise(F.array(masked))
+    verbatim = F.struct(own.alias("leaf"), own.alias("line"), exact.alias("least"))
+    entries = (F.when(F.size("verbatim") < MIN_TOKENS, F.array(verbatim))
+               .when(F.col("numbered"), F.array(masked, verbatim)).otherwise(F.array(masked)))
     return rows.select("*", F.inline(entries))
 
 
@@ -132,7 +139,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """`docs` without its recurring lines, all columns kept; `count_col` gets the number dropped.
 
-    A null text stays null, lines below `MIN_TOKENS` tokens always stay, and a document can be left
+    A null text stays null, lines below `MIN_TOKENS` tokens and `MIN_BYTES` bytes always stay, and a document can be left
     with an empty text. Rows with the same id are one document. Lines that only null ids share stay.
     """
     lines, found = recurring(docs, id_col, text_col, min_docs, min_constant)

@@ -132,3 +132,12 @@ def test_numbers_do_not_depend_on_the_neighbours(spark):
     # Without the neighbour, and verbatim without any word.
     rows = [(i, "Call 555 123 4567 today now\n1 2 3") for i in range(4)]
     assert dict(run(docs(spark, rows))) == {0: rows[0][1], 1: "", 2: "", 3: ""}
+
+
+def test_lines_without_spaces_and_long_lines_in_two_documents(spark):
+    unspaced, long = "本网站所有内容版权归原作者所有", " ".join(f"long{'abcdefghij'[i % 10] * i}" for i in range(55))
+    rows = [(i, f"{unspaced}\nRead more") for i in range(3)] + [(i, f"{long}\n{long} 77") for i in (5, 6)]
+    rows += [(7, "短い行"), (8, "短い行"), (9, "短い行")]
+    got = dict(run(docs(spark, rows)))
+    assert got[0] == rows[0][1] and got[1] == got[2] == "Read more"
+    assert got[5] == rows[3][1] and got[6] == "" and got[7] == got[8] == got[9] == "短い行"
