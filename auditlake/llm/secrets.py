@@ -31,16 +31,22 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*"
+                           r"(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)?={0,2}")
+_BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 _BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 
 Span = tuple[int, int]
 
 
 class Layer:
-    """Characters with the span of the text each comes from; `starts` is None for the text itself."""
+    """Characters with the span of the text each comes from; `starts` is None for the text itself.
 
-    def __init__(self, text: str, starts=None, ends=None, depth: int = 0):
-        self.text, self.starts, self.ends, self.depth = text, starts, ends, depth
+    A layer that is not `sure` is bytes read as if they were text.
+    """
+
+    def __init__(self, text: str, starts=None, ends=None, depth: int = 0, sure: bool = True):
+        self.text, self.starts, self.ends, self.depth, self.sure = text, starts, ends, depth, sure
 
     def span(self, a: int, b: int) -> Span:
         if self.starts is None:
@@ -69,18 +75,35 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", m.start(), m.end()
 
 
-def _text_of(data: bytes, starts, ends, depth: int) -> Layer | None:
-    """The layer of UTF-8 bytes; None if they are not text."""
+def _holds_any(text: str) -> bool:
+    """Whether a scan finds something in the text, or there is more to decode."""
+    return (next(scan(text), None) is not None
+            or any(p.search(text) for p in (_PERCENT, _UNICODE, _BASE64)))
+
+
+def _text_of(data: bytes, starts, ends, depth: int) -> Iterator[Layer]:
+    """The layers of bytes: UTF-8, or else Latin-1; where there are zero bytes, UTF-16 too.
+
+    What does not look like text is a layer only if it holds anything. Of UTF-16 either order is
+    read, as from an odd place the characters of one are those of the other as far as they are ASCII.
+    """
+    raw = np.frombuffer(data, np.uint8)
     try:
-        text = data.decode("utf-8")
+        text, first = data.decode("utf-8"), np.flatnonzero((raw & 0xC0) != 0x80)
+        sure = sum(not (c.isprintable() or c in "\t\r\n") for c in text) * 10 <= len(text)
     except UnicodeDecodeError:
-        return None
-    odd = sum(not (c.isprintable() or c in "\t\r\n") for c in text)
-    if not text or odd * 10 > len(text):
-        return None
-    raw = np.frombuffer(data, np.uint8)
-    first = np.flatnonzero((raw & 0xC0) != 0x80)
-    return Layer(text, np.minimum.reduceat(starts, first), np.maximum.reduceat(ends, first), depth)
+        text, first, sure = data.decode("latin-1"), np.arange(len(data)), False
+    if text and (sure or _holds_any(text)):
+        yield Layer(text, np.minimum.reduceat(starts, first), np.maximum.reduceat(ends, first), depth, sure)
+    if b"\0" not in data:
+        return
+    for odd in (0, 1):
+        units = np.frombuffer(data[odd:] + b"\0" * ((len(data) - odd) % 2), "<u2").copy()
+        units[(units >= 0xD800) & (units < 0xE000)] = 0xFFFD
+        text, first = units.astype("<u2").tobytes().decode("utf-16-le"), odd + 2 * np.arange(len(units))
+        if len(units) and _holds_any(text):
+            last = np.minimum(first + 1, len(data) - 1)
+            yield Layer(text, np.minimum(starts[first], starts[last]), np.maximum(ends[first], ends[last]), depth, False)
 
 
 def _unpacked(data: bytes, limit: int) -> bytes | None:
@@ -93,19 +116,30 @@ def _unpacked(data: bytes, limit: int) -> bytes | None:
         return None
     engine, out, size = zlib.decompressobj(mode), [], 0
     try:
-        while data and not engine.eof:
+        while data:
             part = engine.decompress(data, PIECE)
             data = engine.unconsumed_tail
             size += len(part)
             if size > limit:
                 raise OverflowError("too large")
             out.append(part)
-            if not part and not data:
+            if engine.eof:
+                data = engine.unused_data
+                if data[:2] != b"\x1f\x8b":
+                    data = data.lstrip(b"\0")
+                if data[:2] != b"\x1f\x8b":
+                    break
+                engine = zlib.decompressobj(31)
+            elif not part and not data:
                 break
     except zlib.error:
         if not out:
             return None
-    return b"".join(out) or None
+    # What follows the packed data is looked at as it is.
+    rest = engine.unused_data.lstrip(b"\0") if engine.eof else b""
+    if size + len(rest) > limit:
+        raise OverflowError("too large")
+    return b"".join([*out, rest]) or None
 
 
 def _bytes_layers(data: bytes, starts, ends, depth: int, limit: int) -> Iterator[Layer | None]:
@@ -124,9 +158,7 @@ def _bytes_layers(data: bytes, starts, ends, depth: int, limit: int) -> Iterator
         if plain is None:
             break
         starts, ends, data = np.full(len(plain), starts.min()), np.full(len(plain), ends.max()), plain
-    layer = _text_of(data, starts, ends, depth)
-    if layer is not None:
-        yield layer
+    yield from _text_of(data, starts, ends, depth)
 
 
 def _rewritten(layer: Layer, parts: list[tuple[str, np.ndarray, np.ndarray]]) -> Layer:
@@ -183,23 +215,36 @@ def _from_bytes(layer: Layer, a: int, b: int, data: bytes, frm, limit: int) -> I
     yield from _bytes_layers(data, low[frm[:, 0] - a], high[frm[:, 1] - 1 - a], layer.depth + 1, limit)
 
 
-def _decoded(layer: Layer, a: int, b: int, limit: int) -> Iterator[Layer]:
-    body = layer.text[a:b].rstrip("=")
+def _decoded(layer: Layer, spans: list[Span], limit: int) -> Iterator[Layer]:
+    """The layers of the base64 in the spans, taken as one run."""
+    body = "".join(layer.text[a:b] for a, b in spans).rstrip("=")
     used = len(body) - (len(body) % 4 == 1)
     data = base64.b64decode(body[:used].translate(str.maketrans("-_", "+/")) + "=" * (-used % 4))
-    at = np.arange(len(data))
-    yield from _from_bytes(layer, a, b, data, np.stack([a + at * 8 // 6, a + (at * 8 + 7) // 6 + 1], axis=1), limit)
+    at, place = np.arange(len(data)), np.concatenate([np.arange(a, b) for a, b in spans])
+    frm = np.stack([place[at * 8 // 6], place[(at * 8 + 7) // 6] + 1], axis=1)
+    yield from _from_bytes(layer, spans[0][0], spans[-1][1], data, frm, limit)
 
 
 def _base64(layer: Layer, limit: int) -> Iterator[Layer]:
-    """Each run of base64; where it is none as a whole, its parts between path and name marks."""
+    """Each run of base64; where it is none as a whole, its parts between path and name marks.
+
+    Runs that go on in the next lines are taken as one too, with and without the first line, which
+    may be something else.
+    """
     for m in _BASE64.finditer(layer.text):
-        whole = list(_decoded(layer, *m.span(), limit))
+        whole = list(_decoded(layer, [m.span()], limit))
         yield from whole
-        if not whole:
+        if not any(x is None or x.sure for x in whole):
             for part in _BASE64_PART.finditer(layer.text, *m.span()):
                 if part.span() != m.span():
-                    yield from _decoded(layer, *part.span(), limit)
+                    yield from _decoded(layer, [part.span()], limit)
+    if "\n" in layer.text:
+        for m in _BASE64_LINES.finditer(layer.text):
+            lines = [r.span() for r in _BASE64_RUN.finditer(layer.text, *m.span())]
+            if len(lines) > 1:
+                yield from _decoded(layer, lines, limit)
+            if len(lines) > 2:
+                yield from _decoded(layer, lines[1:], limit)
 
 
 def layers(text: str, limit: int = MAX_DECODED) -> Iterator[tuple[Layer, int]]:

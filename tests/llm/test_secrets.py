@@ -110,3 +110,29 @@ def test_redact():
     assert secrets.redact("a bcdefgh,jkl", spans) == "a [assign]h,[access]l"
     assert secrets.redact("a bcdefgh,jkl", [("assign", 2, 8), ("hex", 4, 8)]) == "a [assign]h,jkl"
     assert secrets.redact("abc", []) == "abc"
+
+
+def in_lines(data, width=76, end="\n"):
+    whole = b64(data)
+    return end.join(whole[i:i + width] for i in range(0, len(whole), width))
+
+
+NOISE = bytes(random.Random(5).choices(range(256), k=200))
+
+
+@pytest.mark.parametrize("wrapped", [
+    b64(f"é {PLAIN}".encode("latin-1")), b64(PLAIN.encode("utf-16")), b64(PLAIN.encode("utf-16-be")),
+    b64(b"\xff" + PLAIN.encode("utf-16-le")), b64(NOISE + f" {PLAIN} ".encode() + NOISE),
+    b64(gzip.compress(NOISE + f" {PLAIN} ".encode() + NOISE)),
+    b64(gzip.compress(b"nothing here") + gzip.compress(PLAIN.encode())),
+    b64(gzip.compress(b"nothing here") + b"\0\0" + gzip.compress(PLAIN.encode())),
+    b64(gzip.compress(b"nothing here") + PLAIN.encode()),
+    in_lines("x" * 50 + " " + PLAIN), in_lines("x" * 50 + " " + PLAIN, end="\r\n  "),
+    in_lines(gzip.compress(NOISE + f" {PLAIN} ".encode())), "A_LINE_OF_ITS_OWN\n" + in_lines(gzip.compress(NOISE + f" {PLAIN} ".encode())),
+])
+def test_bytes_that_are_not_utf8_and_runs_over_lines(wrapped):
+    text = f"é🙂 before {wrapped} after"
+    base, every, unopened = secrets.find(text)
+    new = [s for s in every if s not in base]
+    assert {s[0] for s in new} == {"assign"} and unopened == 0
+    assert all(9 < a < b <= len(text) - 6 for _, a, b in new)
