@@ -38,3 +38,78 @@ FULL JOIN (SELECT * FROM placed WHERE replica = 2) b ON a.file = b.file AND a."o
 WHERE a.digest IS DISTINCT FROM b.digest OR a.copies IS DISTINCT FROM b.copies
   OR a.page_id IS DISTINCT FROM b.page_id
 """
+
+#: Every document scored for every item.
+OP11 = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM cut WHERE len(terms) > 0
+), postings AS (
+  SELECT doc, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM cut)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc, doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM postings, total GROUP BY term
+), scored AS (
+  SELECT item_id, doc, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+    // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), total
+  GROUP BY item_id, doc, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS "rank", doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE "rank" <= 20
+"""
+
+#: Digests of the rows themselves; the length follows from the template.
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|turn|><|text|><|end|>') + 1 + length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'))
+    + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+#: Every anchor with every row.
+OP13 = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT * FROM (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM pairs WHERE same)
+  WHERE place <= 5
+), negatives AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+    ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS "rank", n.vec_id AS negative_id, positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+)
+SELECT * FROM negatives WHERE "rank" <= 3
+"""
