@@ -50,11 +50,7 @@ def bloom_build(ids: DataFrame, items: int, fpp: float, id_col: str = "event_id"
     Repeats go first (combined before their shuffle), then each block's ids meet in
     one task: bitmaps of many blocks per input task would cost far more to move.
     """
-    return _built(ids, bloom_size(items, fpp), id_col)
-
-
-def _built(ids: DataFrame, size: BloomSize, id_col: str) -> DataFrame:
-    c = F.col(id_col)
+    size, c = bloom_size(items, fpp), F.col(id_col)
     return (ids.select(c).distinct()
             .select(_block(c, size).alias("block"), _bits(c, size).alias("bits"))
             .repartition("block")
@@ -62,25 +58,22 @@ def _built(ids: DataFrame, size: BloomSize, id_col: str) -> DataFrame:
             .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")))
 
 
-def bloom_add(bloom: DataFrame, ids: DataFrame, size: BloomSize, id_col: str = "event_id") -> DataFrame:
-    """`bloom` with more ids, in its own size."""
-    return bloom_merge(bloom, _built(ids, size, id_col))
-
-
 def bloom_merge(a: DataFrame, b: DataFrame) -> DataFrame:
     """The sketch of both id sets; both must have been built for the same size."""
     return a.select("block", "bitmap").unionByName(b.select("block", "bitmap")).groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
 
-def _words(bitmap: Column) -> Column:
-    """The bitmap as 64-bit words, made once for each block and not for each id."""
+def bitmap_words(bitmap: Column, words: Column | None = None) -> Column:
+    """The first `words` 64-bit words of a bitmap (all by default), made once for it and not for each test."""
     def word(i):
         return F.conv(F.hex(F.substring(bitmap, i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BYTES // 8 - 1)), word)
+    last = F.lit(BLOCK_BYTES // 8 - 1) if words is None else (words - 1).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), word)
 
 
-def _has_bit(words: Column, bit: Column) -> Column:
+def has_bit(words: Column, bit: Column) -> Column:
+    """Whether a bit is set; null beyond the last word."""
     # Byte k of a bitmap holds bits 8k to 8k+7, and a word begins with its first byte.
     place = 56 - 8 * F.floor(F.pmod(bit, F.lit(64)) / 8) + F.pmod(bit, F.lit(8))
     return F.getbit(F.get(words, F.floor(bit / 64).cast("int")), place.cast("int")) == 1
@@ -91,8 +84,8 @@ def _probe_ids(ids: DataFrame, bloom: DataFrame, size: BloomSize, broadcast: boo
     bits = _bits(c, size)
     hit = F.lit(True)
     for i in range(size.hashes):
-        hit = hit & _has_bit(F.col("_words"), F.get(bits, F.lit(i)))
-    blocks = bloom.select(F.col("block").alias("_block"), _words(F.col("bitmap")).alias("_words"))
+        hit = hit & has_bit(F.col("_words"), F.get(bits, F.lit(i)))
+    blocks = bloom.select(F.col("block").alias("_block"), bitmap_words(F.col("bitmap")).alias("_words"))
     blocks = F.broadcast(blocks) if broadcast else blocks
     return (ids.join(blocks, _block(c, size) == F.col("_block"), "left")
             .withColumn("maybe_seen", F.coalesce(hit, F.lit(False))).drop("_block", "_words"))

@@ -21,7 +21,7 @@ class IngestOptions:
     # Both are exact. "exact" compares with every id written before; "approx" asks a Bloom
     # sketch first and compares only what it may hold, so that most ids are not read.
     dedup: Literal["exact", "approx"] = "approx"
-    # Ids the sketch is made for at first; it is made anew, four times as large, when full.
+    # Ids that the sketch of one run is made for; four times as many, and so on, if it has more.
     bloom_items: int = 1_000_000
     bloom_fpp: float = 0.001
     # Streams only: "file_log" reads every new file; "high_water" leaves out keys at or
@@ -42,10 +42,12 @@ class IngestOptions:
     retry_seconds: int = 300
     # After so many tries a file waits for `requeue_files`; None tries without end.
     give_up_after: int | None = None
-    # A run that began longer ago than this and did not end no longer keeps others out.
+    # A run that did not renew its claim for so long no longer keeps others out.
     claim_hours: float = 6.0
     flush_seconds: int = 30
-    # Runs after which the ids of all runs so far are merged into one folder.
+    # Runs after which the ids of all runs so far are merged into one folder; also after a run that
+    # had to ask more sketches than this, one after another.
     compact_every: int = 100
-    # Folders a run's ids are dealt to by a hash.
+    most_sketches: int = 8
+    # Folders a run's ids are dealt to by ranges of a hash; may change between runs.
     id_buckets: int = 16

@@ -2,9 +2,9 @@
 
     pending objects -> scan -> narrow rows, without the text
     narrow rows     -> one group per id, reject reason and file -> known ids marked
-                    -> places of the copies that lose
-    scan again      -> records without the losers -> events
-    groups          -> lines written compared -> seen ids, checkpoints, failed files, metrics
+                    -> copies that lose, as a bitmap for each file
+    scan again      -> files with their bitmaps -> records without the losers -> events
+    groups          -> lines written compared -> seen ids, checkpoints, failed files, metrics -> commit
 
 So the text is moved once, by the sink. All counts come from tables that were written down, so a
 repeated task cannot count twice.
@@ -14,7 +14,6 @@ import math
 import time
 import uuid
 from collections.abc import Iterable
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,9 +21,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.naming import add_rates
 from ..functions.paths import bare_path, glob_literal
-from ..operators.bloom import BloomSize, bloom_add, bloom_build, bloom_probe, bloom_size
+from ..operators import losers as lose
 from ..operators.checkpoints import advance_checkpoints, merge_checkpoints, pending_objects
-from ..operators.dedup import same_dates
 from ..operators.discovery import log_objects
 from ..operators.metrics import run_metrics
 from ..operators.numbering import running_number
@@ -32,18 +30,18 @@ from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
 from ..session import scratch_folder
-from ..sinks import (claimed, compact_seen, count_files, count_lines, drop_old_sketches, id_bucket, write_bloom,
-                     write_checkpoints, write_events, write_failed_files, write_metrics, write_seen)
+from ..sinks import (claimed, compact_seen, count_files, count_lines, drop_run, write_checkpoints, write_events,
+                     write_failed_files, write_layer, write_metrics, write_seen)
+from ..sources.known_ids import Layer, known_among, known_layers, layer_of, probe_layers
 from ..sources.listing import distinct_objects, list_objects
 from ..sources.log_files import explode_records, read_log_files
-from ..sources.tables import (committed_runs, read_bloom, read_checkpoints, read_failed_files, read_metrics,
-                              read_seen, table_path)
+from ..sources.tables import committed_runs, read_checkpoints, read_failed_files, read_metrics, table_path
 
 # First character of a group's id: what the group stands for.
 EVENT, UNNAMED, REJECT, FILE = "e", "u", "r", "f"
 PLANNED = StructType([*FAILED_FILE.fields, StructField("run_no", IntegerType())])
-#: Longs, 64 MB as a hash table.
-MAX_BROADCAST_LOSERS = 2_000_000
+#: Between a run's id and the token of the attempt that makes it.
+ATTEMPT = "~"
 
 
 def plan_runs(pending: DataFrame, max_files: int, path: str) -> int:
@@ -73,21 +71,26 @@ def numbered_files(files: DataFrame) -> DataFrame:
     return files.withColumn("file_no", F.row_number().over(order).cast("bigint"))
 
 
-def scan_records(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Records of the files of one run, and a row of ordinal -1 for each file.
+def opened(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(_at, Records, _corrupt) of the files of one run, at most `max_files`: their paths go to the reader."""
+    paths = [r.path for r in files.select(glob_literal("path").alias("path")).collect()]
+    if paths:
+        return read_log_files(spark, paths).select(bare_path("path").alias("_at"), "Records", "_corrupt")
+    return spark.createDataFrame([], "_at string, Records array<string>, _corrupt string")
+
+
+def _with_columns(read: DataFrame, files: DataFrame, *columns: str) -> DataFrame:
+    """The opened files that are among `files`, with `columns` of theirs."""
+    return read.join(F.broadcast(files.select(bare_path("path").alias("_at"), *columns)), "_at").drop("_at")
+
+
+def scan_records(read: DataFrame, files: DataFrame) -> DataFrame:
+    """Records of opened files, and a row of ordinal -1 for each file.
 
-    `files` is at most `max_files` rows: its paths go to the reader and its columns
-    are joined back by broadcast. `place` orders the records by file and ordinal.
+    `place` orders the records by file and ordinal.
     """
     place = (F.shiftleft("file_no", 32) + F.col("ordinal")).alias("place")
-    paths = [r.path for r in files.select(glob_literal("path").alias("path")).collect()]
-    known = files.select(bare_path("path").alias("_at"), "file_no", "bucket", "key")
-    if paths:
-        read = read_log_files(spark, paths).withColumn("_at", bare_path("path"))
-    else:
-        read = known.select("_at", F.lit(None).cast("array<string>").alias("Records"),
-                            F.lit(None).cast("string").alias("_corrupt"))
-    rows = explode_records(read.join(F.broadcast(known), "_at").drop("_at"), file_rows=True)
+    rows = explode_records(_with_columns(read, files, "file_no", "bucket", "key"), file_rows=True)
     return rows.select("file_no", "bucket", "key", "ordinal", place, "raw", "_corrupt")
 
 
@@ -129,83 +132,47 @@ def group_rows(rows: DataFrame) -> DataFrame:
                     F.coalesce(date, F.lit("")).alias("event_date")))
 
 
-def losing_places(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The places of good records that are not written: later copies, and copies of known events."""
+def losing_records(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(file_no, ordinal) of good records that are not written: later copies, and copies of known events."""
     several = groups.filter((F.col("kind") == EVENT) & ((F.col("copies") > 1) | F.col("is_seen"))).select(
         "group_id", F.col("place").alias("_first"), "is_seen")
     return (rows.select("group_id", "place").join(several, "group_id")
-            .filter(F.col("is_seen") | (F.col("place") != F.col("_first"))).select("place"))
+            .filter(F.col("is_seen") | (F.col("place") != F.col("_first")))
+            .select(F.shiftright("place", 32).alias("file_no"),
+                    F.col("place").bitwiseAND(F.lit(2 ** 32 - 1)).alias("ordinal")))
 
 
-def new_events(records: DataFrame, losers: DataFrame, options: IngestOptions) -> DataFrame:
-    """The good records that are written; their text is not shuffled here.
+def new_events(read: DataFrame, files: DataFrame, losers: DataFrame, options: IngestOptions) -> DataFrame:
+    """The good records of opened `files` that are written.
 
-    Beyond a number of losers that is counted first, they are joined by a shuffle.
+    `losers` are `loser_bitmaps`: each comes with its file, whose records are exploded without the
+    losers, so that the text is neither joined nor shuffled here.
     """
-    good = classify_records(records.filter(F.col("ordinal") >= 0), options.strict).filter(F.col("reject_reason").isNull())
-    few = losers.limit(MAX_BROADCAST_LOSERS + 1).count() <= MAX_BROADCAST_LOSERS
-    return good.join(F.broadcast(losers) if few else losers, "place", "left_anti")
-
-
-class Sketch(NamedTuple):
-    """The ids written so far as a sketch; `added` of them in a sketch made for `items`."""
-    table: DataFrame
-    size: BloomSize
-    items: int
-    added: int
-
-
-def known_sketch(spark, root, runs, options: IngestOptions) -> Sketch:
-    """The last run's sketch, or one of all ids where that run kept none or it was full."""
-    found = read_bloom(spark, root, runs)
-    first = None if found is None else found.select("blocks", "hashes", "items", "added").first()
-    if first is not None and first.added <= first.items:
-        return Sketch(found.select("block", "bitmap"), BloomSize(first.blocks, first.hashes), first.items, first.added)
-    seen = read_seen(spark, root, runs)
-    added = seen.count()
-    items = options.bloom_items
-    while items < 2 * added:
-        items *= 4
-    return Sketch(bloom_build(seen, items, options.bloom_fpp), bloom_size(items, options.bloom_fpp), items, added)
-
-
-def _with_new_ids(sketch: Sketch, ids: DataFrame) -> DataFrame:
-    """The sketch with more ids, as it is stored."""
-    added = bloom_add(sketch.table, ids, sketch.size)
-    return added.withColumns({
-        "blocks": F.lit(sketch.size.blocks).cast("bigint"), "hashes": F.lit(sketch.size.hashes),
-        "items": F.lit(sketch.items).cast("bigint"), "added": F.lit(sketch.added + ids.count()).cast("bigint")})
-
-
-def _maybe_seen(groups: DataFrame, sketch: Sketch | None, options: IngestOptions) -> DataFrame:
+    marked = files.join(losers.select("file_no", "losers"), "file_no", "left")
+    read = _with_columns(read, marked, "losers")
+    left = read.withColumn("Records", lose.without_losers(F.col("Records"), F.col("losers"))).drop("losers")
+    return classify_records(explode_records(left), options.strict).filter(F.col("reject_reason").isNull())
+
+
+def _maybe_seen(groups: DataFrame, layers: list[Layer] | None, options: IngestOptions) -> DataFrame:
     """Add `maybe_seen`: false for what needs no comparison with the ids written before."""
     is_event = F.col("kind") == EVENT
-    if sketch is None:
+    if layers is None:
         return groups.withColumn("maybe_seen", is_event)
-    probed = bloom_probe(groups, sketch.table, sketch.items, options.bloom_fpp, unique=True, size=sketch.size)
-    return probed.withColumn("maybe_seen", F.col("maybe_seen") & is_event)
+    return probe_layers(groups, layers, options.bloom_fpp).withColumn("maybe_seen", F.col("maybe_seen") & is_event)
 
 
 def _mark_seen(staged: DataFrame, root, runs, options: IngestOptions, work: str) -> DataFrame:
     """Add `is_seen`, by comparing the groups that a sketch may hold with the ids themselves.
 
-    Only the id folders such groups fall into are read; none, if there are no such groups. Groups
-    are unique, so no id is hot any more.
+    Without such groups no id is read. Groups are unique, so no id is hot any more.
     """
     spark = staged.sparkSession
     keys = ["event_id", "event_date"] if options.prune_by_date else ["event_id"]
     hits = staged.filter("maybe_seen").select("event_id", "event_date")
-    hits = hits.withColumn("id_bucket", id_bucket(F.col("event_id"), options.id_buckets))
-    buckets = [r.id_bucket for r in hits.select("id_bucket").distinct().collect()]
-    if not buckets or not runs:
+    if not runs or hits.isEmpty():
         return staged.drop("maybe_seen").withColumn("is_seen", F.lit(False))
-    seen = read_seen(spark, root, runs)
-    # Older ids may have been dealt to another number of folders.
-    if seen.select(F.coalesce(F.max("id_bucket"), F.lit(0))).first()[0] < options.id_buckets:
-        seen = seen.filter(F.col("id_bucket").isin(buckets))
-    if options.prune_by_date:
-        seen = seen.filter(same_dates(hits))
-    seen.join(hits.select(*keys), keys, "left_semi").select(*keys).distinct().write.parquet(f"{work}/known")
+    known_among(spark, root, runs, hits, keys).write.parquet(f"{work}/known")
     known = spark.read.parquet(f"{work}/known").withColumn("_known", F.lit(True))
     compared = staged.filter("maybe_seen").join(known, keys, "left")
     rest = staged.filter("not maybe_seen").withColumn("is_seen", F.lit(False))
@@ -220,39 +187,57 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
     committed run id is not run again. Gives the run's metrics.
     """
     runs = committed_runs(spark, root)
-    if run_id not in (r for _, r in runs):
+    done = next((r for _, r in runs if r.split(ATTEMPT)[0] == run_id), None)
+    if done is None:
         seq = runs[-1][0] + 1 if runs else 1
-        with claimed(spark, root, seq, run_id, options.claim_hours), scratch_folder(spark, "ingest") as work:
-            _commit(spark, files, root, run_id, seq, [r for _, r in runs], options, work)
-        if seq % options.compact_every == 0:
-            compact_seen(spark, root)
-            drop_old_sketches(spark, root)
-    return add_rates(read_metrics(spark, root).filter(F.col("run_id") == run_id))
-
-
-def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids: list[str],
-            options: IngestOptions, work: str) -> None:
+        # An attempt writes into folders of its own: one that was taken for dead spoils no other.
+        done = f"{run_id}{ATTEMPT}{uuid.uuid4().hex[:8]}"
+        with claimed(spark, root, seq, options.claim_hours) as lease:
+            try:
+                with scratch_folder(spark, "ingest") as work:
+                    sketches = _write_run(spark, files, root, done, seq, [r for _, r in runs], options, work)
+                lease.commit(done)
+            except BaseException:
+                drop_run(spark, root, done)
+                raise
+            if seq % options.compact_every == 0 or sketches > options.most_sketches:
+                compact_seen(spark, root, options.id_buckets,
+                             (options.bloom_items, options.bloom_fpp) if options.dedup == "approx" else None)
+    return add_rates(read_metrics(spark, root).filter(F.col("run_id") == done))
+
+
+def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids: list[str],
+               options: IngestOptions, work: str) -> int:
+    """All tables of a run; how many sketches it had to ask."""
     started = time.time()
     # Written down, so that all steps see one listing.
     numbered_files(files).write.parquet(f"{work}/files")
     files = spark.read.parquet(f"{work}/files")
-    sketch = known_sketch(spark, root, run_ids, options) if options.dedup == "approx" else None
-    records = scan_records(spark, files)
-    narrow_rows(records, options).write.parquet(f"{work}/rows")
+    layers = None
+    if options.dedup == "approx":
+        layers = known_layers(spark, root, run_ids, options.bloom_items, options.bloom_fpp)
+    read = opened(spark, files)
+    narrow_rows(scan_records(read, files), options).write.parquet(f"{work}/rows")
     rows = spark.read.parquet(f"{work}/rows")
-    _maybe_seen(group_rows(rows), sketch, options).write.parquet(f"{work}/groups")
+    _maybe_seen(group_rows(rows), layers, options).write.parquet(f"{work}/groups")
     _mark_seen(spark.read.parquet(f"{work}/groups"), root, run_ids, options, work).write.parquet(f"{work}/marked")
     groups = spark.read.parquet(f"{work}/marked")
-    losing_places(rows, groups).write.parquet(f"{work}/losers")
+    lose.loser_bitmaps(losing_records(rows, groups)).write.parquet(f"{work}/losers")
+    losers = spark.read.parquet(f"{work}/losers")
 
-    read = groups.filter(F.col("kind") == FILE).select((F.shiftright("place", 32) + 1).alias("file_no"), "corrupt")
-    tried = (files.join(read, "file_no", "left")
+    found = groups.filter(F.col("kind") == FILE).select((F.shiftright("place", 32) + 1).alias("file_no"), "corrupt")
+    tried = (files.join(found, "file_no", "left")
              .withColumn("downloaded", F.col("corrupt").isNotNull())
              .withColumn("failed", F.coalesce("corrupt", F.lit(True))).drop("corrupt"))
 
-    # The files are read a second time, now for their text, which goes straight to the sink.
+    # The files are read a second time, now for their text, which goes straight to the sink. Only a run
+    # with more losers than may be broadcast does so in several steps.
     events = table_path(root, "events", run_id)
-    write_events(new_events(records, spark.read.parquet(f"{work}/losers"), options), events, options.events_per_file)
+    ranges = lose.scan_ranges(files, losers)
+    for i, (first, last) in enumerate(ranges or [(0, 0)]):
+        part = files.filter(F.col("file_no").between(first, last))
+        new = new_events(read if len(ranges) < 2 else opened(spark, part), part, losers, options)
+        write_events(new, events, options.events_per_file, "append" if i else "overwrite")
     # A file that the second scan cannot read, or only in part, gives fewer lines and no error.
     wanted = groups.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen")).count()
     written = count_lines(spark, events)
@@ -260,8 +245,8 @@ def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids:
         raise RuntimeError(f"run {run_id} wrote {written} of {wanted} events: a file could not be read again")
     ids = groups.filter((F.col("kind") == EVENT) & ~F.col("is_seen"))
     write_seen(ids, root, run_id, options.id_buckets)
-    if sketch is not None:
-        write_bloom(_with_new_ids(sketch, ids), root, run_id)
+    if layers is not None:
+        write_layer(layer_of(ids, ids.count(), options.bloom_items, options.bloom_fpp), root, run_id)
     write_checkpoints(_advanced(spark, root, run_ids, tried, options), root, run_id)
     wait = F.least(F.lit(86_400.0), options.retry_seconds * F.pow(F.lit(2.0), F.least("attempts", F.lit(40))))
     retry_at = F.current_timestamp() + F.make_dt_interval(secs=wait.cast("decimal(18,6)"))
@@ -276,6 +261,7 @@ def _commit(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids:
                .withColumns({"seq": F.lit(seq).cast("bigint"), "finished_at": F.current_timestamp(),
                              "elapsed_seconds": F.lit(time.time() - started)}))
     write_metrics(metrics, root, run_id)
+    return len(layers or [])
 
 
 def due_files(spark, root: str, run_ids: list[str], options: IngestOptions) -> DataFrame:
@@ -338,4 +324,4 @@ def ingest_batch(spark: SparkSession, trails: Iterable[Trail], root: str,
             files = spark.read.schema(FAILED_FILE).parquet(part)
             made.append(f"{seq + i:08d}-{uuid.uuid4().hex[:8]}")
             ingest_objects(spark, files, root, made[-1], options)
-    return add_rates(read_metrics(spark, root).filter(F.col("run_id").isin(made)))
+    return add_rates(read_metrics(spark, root).filter(F.substring_index("run_id", ATTEMPT, 1).isin(made)))

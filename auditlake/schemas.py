@@ -62,10 +62,14 @@ FAILED_FILE = T.StructType([
 SEEN = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("event_date", T.StringType()),
-    T.StructField("id_bucket", T.IntegerType()),
+    # Rows are sorted by the hash; its range is cut in `id_slots` folders, as many as the writer asked for.
+    T.StructField("id_hash", T.LongType()),
+    T.StructField("id_slots", T.IntegerType()),
+    T.StructField("id_slot", T.IntegerType()),
     T.StructField("run_id", T.StringType()),
 ])
 
+# The sketch of one run's new ids, or of a merged folder of ids.
 BLOOM = T.StructType([
     T.StructField("block", T.LongType()),
     T.StructField("bitmap", T.BinaryType()),
@@ -74,6 +78,7 @@ BLOOM = T.StructType([
     T.StructField("hashes", T.IntegerType()),
     T.StructField("items", T.LongType()),
     T.StructField("added", T.LongType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 ROUTE = ["account_id", "region", "year", "month", "day", "hour"]

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings this engine counts on. Shuffle width is left to the cluster.
@@ -51,6 +52,39 @@ def file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file that is not there yet; false if it is. Only one of several writers makes it,
+    on stores that create files exclusively."""
+    fs, target = file_system(spark, path)
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if it is not there."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    fs, target = file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()] if fs.exists(target) else []
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, target = file_system(spark, path)
     fs.delete(target, True)

@@ -1,8 +1,8 @@
 from .events import count_lines, event_lines, write_events
-from .tables import (claimed, compact_seen, count_files, drop_old_sketches, id_bucket, write_bloom, write_checkpoints,
-                     write_failed_files, write_metrics, write_seen)
+from .tables import (Claimed, claimed, compact_seen, count_files, drop_run, write_checkpoints, write_failed_files,
+                     write_layer, write_metrics, write_seen)
 
 __all__ = [
-    "claimed", "compact_seen", "count_files", "count_lines", "drop_old_sketches", "event_lines", "id_bucket",
-    "write_bloom", "write_checkpoints", "write_events", "write_failed_files", "write_metrics", "write_seen",
+    "Claimed", "claimed", "compact_seen", "count_files", "count_lines", "drop_run", "event_lines",
+    "write_checkpoints", "write_events", "write_failed_files", "write_layer", "write_metrics", "write_seen",
 ]

@@ -15,14 +15,14 @@ def event_lines(events: DataFrame) -> DataFrame:
     return events.select(F.translate("raw", "\n\r", "  ").alias("value"), *ROUTE)
 
 
-def write_events(events: DataFrame, path: str, events_per_file: int = 10_000) -> None:
+def write_events(events: DataFrame, path: str, events_per_file: int = 10_000, mode: str = "overwrite") -> None:
     """Write lines below `account_id=/region=/year=/month=/day=/hour=`.
 
     The rebalance brings an hour's events together for large files, and unlike a
     repartition by the route it splits a busy account over many tasks.
     """
     (event_lines(events).hint("rebalance", *ROUTE)
-     .write.mode("overwrite").partitionBy(*ROUTE)
+     .write.mode(mode).partitionBy(*ROUTE)
      .option("maxRecordsPerFile", events_per_file).text(path))
 
 

@@ -1,15 +1,14 @@
 """The tables an ingest keeps below its root folder.
 
-Every table is a set of `run_id=...` folders. A run counts once its metrics row is
-there; that row is written last, so folders of a broken run are never read.
+Every table is a set of `run_id=...` folders. A run counts once its file in `commits` is there; it is
+made last, and only one writer can make it, so folders of a broken run are never read.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import BLOOM, CHECKPOINT, FAILED_FILE, METRICS, SEEN, STORED_EVENT
+from ..schemas import CHECKPOINT, FAILED_FILE, METRICS, SEEN, STORED_EVENT
 from .paths import load_or_empty
 
 
@@ -18,15 +17,21 @@ def table_path(root: str, table: str, run_id: str | None = None) -> str:
     return base if run_id is None else f"{base}/run_id={run_id}"
 
 
-def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    return load_or_empty(spark, METRICS,
-                         lambda: spark.read.schema(METRICS).json(table_path(root, "metrics")))
+def read_commits(spark: SparkSession, root: str) -> DataFrame:
+    """(seq, run_id) of the runs that count: one small file each."""
+    return load_or_empty(spark, "seq bigint, run_id string",
+                         lambda: spark.read.schema("seq bigint, run_id string").json(table_path(root, "commits")))
 
 
 def committed_runs(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """`(seq, run_id)` of every committed run, oldest first: one small row per run."""
-    rows = read_metrics(spark, root).select("seq", "run_id").collect()
-    return sorted((r.seq, r.run_id) for r in rows)
+    return sorted((r.seq, r.run_id) for r in read_commits(spark, root).collect())
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each committed run."""
+    found = load_or_empty(spark, METRICS, lambda: spark.read.schema(METRICS).json(table_path(root, "metrics")))
+    return found.join(read_commits(spark, root).select("run_id"), "run_id", "left_semi").select(*METRICS.names)
 
 
 def _read_runs(spark, root, table, schema: StructType, run_ids, read) -> DataFrame:
@@ -54,16 +59,6 @@ def read_failed_files(spark: SparkSession, root: str, runs=None) -> DataFrame:
     return _latest(spark, root, "failed_files", FAILED_FILE, runs)
 
 
-def read_bloom(spark: SparkSession, root: str, runs=None) -> DataFrame | None:
-    """The last committed run's sketch, None where it kept none."""
-    try:
-        return _latest(spark, root, "bloom", BLOOM, runs)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def seen_segments(spark: SparkSession, root: str, runs: list[str]) -> tuple[list[tuple[str, str, int]], list[str]]:
     """Merged id folders `(first run, last run, ids)` that cover the oldest of `runs`, oldest first, and
     the runs behind them, whose ids lie in folders of their own."""

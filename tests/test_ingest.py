@@ -10,12 +10,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlake import Trail, ingest_batch, requeue_files
+from auditlake.operators import log_objects, loser_bitmaps
+from auditlake.operators import losers as lose
 from auditlake.plans import ingest as plan
-from auditlake.sources import (committed_runs, read_bloom, read_checkpoints, read_events, read_failed_files,
+from auditlake.session import create_file
+from auditlake.sinks import event_lines, write_seen
+from auditlake.sources import known_among, list_objects
+from auditlake.sources.known_ids import narrowed
+from auditlake.sources import (committed_runs, known_layers, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
 from auditlake.sources.listing import Walk
 from auditlake.sources.tables import seen_segments
-from auditlake.sinks.tables import Claimed, claimed
+from auditlake.sinks.tables import Claimed, claimed, compact_seen
 from auditlake.streaming import (ProgressLog, checkpoint_table, stream_bad_files, stream_dedup, stream_events, stream_ingest,
                                  stream_log_files, stream_write)
 
@@ -120,9 +126,13 @@ def test_merged_ids_are_all_ids(spark, tmp_path, every):
     segments, behind = seen_segments(spark, lake, runs)
     assert len(behind) == 3 % every and segments[0][0] == runs[0] and segments[-1][1] == runs[3 // every * every - 1]
     assert sum(n for *_, n in segments) + read_seen(spark, lake).filter(F.col("run_id").isin(behind)).count() == 7
-    # What was merged is gone.
-    assert sorted(os.listdir(f"{lake}/seen")) == [f"run_id={r}" for r in behind]
-    assert len(os.listdir(f"{lake}/seen_base")) == len(segments)
+    # What was merged is gone with the next merging, when no reader can be at it any more.
+    compact_seen(spark, lake)
+    put(tmp_path, key("9.json.gz"), log(event("e0")))
+    run(spark, tmp_path, compact_every=1)
+    runs = [r for _, r in committed_runs(spark, lake)]
+    assert os.listdir(f"{lake}/seen") == [f"run_id={runs[-1]}"]
+    assert seen_segments(spark, lake, runs)[1] == []
     assert rows(read_seen(spark, lake), "event_id") == [(f"e{j}",) for j in range(7)]
 
 
@@ -146,13 +156,13 @@ def test_a_broken_run_leaves_no_trace(spark, tmp_path, monkeypatch):
 def test_a_file_lost_between_the_scans_fails_the_run(spark, tmp_path, monkeypatch, broken):
     put(tmp_path, key("1.json.gz"), log(event("a"), event("b")))
     path = put(tmp_path, key("2.json.gz"), log(event("c"), event("b")))
-    places = plan.losing_places
+    places = plan.losing_records
 
     def lost(*args):
         os.remove(path) if broken == "gone" else put(tmp_path, key("2.json.gz"), log(event("c"), event("b")), cut=9)
         return places(*args)
 
-    monkeypatch.setattr(plan, "losing_places", lost)
+    monkeypatch.setattr(plan, "losing_records", lost)
     with pytest.raises(RuntimeError, match="wrote 2 of 3 events"):
         run(spark, tmp_path)
     monkeypatch.undo()
@@ -203,7 +213,7 @@ def test_other_ways_give_the_same(spark, tmp_path, changes):
     put(tmp_path, key("2.json.gz"), log(*[event(f"e{i}", time=f"2024-01-0{i % 9 + 1}T00:00:00Z") for i in range(30, 60)]))
     m = run(spark, tmp_path, **changes)
     assert (m["events_written"], m["events_duplicate"]) == (20, 10)
-    assert (read_bloom(spark, str(tmp_path / "lake")) is not None) == (changes.get("dedup") != "exact")
+    assert os.path.exists(tmp_path / "lake" / "bloom") == (changes.get("dedup") != "exact")
 
 
 def test_sketch_starts_from_exact_history(spark, tmp_path):
@@ -227,18 +237,18 @@ def test_a_run_without_hits_reads_no_ids(spark, tmp_path, monkeypatch):
     put(tmp_path, key("1.json.gz"), log(event("a")))
     run(spark, tmp_path)
     put(tmp_path, key("2.json.gz"), log(event("b")))
-    monkeypatch.setattr(plan, "read_seen", None)
+    monkeypatch.setattr(plan, "known_among", None)
     assert run(spark, tmp_path)["events_written"] == 1
 
 
 def test_one_writer_at_a_time(spark, tmp_path):
     put(tmp_path, key("1.json.gz"), log(event("a")))
     lake = str(tmp_path / "lake")
-    with claimed(spark, lake, 1, "other", 1):
+    with claimed(spark, lake, 1, 1):
         with pytest.raises(Claimed):
             run(spark, tmp_path)
     assert run(spark, tmp_path)["events_written"] == 1
-    with claimed(spark, lake, 2, "dead", 1):
+    with claimed(spark, lake, 2, 1):
         put(tmp_path, key("2.json.gz"), log(event("b")))
         assert run(spark, tmp_path, claim_hours=0)["events_written"] == 1
 
@@ -418,14 +428,134 @@ def test_exploded_rows_do_not_reach_one_task(spark, tmp_path):
     assert "partial_min" in text and text.count("Exchange hashpartitioning") == 1
     # The text is neither sorted nor moved: a hash aggregate of fixed-width columns.
     assert "SortAggregate" not in text and "raw" not in text[:text.index("Exchange")]
-    losers = spark.createDataFrame([(5,)], "place long")
-    text = plan.new_events(records, losers, options(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_many_losers_are_joined_by_a_shuffle(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(plan, "MAX_BROADCAST_LOSERS", 0)
-    put(tmp_path, key("1.json.gz"), log(*[event(f"e{i % 3}", n=i) for i in range(20)]))
+def test_no_exchange_moves_the_text_but_the_sink(spark, tmp_path):
+    """Half of all records are copies, and still the plan of the text is one scan with broadcasts."""
+    for i in range(4):
+        put(tmp_path, key(f"{i}.json.gz"), log(*[event(f"e{i // 2}-{j}") for j in range(50)]))
+    files = plan.numbered_files(log_objects(list_objects(spark, [TRAIL], options(tmp_path))))
+    read = plan.opened(spark, files)
+    rows_ = plan.narrow_rows(plan.scan_records(read, files), options(tmp_path))
+    groups = plan.group_rows(rows_).withColumn("is_seen", F.lit(False))
+    losers = loser_bitmaps(plan.losing_records(rows_, groups))
+    written = f"{tmp_path}/losers"
+    losers.write.parquet(written)
+    new = plan.new_events(read, files, spark.read.parquet(written), options(tmp_path))
+    lines = event_lines(new)
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    above = text[:text.index("Scan json")]
+    assert "BroadcastHashJoin" in above and "Exchange hashpartitioning" not in above and "SortMergeJoin" not in text
+    assert lines.count() == 100
+
+
+def test_losers_of_several_parts_and_ranges(spark, tmp_path, monkeypatch):
+    """More than 32,768 records in a file, and more bitmaps than may be broadcast together."""
+    monkeypatch.setattr(lose, "MAX_BYTES", 100)
+    monkeypatch.setattr(plan.lose.scan_ranges, "__defaults__", (100,))
+    records = [event(f"e{i % 40_000}") for i in range(70_000)]
+    put(tmp_path, key("1.json.gz"), log(*records))
+    for i in range(2, 6):
+        put(tmp_path, key(f"{i}.json.gz"), log(event(f"f{i}"), event("e39999"), *[event("g")] * 70))
     m = run(spark, tmp_path)
-    assert (m["events_written"], m["events_duplicate"]) == (3, 17)
-    assert values(spark, tmp_path) == sorted(event(f"e{i}", n=i) for i in range(3))
+    assert (m["events_written"], m["events_duplicate"]) == (40_005, 30_000 + 4 + 4 * 70 - 1)
+    assert values(spark, tmp_path) == sorted([event(f"e{i}") for i in range(40_000)] + [event(f"f{i}") for i in range(2, 6)] + [event("g")])
+
+
+@pytest.mark.parametrize("counts", [(4, 64, 16), (64, 3, 1)])
+def test_any_number_of_id_folders(spark, tmp_path, counts):
+    """Known events are found whatever number of folders each run dealt its ids to."""
+    put(tmp_path, key("0.json.gz"), log(*[event(f"e{i}") for i in range(200)]))
+    assert run(spark, tmp_path, id_buckets=counts[0])["events_written"] == 200
+    for i, n in enumerate(counts[1:]):
+        put(tmp_path, key(f"{i + 1}.json.gz"), log(event("e3"), event("e150"), event(f"new{i}")))
+        m = run(spark, tmp_path, id_buckets=n, dedup=("approx", "exact")[i], compact_every=2)
+        assert (m["events_written"], m["events_duplicate"]) == (1, 2)
+
+
+def test_a_few_hits_read_few_pages(spark, tmp_path):
+    """A hundred hits against a million ids."""
+    lake = str(tmp_path / "lake")
+    ids = spark.range(1_000_000).select(F.sha2(F.col("id").cast("string"), 224).alias("event_id"), F.lit("2024-01-01").alias("event_date"))
+    write_seen(ids, lake, "1")
+    assert create_file(spark, f"{lake}/commits/1.json", '{"seq": 1, "run_id": "1"}')
+    size = sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(f"{lake}/seen") for f in files)
+    hits = ids.filter("event_id < '0007'").unionByName(spark.range(50).select(
+        F.concat(F.lit("new"), "id").alias("event_id"), F.lit("").alias("event_date")))
+    want = hits.filter("event_date <> ''").count()
+    assert 50 < want < 200
+    hits.write.parquet(f"{tmp_path}/hits")
+    hits = spark.read.parquet(f"{tmp_path}/hits")
+    found = known_among(spark, lake, ["1"], hits, ["event_id"])
+    plan_text = found._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.count("PartitionFilters: [isnotnull(run_id") == 0 and "Exchange hashpartitioning(id_hash" not in plan_text
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    before = stats.getLong("bytesRead")
+    assert found.count() == want
+    read = stats.getLong("bytesRead") - before
+    assert read < 0.2 * size, (read, size)
+
+
+def test_many_hits_choose_folders_only(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    ids = spark.range(3000).select(F.concat(F.lit("e"), "id").alias("event_id"), F.lit("d").alias("event_date"))
+    for run_id, slots in (("1", 7), ("2", 300)):
+        write_seen(ids.filter(f"pmod(hash(event_id), 2) = {run_id} - 1"), lake, run_id, slots)
+    seen = read_seen(spark, lake, ["1", "2"])
+    hits = ids.withColumn("id_hash", F.xxhash64("event_id"))
+    for some in (hits.limit(2), hits.filter("id_hash > 9000000000000000000"), hits, hits.limit(0)):
+        for most in (0, 5, 5000):
+            left = narrowed(seen, some, most)
+            assert rows(left.join(some, "event_id", "left_semi"), "event_id") == rows(some, "event_id")
+    few = narrowed(seen, hits.filter("id_hash > 9000000000000000000"), 0)
+    assert 0 < few.count() < 1000
+
+
+def test_bytes_of_a_run_do_not_grow(spark, tmp_path):
+    """Ids and sketches that a run writes are its own, and layers stay few."""
+    lake, sizes = str(tmp_path / "lake"), []
+    for i in range(7):
+        put(tmp_path, key(f"{i}.json.gz"), log(*[event(f"e{j}") for j in range(20 * i, 20 * i + 25)]))
+        m = run(spark, tmp_path, bloom_items=60, compact_every=4)
+        assert (m["events_written"], m["events_duplicate"]) == ((25, 0) if not i else (20, 5))
+        last = committed_runs(spark, lake)[-1][1]
+        sizes.append(sum(os.path.getsize(os.path.join(d, f)) for t in ("seen", "bloom") for d, _, files
+                         in os.walk(f"{lake}/{t}/run_id={last}") for f in files))
+    assert max(sizes) < 1.5 * sizes[1]
+    layers = known_layers(spark, lake, [r for _, r in committed_runs(spark, lake)], 60, 0.001)
+    assert [(x.items, x.added) for x in layers] == [(240, 145)]
+
+
+def test_a_paused_writer_commits_nothing(spark, tmp_path, monkeypatch):
+    """Its claim runs out while it sleeps; another makes the run, and each event is there once."""
+    put(tmp_path, key("1.json.gz"), log(event("a"), event("b")))
+    write, woken = plan.write_metrics, []
+
+    def pause(*args):
+        if not woken:
+            woken.append(1)
+            assert run(spark, tmp_path, claim_hours=0)["events_written"] == 2
+        return write(*args)
+
+    monkeypatch.setattr(plan, "write_metrics", pause)
+    with pytest.raises(Claimed):
+        run(spark, tmp_path)
+    monkeypatch.undo()
+    lake = str(tmp_path / "lake")
+    assert values(spark, tmp_path) == [event("a"), event("b")]
+    assert len(committed_runs(spark, lake)) == 1 == read_metrics(spark, lake).count()
+    assert all(len(os.listdir(f"{lake}/{t}")) == 1 for t in ("events", "seen", "metrics", "checkpoints"))
+
+
+def test_a_living_claim_is_renewed(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    with claimed(spark, lake, 1, 2 / 3600) as lease:
+        time.sleep(3.5)
+        with pytest.raises(Claimed):
+            with claimed(spark, lake, 1, 2 / 3600):
+                pass
+        lease.commit("x")
+    with claimed(spark, lake, 1, 1) as other:
+        with pytest.raises(Claimed):
+            other.commit("y")
+    assert committed_runs(spark, lake) == [(1, "x")]

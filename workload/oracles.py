@@ -211,7 +211,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_resume": _stored("SELECT acct AS account_id, count(*) AS records FROM stored GROUP BY ALL"),
         "stream_dedup": _audit(f"{ROUTES}"),
         **{name: _dense(ROUTES) for name in ("ingest_approx_resized", "ingest_approx_overfull", "trails_from_table",
-                                             "stream_late_keys", "stream_second_query")},
+                                             "stream_late_keys", "stream_second_query", "ingest_rebucketed")},
+        "loser_bitmaps": _dense("""
+            SELECT s.key, count(*) AS records, count(*) FILTER (r.copy_no IS NULL OR r.copy_no = 1) AS "left"
+            FROM stored s LEFT JOIN ranked r ON s.trail = r.trail AND s.i = r.i GROUP BY s.key"""),
+        "known_ids": _audit("SELECT DISTINCT g.event_id FROM good g JOIN seen USING (event_id) WHERE g.i % 97 = 4"),
+        "layered_sketch": _audit("""
+            SELECT count(*) AS ids, count(*) AS found, 'yes' AS few_false FROM (SELECT DISTINCT event_id FROM good)"""),
         "ingest_file_counters": _dense("""
             SELECT (SELECT count(DISTINCT key) FROM stored) AS files_listed,
                    (SELECT count(DISTINCT key) FROM stored WHERE acct < '000000000004') AS files_processed,

@@ -9,10 +9,12 @@ from auditlake import functions as fn
 from auditlake import operators as op
 from auditlake import sources as src
 from auditlake import streaming as st
-from auditlake.plans import ingest_batch
+from auditlake.functions.paths import bare_path
+from auditlake.plans import ingest as plan, ingest_batch
 from auditlake.schemas import PAIR, ROUTE
 from auditlake.session import scratch
-from auditlake.sinks import write_events
+from auditlake.sinks import write_events, write_layer, write_seen
+from auditlake.sources.known_ids import layer_of
 from auditlake.sources.listing import distinct_objects
 
 from . import derive as d
@@ -358,6 +360,62 @@ def ingest_approx_overfull(spark, sf_dir):
     return _routes(src.read_events(spark, root))
 
 
+def ingest_rebucketed(spark, sf_dir):
+    """Each run deals its ids to another number of folders; the last one brings all files once more."""
+    root = scratch(spark, "lake")
+    ingest_batch(spark, d.TRAILS[:1], root, _dense(spark, sf_dir, id_buckets=4))
+    ingest_batch(spark, d.TRAILS, root, _dense(spark, sf_dir, id_buckets=64, compact_every=2))
+    last = _dense(spark, sf_dir, id_buckets=16, dedup="exact")
+    again = src.list_objects(spark, d.TRAILS, last).withColumn("bucket", F.lit("again"))
+    ingest_batch(spark, [], root, last, objects=again)
+    return _routes(src.read_events(spark, root))
+
+
+def loser_bitmaps(spark, sf_dir):
+    """Records of each log file, and those left once the copies of other files have gone."""
+    options = _dense(spark, sf_dir)
+    path = scratch(spark, "losers")
+    plan.numbered_files(op.log_objects(src.list_objects(spark, d.TRAILS, options))).write.parquet(f"{path}/files")
+    files = spark.read.parquet(f"{path}/files")
+    read = plan.opened(spark, files)
+    rows = plan.narrow_rows(plan.scan_records(read, files), options)
+    groups = plan.group_rows(rows).withColumn("is_seen", F.lit(False))
+    losers = op.loser_bitmaps(plan.losing_records(rows, groups))
+    marked = files.join(losers, "file_no", "left").select(bare_path("path").alias("_at"), "key", "losers")
+    left = op.without_losers(F.col("Records"), F.col("losers"))
+    return (read.join(marked, "_at").select("key", F.size("Records").cast("bigint").alias("records"),
+                                            F.size(left).cast("bigint").alias("left")))
+
+
+def known_ids(spark, sf_dir):
+    """Some ids asked of an id table that three runs wrote, each in its own number of folders."""
+    root, seen = scratch(spark, "ids"), _seen(spark, sf_dir).withColumn("part", F.pmod(F.hash("event_id"), F.lit(3)))
+    for i, slots in enumerate((4, 64, 16)):
+        write_seen(seen.filter(F.col("part") == i), root, str(i), slots)
+    good = _good(spark, sf_dir).withColumn("event_date", F.concat_ws("-", "year", "month", "day"))
+    asked = good.filter(F.pmod("i", F.lit(97)) == 4).select("event_id", "event_date").distinct()
+    return src.known_among(spark, root, ["0", "1", "2"], asked, ["event_id"])
+
+
+def layered_sketch(spark, sf_dir):
+    """Five runs write sketches of their own ids; four of them fit into one, and no id is missed."""
+    root, good = scratch(spark, "layers"), _good(spark, sf_dir).select("event_id").distinct()
+    path = scratch(spark, "ids")
+    good.withColumn("run", F.pmod(F.hash("event_id"), F.lit(5))).write.parquet(path)
+    ids = spark.read.parquet(path)
+    for i in range(5):
+        mine = ids.filter(F.col("run") == i)
+        write_layer(layer_of(mine, mine.count(), *BLOOM), root, str(i))
+    layers = src.known_layers(spark, root, list("01234"), *BLOOM)
+    strangers = ids.select(F.concat(F.lit("not-"), "event_id").alias("event_id"), F.lit(False).alias("member"))
+    both = ids.select("event_id", F.lit(True).alias("member")).unionByName(strangers)
+    found = src.probe_layers(both, layers, BLOOM[1])
+    return found.agg(
+        F.count_if("member").alias("ids"), F.count_if(F.col("member") & F.col("maybe_seen")).alias("found"),
+        _yes_no(F.count_if(~F.col("member") & F.col("maybe_seen")) <= 0.002 * len(layers) * F.count_if("member") + 5)
+        .alias("few_false"))
+
+
 def trails_from_table(spark, sf_dir):
     table = spark.createDataFrame([(t.name, t.bucket, t.prefix or None, i) for i, t in enumerate(d.TRAILS)],
                                   "name string, bucket string, prefix string, trail_rank int")
@@ -427,5 +485,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run_metrics, metric_rates, reject_files, ingest_counters, ingest_checkpoints, ingest_incremental,
         stream_ingest, stream_checkpoint_table, stream_resume, stream_dedup, ingest_approx_resized,
         ingest_approx_overfull, trails_from_table, ingest_file_counters, list_after_checkpoint, stream_late_keys,
-        stream_second_query, stream_bad_files,
+        stream_second_query, stream_bad_files, ingest_rebucketed, loser_bitmaps, known_ids, layered_sketch,
     )} | {"distinct_objects": distinct_listing, "ingest_batch": ingest}
