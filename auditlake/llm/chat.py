@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.numbering import running_number
-from .common import checkpointed
+from .common import checkpointed, shared_folder
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 LEARNED = "assistant"
@@ -47,8 +47,10 @@ def unescaped(text: Column) -> Column:
 
 def _named(rows: DataFrame, **columns: Column) -> DataFrame:
     """The columns asked for, with a number `uid` for each row, written down once."""
-    return checkpointed(rows.select(*[c.alias(n) for n, c in columns.items()])
-                        .withColumn("uid", F.monotonically_increasing_id()))
+    path = shared_folder(rows.sparkSession, "messages")
+    numbered = rows.select(*[c.alias(n) for n, c in columns.items()]).withColumn("uid", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return rows.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def reply_links(messages: DataFrame) -> DataFrame:
@@ -133,12 +135,12 @@ def branches(links: DataFrame, most: int | None = None) -> DataFrame:
 
 def _format(messages: DataFrame, links: DataFrame, most: int | None, part: int) -> DataFrame:
     paths = branches(links, most)
-    turns = paths.join(messages.select("uid", "tree", "role", "text"), "uid").withColumn(
-        "part", F.floor(F.col("position") / part))
+    # `parts` is a key, so that a filter on it reaches the paths before any text is joined.
+    paths = paths.withColumns({"part": F.floor(F.col("position") / part), "parts": F.floor(F.col("last") / part) + 1})
+    turns = paths.join(messages.select("uid", "tree", "role", "text"), "uid")
     one = F.struct("position", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = turns.groupBy("leaf", "part").agg(
-        F.sort_array(F.collect_list(one)).alias("turns"), F.first("tree").alias("tree"), F.first("branch").alias("branch"),
-        (F.floor(F.first("last") / part) + 1).alias("parts"))
+    grouped = turns.groupBy("leaf", "branch", "part", "parts").agg(
+        F.sort_array(F.collect_list(one)).alias("turns"), F.first("tree").alias("tree"))
     pieces = F.transform("turns", lambda t: F.struct(
         F.concat(F.lit(TURN), escaped(t.role), F.lit(TEXT)).alias("head"), escaped(t.text).alias("body"),
         (t.role == LEARNED).alias("learned")))
