@@ -5,6 +5,8 @@ each record, kept with the row of the file, so that losers go before the records
 text is neither joined nor moved.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,23 +16,23 @@ from .bloom import BLOCK_BITS, bitmap_words, has_bit
 MAX_BYTES = 64 * 1024 * 1024
 
 
-def loser_bitmaps(losers: DataFrame) -> DataFrame:
-    """(file_no, losers, bytes) for rows (file_no, ordinal).
+def loser_bitmaps(losers: DataFrame, keys: Sequence[str] = ("file_no",)) -> DataFrame:
+    """(file_no, losers, bytes) for rows (file_no, ordinal); other `keys` may stand for the file.
 
     `losers` has an array of 64-bit words for each 32,768 ordinals, no longer than the last loser asks
     for. Rows meet by file and part of it: a bitmap in each input task would be far more to move.
     """
-    parts = (losers.select("file_no", F.floor(F.col("ordinal") / BLOCK_BITS).cast("int").alias("part"),
+    parts = (losers.select(*keys, F.floor(F.col("ordinal") / BLOCK_BITS).cast("int").alias("part"),
                            F.pmod("ordinal", F.lit(BLOCK_BITS)).alias("bit"))
-             .repartition("file_no", "part").groupBy("file_no", "part")
+             .repartition(*keys, "part").groupBy(*keys, "part")
              .agg(F.bitmap_construct_agg("bit").alias("bitmap"), F.max("bit").alias("last")))
     words = bitmap_words(F.col("bitmap"), F.floor(F.col("last") / 64) + 1)
     none = F.array().cast("array<bigint>")
-    found = (parts.groupBy("file_no")
+    found = (parts.groupBy(*keys)
              .agg(F.map_from_entries(F.collect_list(F.struct("part", words))).alias("parts"), F.max("part").alias("last")))
     filled = F.transform(F.sequence(F.lit(0), F.col("last")), lambda p: F.coalesce(F.try_element_at("parts", p), none))
     size = F.aggregate("losers", F.lit(0).cast("long"), lambda n, w: n + 8 * F.size(w))
-    return found.select("file_no", filled.alias("losers")).withColumn("bytes", size)
+    return found.select(*keys, filled.alias("losers")).withColumn("bytes", size)
 
 
 def without_losers(records: Column, losers: Column) -> Column:

@@ -37,7 +37,8 @@ def _write_ids(ids: DataFrame, path: str, slots: int) -> None:
               .repartitionByRange("id_hash").sortWithinPartitions("id_slot", "id_hash").write.mode("overwrite"))
     # Small pages, whose statistics are read first; no dictionary of values that hardly repeat.
     for name, value in (("parquet.page.row.count.limit", PAGE_IDS), ("parquet.enable.dictionary#event_id", "false"),
-                        ("parquet.enable.dictionary#id_hash", "false")):
+                        ("parquet.enable.dictionary#id_hash", "false"),
+                        ("parquet.columnindex.truncate.length", 8)):
         writer = writer.option(name, str(value))
     writer.partitionBy("id_slot").parquet(f"{path}/id_slots={slots}")
 

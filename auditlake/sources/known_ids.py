@@ -25,7 +25,7 @@ from .tables import read_seen, seen_segments, segment_id, table_path
 #: Ranges of hashes that folders are chosen by; a power of two.
 CELLS = 4096
 #: Hashes asked for in one scan of pages, and scans at most.
-PUSHED, SCANS = 32, 64
+PUSHED, SCANS = 128, 16
 #: Hits that are broadcast, as rows of an id and its hash.
 MAX_BROADCAST_HITS = 1_000_000
 
