@@ -35,6 +35,8 @@ class IngestOptions:
     strict_accounts: bool = False
     # True compares only with ids of the same event date (repeats carry the same time).
     prune_by_date: bool = False
+    # Folders of log files that are listed at a time.
+    list_folders: int = 1_000
     # Files of one run; what is left over is the next run's work.
     max_files: int = 100_000
     # A file that could not be read is tried again after this time, then after twice as

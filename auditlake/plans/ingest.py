@@ -310,14 +310,16 @@ def ingest_batch(spark: SparkSession, trails: Iterable[Trail], root: str,
     run_ids = [r for _, r in runs]
     seq = runs[-1][0] + 1 if runs else 1
     checkpoints = read_checkpoints(spark, root, run_ids)
-    listed = list_objects(spark, trails, options, after=checkpoints) if objects is None else objects
-    listed = log_objects(distinct_objects(listed), options.strict_accounts)
-    pending = (pending_objects(listed, checkpoints)
-               .withColumns({"attempts": F.lit(0).cast("bigint"), "retry_at": F.lit(None).cast("timestamp")})
-               .select(*FAILED_FILE.names)
-               .unionByName(due_files(spark, root, run_ids, options).select(*FAILED_FILE.names)))
     made = []
     with scratch_folder(spark, "plan") as work:
+        listed = objects
+        if listed is None:
+            listed = list_objects(spark, trails, options, after=checkpoints, path=f"{work}/listing")
+        listed = log_objects(distinct_objects(listed), options.strict_accounts)
+        pending = (pending_objects(listed, checkpoints)
+                   .withColumns({"attempts": F.lit(0).cast("bigint"), "retry_at": F.lit(None).cast("timestamp")})
+                   .select(*FAILED_FILE.names)
+                   .unionByName(due_files(spark, root, run_ids, options).select(*FAILED_FILE.names)))
         count = plan_runs(pending, options.max_files, work)
         for i in range(count):
             part = f"{work}/all/run_no=0" if count == 1 else f"{work}/runs/run_no={i}"

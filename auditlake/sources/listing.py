@@ -2,11 +2,15 @@
 
 The folders above the files are walked first, and only what can hold new log files is listed: the
 trail folders of account and region pairs, and of a pair that was read before only the folders
-that do not end before its last read key. Spark lists the folders that are left.
+that do not end before its last read key. The walk goes down to the folders that hold files (or `LEVELS`
+below a region) and hands them on in chunks; Spark lists one chunk after another and writes the keys
+down, so that the driver never holds more than those of one chunk.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import chain, islice
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +19,15 @@ from pyspark.sql import functions as F
 from ..functions.paths import LOGS_FOLDER, TRAIL_FOLDER, glob_escaped, object_key
 from ..options import IngestOptions, Trail
 from ..schemas import LOG_SUFFIX, OBJECT, TRAIL
-from ..session import file_system
+from ..session import file_system, scratch
 from .paths import load_or_empty
 
 #: Folders asked for at the same time.
 THREADS = 16
-#: Folder levels below a region that are looked into for the last read key.
+#: Folder levels below a region that are looked into.
 LEVELS = 8
+#: Pairs whose folders are walked at the same time.
+PAIRS = 64
 
 
 def as_trails(trails: Iterable[Trail] | DataFrame) -> list[Trail]:
@@ -57,18 +63,23 @@ class Walk:
         self.spark, self.trail, self.options = spark, trail, options
         self.last_keys = last_keys or {}
         self.asked: list[str] = []
-        root = trail_root(trail, options).rstrip("/")
+        self.root = trail_root(trail, options).rstrip("/")
         self.key_start = len(bucket_root(trail.bucket, options)) + 1
+
+    def folders(self) -> Iterator[str]:
+        """The folders in order of pairs; those of a few pairs are in memory at a time."""
         with ThreadPoolExecutor(THREADS) as pool:
             accounts = []
-            for name, is_folder in self._inside(root):
+            for name, is_folder in self._inside(self.root):
                 if is_folder and name.startswith("o-"):
-                    accounts += [f"{root}/{name}/{a}" for a, folder in self._inside(f"{root}/{name}") if folder]
+                    accounts += [f"{self.root}/{name}/{a}" for a, folder in self._inside(f"{self.root}/{name}") if folder]
                 if is_folder:
-                    accounts.append(f"{root}/{name}")
+                    accounts.append(f"{self.root}/{name}")
             found = pool.map(lambda a: [(a, r) for r, folder in self._inside(f"{a}/{TRAIL_FOLDER}") if folder], accounts)
             pairs = [p for some in found for p in some]
-            self.folders = [f for some in pool.map(lambda p: self._below(*p), pairs) for f in some]
+            for at in range(0, len(pairs), PAIRS):
+                for some in pool.map(lambda p: list(self._below(*p)), pairs[at:at + PAIRS]):
+                    yield from some
 
     def _inside(self, folder: str) -> list[tuple[str, bool]]:
         """Names in a folder and whether they are folders; none if it is not there."""
@@ -81,29 +92,37 @@ class Walk:
                 raise
             return []
 
-    def _below(self, account: str, region: str) -> list[str]:
+    def _below(self, account: str, region: str) -> Iterator[str]:
         """The parts of a region's folder that hold keys after the pair's last one."""
-        here = f"{account}/{TRAIL_FOLDER}/{region}"
         last = self.last_keys.get((account.rsplit("/", 1)[1], region))
-        if last is None:
-            return [here]
-        out = []
-        for _ in range(LEVELS):
-            holds_last, inside = None, self._inside(here)
-            if not any(is_folder for _, is_folder in inside):
-                return [*out, here]
-            for name, is_folder in inside:
-                key = f"{here}/{name}"[self.key_start:]
-                if not is_folder:
-                    out += [f"{here}/{name}"] if _bytes(key) > _bytes(last) else []
-                elif last.startswith(f"{key}/"):
-                    holds_last = f"{here}/{name}"
-                elif _bytes(f"{key}/") > _bytes(last):
-                    out.append(f"{here}/{name}")
-            if holds_last is None:
-                return out
-            here = holds_last
-        return [*out, here]
+        here = f"{account}/{TRAIL_FOLDER}/{region}"
+        yield from self._whole(here, 0) if last is None else self._after(here, last, 0)
+
+    def _whole(self, here: str, level: int) -> Iterator[str]:
+        """A folder as the folders in it that hold files."""
+        inside = self._inside(here) if level < LEVELS else []
+        if not inside or not all(is_folder for _, is_folder in inside):
+            yield here
+            return
+        for name, _ in inside:
+            yield from self._whole(f"{here}/{name}", level + 1)
+
+    def _after(self, here: str, last: str, level: int) -> Iterator[str]:
+        """The parts of the folder of the last read key that hold later ones."""
+        inside = self._inside(here) if level < LEVELS else []
+        if not any(is_folder for _, is_folder in inside):
+            yield here
+            return
+        for name, is_folder in inside:
+            path = f"{here}/{name}"
+            key = path[self.key_start:]
+            if not is_folder:
+                if _bytes(key) > _bytes(last):
+                    yield path
+            elif last.startswith(f"{key}/"):
+                yield from self._after(path, last, level + 1)
+            elif _bytes(f"{key}/") > _bytes(last):
+                yield from self._whole(path, level + 1)
 
 
 def _bytes(key: str) -> bytes:
@@ -119,18 +138,14 @@ def _last_keys(after: DataFrame | None, trail: Trail) -> dict[tuple[str, str], s
     return {(r.account_id, r.region): r.last_processed_key for r in rows if r.last_processed_key}
 
 
-def _list_trail(spark, trail: Trail, rank: int, options: IngestOptions, suffix: str, after) -> DataFrame | None:
-    paths = [glob_escaped(f) for f in Walk(spark, trail, options, _last_keys(after, trail)).folders]
-    if not paths:
-        return None
-
+def _list_folders(spark, trail: Trail, rank: int, options: IngestOptions, suffix: str, folders: list[str]) -> DataFrame:
     def load():
         # `content` is never selected, so no file is opened.
         return (spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
                 .option("pathGlobFilter", f"*{suffix}")
                 .option("ignoreMissingFiles", True)
-                .load(paths)
+                .load([glob_escaped(f) for f in folders])
                 .select("path", "length", "modificationTime"))
 
     found = load_or_empty(spark, "path string, length bigint, modificationTime timestamp", load)
@@ -142,19 +157,40 @@ def _list_trail(spark, trail: Trail, rank: int, options: IngestOptions, suffix:
         F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
 
 
+def _chunks(spark, trails: list[Trail], options: IngestOptions, suffix: str, after) -> Iterator[list[DataFrame]]:
+    """Listings of at most `list_folders` folders together."""
+    parts, left = [], options.list_folders
+    for rank, trail in enumerate(trails):
+        folders = Walk(spark, trail, options, _last_keys(after, trail)).folders()
+        while some := list(islice(folders, left)):
+            parts.append(_list_folders(spark, trail, rank, options, suffix, some))
+            left -= len(some)
+            if not left:
+                yield parts
+                parts, left = [], options.list_folders
+    if parts:
+        yield parts
+
+
 def list_objects(spark: SparkSession, trails: Iterable[Trail] | DataFrame, options: IngestOptions,
-                 suffix: str = LOG_SUFFIX, after: DataFrame | None = None) -> DataFrame:
+                 suffix: str = LOG_SUFFIX, after: DataFrame | None = None, path: str | None = None) -> DataFrame:
     """The log objects in the trail folders of all accounts and regions of all trails.
 
     With checkpoints in `after`, folders that end before the last read key of their pair are not
-    listed; objects at or below that key may still be among the rows.
+    listed; objects at or below that key may still be among the rows. A listing of more than one chunk is
+    written down chunk by chunk below `path` (a scratch folder by default) and read from there.
     """
-    parts = [_list_trail(spark, t, i, options, suffix, after) for i, t in enumerate(as_trails(trails))]
-    out = spark.createDataFrame([], OBJECT)
-    for part in parts:
-        if part is not None:
-            out = out.unionByName(part)
-    return out
+    def joined(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    chunks = _chunks(spark, as_trails(trails), options, suffix, after)
+    first, second = next(chunks, None), next(chunks, None)
+    if second is None:
+        return spark.createDataFrame([], OBJECT) if first is None else joined(first)
+    path = path or scratch(spark, "listing")
+    for parts in chain([first, second], chunks):
+        joined(parts).write.mode("append").parquet(path)
+    return spark.read.schema(OBJECT).parquet(path)
 
 
 def distinct_objects(objects: DataFrame) -> DataFrame:

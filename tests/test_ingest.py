@@ -19,6 +19,7 @@ from auditlake.sources import known_among, list_objects
 from auditlake.sources.known_ids import narrowed
 from auditlake.sources import (committed_runs, known_layers, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
+from auditlake.sources import listing
 from auditlake.sources.listing import Walk
 from auditlake.sources.tables import seen_segments
 from auditlake.sinks.tables import Claimed, claimed, compact_seen
@@ -265,9 +266,9 @@ def test_listing_goes_on_after_the_last_key(spark, tmp_path):
     put(tmp_path, key("2024/01/03/c.json.gz"), log(event("c")))
     pair = ("000000000001", "us-east-1")
     walk = Walk(spark, TRAIL, options(tmp_path), {pair: key("2024/01/03/b.json.gz")})
-    below = [f.split("us-east-1/")[1] for f in walk.folders if "000000000001" in f]
+    below = [f.split("us-east-1/")[1] for f in walk.folders() if "000000000001" in f]
     assert sorted(below) == ["2024/01/03", "2024/01/04", "2024/01/05"]
-    assert not any("Digest" in f or f.endswith(("01/01", "01/02")) for f in walk.asked)
+    assert not any("Digest" in f or f.endswith(("01/01", "01/02")) for f in walk.asked if "000000000002" not in f)
     assert run(spark, tmp_path)["files_listed"] == 5
     assert len(values(spark, tmp_path)) == 12
 
@@ -565,3 +566,31 @@ def test_a_living_claim_is_renewed(spark, tmp_path):
         with pytest.raises(Claimed):
             other.commit("y")
     assert committed_runs(spark, lake) == [(1, "x")]
+
+
+def test_listing_in_chunks(spark, tmp_path, monkeypatch):
+    """A thousand files in a hundred folders, of which few are held at a time; later runs list the new ones."""
+    names = [f"2024/{m:02d}/{d:02d}/{n}.json.gz" for m in range(1, 6) for d in range(1, 21) for n in range(10)]
+    for n in names:
+        put(tmp_path, key(n, region=f"r{int(n[5:7]) % 3}"), "")
+    put(tmp_path, key("top.json.gz", region="r3"), "")
+    put(tmp_path, key("2024/01/x.json.gz", region="r0", account="000000000002"), "")
+    held = []
+    one = listing._list_folders
+
+    def counted(spark_, trail, rank, options_, suffix, folders):
+        found = one(spark_, trail, rank, options_, suffix, folders)
+        held.append((len(folders), found.count()))
+        return found
+
+    monkeypatch.setattr(listing, "_list_folders", counted)
+    few = options(tmp_path, list_folders=8)
+    found = list_objects(spark, [TRAIL, Trail("second", "b", "")], few)
+    want = sorted([key(n, region=f"r{int(n[5:7]) % 3}") for n in names]
+                  + [key("top.json.gz", region="r3"), key("2024/01/x.json.gz", region="r0", account="000000000002")])
+    assert [k for k, in rows(found.filter("trail_rank = 0"), "key")] == want == [k for k, in rows(found.filter("trail_rank = 1"), "key")]
+    assert max(n for n, _ in held) <= 8 and max(n for _, n in held) <= 80 and len(held) >= 26
+    last = spark.createDataFrame([("b", "", "000000000001", "r0", key("2024/03/19/9.json.gz", region="r0"))],
+                                 "bucket string, prefix string, account_id string, region string, last_processed_key string")
+    left = [k for k, in rows(list_objects(spark, [TRAIL], few, after=last), "key") if "/r0/2024/03" in k and "000000000001" in k]
+    assert left == [key(f"2024/03/{d}/{n}.json.gz", region="r0") for d in (19, 20) for n in range(10)]
