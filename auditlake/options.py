@@ -46,6 +46,8 @@ class IngestOptions:
     give_up_after: int | None = None
     # A run that did not renew its claim for so long no longer keeps others out.
     claim_hours: float = 6.0
+    # Between two progress lines of a run.
+    progress_seconds: float = 10.0
     flush_seconds: int = 30
     # Runs after which the ids of all runs so far are merged into one folder; also after a run that
     # had to ask more sketches than this, one after another.

@@ -30,12 +30,13 @@ from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
 from ..session import scratch_folder
-from ..sinks import (claimed, compact_seen, count_files, count_lines, drop_run, write_checkpoints, write_events,
-                     write_failed_files, write_layer, write_metrics, write_seen)
+from ..sinks import (claimed, compact_seen, drop_run, write_checkpoints, write_events, write_failed_files, write_layer,
+                     write_manifest, write_metrics, write_seen)
 from ..sources.known_ids import Layer, known_among, known_layers, layer_of, probe_layers
 from ..sources.listing import distinct_objects, list_objects
 from ..sources.log_files import explode_records, read_log_files
 from ..sources.tables import committed_runs, read_checkpoints, read_failed_files, read_metrics, table_path
+from .progress import RunProgress, run_progress
 
 # First character of a group's id: what the group stands for.
 EVENT, UNNAMED, REJECT, FILE = "e", "u", "r", "f"
@@ -194,8 +195,8 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
         done = f"{run_id}{ATTEMPT}{uuid.uuid4().hex[:8]}"
         with claimed(spark, root, seq, options.claim_hours) as lease:
             try:
-                with scratch_folder(spark, "ingest") as work:
-                    sketches = _write_run(spark, files, root, done, seq, [r for _, r in runs], options, work)
+                with run_progress(spark, done, options.progress_seconds) as progress, scratch_folder(spark, "ingest") as work:
+                    sketches = _write_run(spark, files, root, done, seq, [r for _, r in runs], options, work, progress)
                 lease.commit(done)
             except BaseException:
                 drop_run(spark, root, done)
@@ -207,18 +208,21 @@ def ingest_objects(spark: SparkSession, files: DataFrame, root: str, run_id: str
 
 
 def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_ids: list[str],
-               options: IngestOptions, work: str) -> int:
+               options: IngestOptions, work: str, progress: RunProgress) -> int:
     """All tables of a run; how many sketches it had to ask."""
     started = time.time()
     # Written down, so that all steps see one listing.
     numbered_files(files).write.parquet(f"{work}/files")
     files = spark.read.parquet(f"{work}/files")
+    count, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    progress.step("scan", files=count, bytes=size)
     layers = None
     if options.dedup == "approx":
         layers = known_layers(spark, root, run_ids, options.bloom_items, options.bloom_fpp)
     read = opened(spark, files)
     narrow_rows(scan_records(read, files), options).write.parquet(f"{work}/rows")
     rows = spark.read.parquet(f"{work}/rows")
+    progress.step("dedup")
     _maybe_seen(group_rows(rows), layers, options).write.parquet(f"{work}/groups")
     _mark_seen(spark.read.parquet(f"{work}/groups"), root, run_ids, options, work).write.parquet(f"{work}/marked")
     groups = spark.read.parquet(f"{work}/marked")
@@ -233,16 +237,18 @@ def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_id
     # The files are read a second time, now for their text, which goes straight to the sink. Only a run
     # with more losers than may be broadcast does so in several steps.
     events = table_path(root, "events", run_id)
+    progress.step("write", events=groups.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen")).count())
     ranges = lose.scan_ranges(files, losers)
     for i, (first, last) in enumerate(ranges or [(0, 0)]):
         part = files.filter(F.col("file_no").between(first, last))
         new = new_events(read if len(ranges) < 2 else opened(spark, part), part, losers, options)
         write_events(new, events, options.events_per_file, "append" if i else "overwrite")
     # A file that the second scan cannot read, or only in part, gives fewer lines and no error.
-    wanted = groups.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen")).count()
-    written = count_lines(spark, events)
-    if written != wanted:
-        raise RuntimeError(f"run {run_id} wrote {written} of {wanted} events: a file could not be read again")
+    wanted = progress.facts["events"]
+    written = write_manifest(spark, root, run_id)
+    if written.rows != wanted:
+        raise RuntimeError(f"run {run_id} wrote {written.rows} of {wanted} events: a file could not be read again")
+    progress.step("state")
     ids = groups.filter((F.col("kind") == EVENT) & ~F.col("is_seen"))
     write_seen(ids, root, run_id, options.id_buckets)
     if layers is not None:
@@ -257,7 +263,7 @@ def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_id
     write_failed_files(waiting.select(*FAILED_FILE.names).unionByName(failed), root, run_id)
 
     # A file's own group is no event.
-    metrics = (run_metrics(groups.filter(F.col("kind") != FILE), tried, *count_files(spark, events))
+    metrics = (run_metrics(groups.filter(F.col("kind") != FILE), tried, written.files, written.folders)
                .withColumns({"seq": F.lit(seq).cast("bigint"), "finished_at": F.current_timestamp(),
                              "elapsed_seconds": F.lit(time.time() - started)}))
     write_metrics(metrics, root, run_id)

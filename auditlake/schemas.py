@@ -89,6 +89,23 @@ STORED_EVENT = T.StructType(
     [T.StructField(c, T.StringType()) for c in ["value", "run_id", *ROUTE]]
 )
 
+# A file of event lines that a run, or a merge of hours, wrote below its `run_id=` folder.
+MANIFEST = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("folder", T.StringType()),
+    *[T.StructField(c, T.StringType()) for c in ROUTE],
+    T.StructField("file", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("bytes", T.LongType()),
+])
+
+# An hour folder of a run whose events a merge has written anew.
+REPLACED = T.StructType([
+    T.StructField("old_run", T.StringType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+])
+
 COUNTERS = [
     "files_listed", "files_downloaded", "files_processed", "bytes_downloaded",
     "events_processed", "events_written", "events_duplicate",

@@ -1,8 +1,8 @@
-from .events import count_lines, event_lines, write_events
-from .tables import (Claimed, claimed, compact_seen, count_files, drop_run, write_checkpoints, write_failed_files,
-                     write_layer, write_metrics, write_seen)
+from .events import event_lines, merge_hours, write_events, write_manifest
+from .tables import (Claimed, claimed, compact_seen, drop_run, write_checkpoints, write_failed_files, write_layer,
+                     write_metrics, write_seen)
 
 __all__ = [
-    "Claimed", "claimed", "compact_seen", "count_files", "count_lines", "drop_run", "event_lines",
-    "write_checkpoints", "write_events", "write_failed_files", "write_layer", "write_metrics", "write_seen",
+    "Claimed", "claimed", "compact_seen", "drop_run", "event_lines", "merge_hours", "write_checkpoints",
+    "write_events", "write_failed_files", "write_layer", "write_manifest", "write_metrics", "write_seen",
 ]

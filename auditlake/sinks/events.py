@@ -1,9 +1,22 @@
 """Raw JSON lines by account, region and hour."""
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..functions.paths import decoded
+from ..options import IngestOptions
+from ..schemas import ROUTE, STORED_EVENT
+from ..session import create_file, drop_folder, read_file, scratch_folder
+from ..sources.events import committed_merges, event_files, event_lines_in, read_replaced
+from ..sources.tables import table_path
+from .tables import claimed, drop_run
 
-from ..schemas import ROUTE
+#: Hours of one merge, and files, whose names and places are broadcast.
+MERGED_HOURS, MERGED_FILES = 1_000, 100_000
 
 
 def event_lines(events: DataFrame) -> DataFrame:
@@ -26,6 +39,99 @@ def write_events(events: DataFrame, path: str, events_per_file: int = 10_000, mo
      .option("maxRecordsPerFile", events_per_file).text(path))
 
 
-def count_lines(spark: SparkSession, path: str) -> int:
-    """The lines that `write_events` wrote, read back."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").text(path).count()
+class Written(NamedTuple):
+    rows: int
+    files: int
+    folders: int
+
+
+def write_manifest(spark: SparkSession, root: str, run_id: str) -> Written:
+    """The files that `write_events` wrote for a run, their lines read back and counted."""
+    base = table_path(root, "events", run_id)
+    stored = StructType([f for f in STORED_EVENT.fields if f.name != "run_id"])
+    lines = spark.read.schema(stored).option("basePath", base).option("pathGlobFilter", "part-*").text(base)
+    folder = F.regexp_extract(decoded("_metadata.file_path"), "/(account_id=.*)/[^/]*$", 1)
+    files = (lines.select(folder.alias("folder"), *ROUTE, F.col("_metadata.file_name").alias("file"),
+                          F.col("_metadata.file_size").alias("bytes"))
+             .groupBy("folder", *ROUTE, "file", "bytes").agg(F.count(F.lit(1)).alias("rows")))
+    path = table_path(root, "manifest", run_id)
+    files.withColumn("region", F.coalesce("region", F.lit(""))).write.mode("overwrite").parquet(path)
+    return Written(*spark.read.parquet(path).agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1)),
+                                                 F.count_distinct("folder")).first())
+
+
+def merge_hours(spark: SparkSession, root: str, options: IngestOptions = IngestOptions(), where: Column | None = None) -> int:
+    """Write hours anew that lie in more files than their events need; how many.
+
+    An hour gets files from every run that brings events of it. Those that meet `where` (a condition on the
+    route: hours that are cold) are filled up to `events_per_file` lines, many hours in one commit; a
+    reader sees the old files or the new ones. Old files go with the next call, when no reader can be at
+    them any more. Runs can go on meanwhile; two merges at a time cannot.
+    """
+    merged = 0
+    _drop_replaced(spark, root)
+    while True:
+        merges = committed_merges(spark, root)
+        seq = merges[-1][0] + 1 if merges else 1
+        name = f"merge-{seq:08d}-{uuid.uuid4().hex[:8]}"
+        with claimed(spark, root, seq, options.claim_hours, "merge_") as lease:
+            try:
+                done = _merge_some(spark, root, name, options, where)
+                if not done:
+                    return merged
+                lease.commit(name)
+            except BaseException:
+                drop_run(spark, root, name)
+                raise
+        merged += done
+
+
+def _merge_some(spark, root, name, options, where) -> int:
+    """Merge some hours as the run `name`, not committed yet."""
+    files = event_files(spark, root).filter(F.lit(True) if where is None else where)
+    needed = F.ceil(F.sum("rows") / options.events_per_file)
+    hours = (files.groupBy(*ROUTE).agg(F.count(F.lit(1)).alias("files"), needed.alias("needed"))
+             .filter(F.col("files") > F.col("needed")).orderBy(*ROUTE).limit(MERGED_HOURS).collect())
+    chosen, size = [], 0
+    for h in hours:
+        if chosen and size + h.files > MERGED_FILES:
+            break
+        chosen.append(tuple(h[c] for c in ROUTE))
+        size += h.files
+    if not chosen:
+        return 0
+    with scratch_folder(spark, "merge") as work:
+        picked = spark.createDataFrame(chosen, ", ".join(f"{c} string" for c in ROUTE))
+        before = Window.partitionBy(*ROUTE).orderBy("run_id", "file").rowsBetween(Window.unboundedPreceding, -1)
+        (files.join(F.broadcast(picked), ROUTE, "left_semi")
+         .withColumn("first", F.coalesce(F.sum("rows").over(before), F.lit(0))).write.parquet(work))
+        old = spark.read.parquet(work)
+        folders = old.select("run_id", "folder").distinct()
+        texts = event_lines_in(spark, root, [f"run_id={r.run_id}/{r.folder}" for r in folders.collect()],
+                               wholetext=True, pathGlobFilter="part-*")
+        # A file has at most `events_per_file` lines. Read as one value, each line knows its number.
+        places = old.select("run_id", "folder", "file", "first")
+        named = texts.select("value", "run_id", *ROUTE, F.col("_metadata.file_name").alias("file"),
+                             F.regexp_extract(decoded("_metadata.file_path"), "/(account_id=.*)/[^/]*$", 1).alias("folder"))
+        lines = (named.join(F.broadcast(places), ["run_id", "folder", "file"])
+                 .select(*ROUTE, "first", F.posexplode(F.split(F.regexp_replace("value", "\n\\z", ""), "\n")).alias("at", "value"))
+                 .withColumn("bin", F.floor((F.col("first") + F.col("at")) / options.events_per_file)))
+        (lines.repartition(*ROUTE, "bin").sortWithinPartitions(*ROUTE, "bin").select("value", *ROUTE)
+         .write.mode("overwrite").partitionBy(*ROUTE).option("maxRecordsPerFile", options.events_per_file)
+         .text(table_path(root, "events", name)))
+        wanted, written = old.agg(F.sum("rows")).first()[0], write_manifest(spark, root, name).rows
+        if wanted != written:
+            raise RuntimeError(f"{name} wrote {written} of {wanted} events")
+        (folders.select(F.col("run_id").alias("old_run"), "folder").coalesce(1)
+         .write.mode("overwrite").parquet(table_path(root, "replaced", name)))
+    return len(chosen)
+
+
+def _drop_replaced(spark: SparkSession, root: str) -> None:
+    """The hour folders that earlier merges replaced, each merge's once."""
+    for _, name in committed_merges(spark, root):
+        mark = f"{table_path(root, 'merge_cleaned')}/{name}"
+        if read_file(spark, mark) is None:
+            for r in read_replaced(spark, root, [name]).collect():
+                drop_folder(spark, f"{table_path(root, 'events', r.old_run)}/{r.folder}")
+            create_file(spark, mark, "")

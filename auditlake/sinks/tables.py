@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..schemas import BLOOM, CHECKPOINT, FAILED_FILE, METRICS, SEEN
 from ..session import create_file, drop_folder, file_system, folders_in, read_file
 from ..sources.known_ids import id_hash, id_slot, layer_of
-from ..sources.paths import load_or_empty
 from ..sources.tables import committed_runs, seen_segments, segment_id, table_path
 
 #: A merged folder is merged again once what came after it has this part of its ids.
@@ -23,7 +22,7 @@ MERGE_SHARE = 0.5
 #: Ids in a page of the id table: what a single hit has to read.
 PAGE_IDS = 200
 #: Tables of a run, to be dropped if it fails.
-RUN_TABLES = ("events", "seen", "bloom", "checkpoints", "failed_files", "metrics")
+RUN_TABLES = ("events", "manifest", "seen", "bloom", "checkpoints", "failed_files", "metrics", "replaced")
 
 
 def write_seen(seen: DataFrame, root: str, run_id: str, slots: int = 16) -> None:
@@ -99,11 +98,12 @@ class Claimed(RuntimeError):
 
 
 class Lease:
-    """The right to make one run, by a file that holds a token of its own."""
+    """The right to make one run (or one merge), by a file that holds a token of its own."""
 
-    def __init__(self, spark: SparkSession, root: str, seq: int):
+    def __init__(self, spark: SparkSession, root: str, seq: int, kind: str = ""):
         self.spark, self.root, self.seq = spark, root, seq
-        self.path, self.token = f"{table_path(root, 'claims')}/{seq:08d}", uuid.uuid4().hex
+        self.path, self.token = f"{table_path(root, f'{kind}claims')}/{seq:08d}", uuid.uuid4().hex
+        self.file = f"{table_path(root, f'{kind}commits')}/{seq:08d}.json"
 
     def held(self) -> bool:
         return read_file(self.spark, self.path) == self.token
@@ -130,20 +130,19 @@ class Lease:
 
     def commit(self, run_id: str) -> None:
         """Make the run count. Of two writers that both think to hold the number, one can."""
-        file = f"{table_path(self.root, 'commits')}/{self.seq:08d}.json"
         if not self.held():
             raise Claimed(f"run {self.seq} of {self.root} was taken over by another writer")
-        if not create_file(self.spark, file, json.dumps({"seq": self.seq, "run_id": run_id}) + "\n"):
+        if not create_file(self.spark, self.file, json.dumps({"seq": self.seq, "run_id": run_id}) + "\n"):
             raise Claimed(f"run {self.seq} of {self.root} was committed by another writer")
 
 
 @contextmanager
-def claimed(spark: SparkSession, root: str, seq: int, hours: float):
+def claimed(spark: SparkSession, root: str, seq: int, hours: float, kind: str = ""):
     """Hold run number `seq` while the block runs; its lease is renewed four times within `hours`.
 
     A claim that was not renewed for `hours` was left behind by a run that died, and is taken over.
     """
-    lease, ended = Lease(spark, root, seq), threading.Event()
+    lease, ended = Lease(spark, root, seq, kind), threading.Event()
     lease.take(hours)
 
     def renewing():
@@ -160,15 +159,6 @@ def claimed(spark: SparkSession, root: str, seq: int, hours: float):
         lease.drop()
 
 
-def count_files(spark: SparkSession, path: str) -> tuple[int, int]:
-    """The data files below a folder, and the folders they lie in."""
-    found = load_or_empty(spark, "path string", lambda: spark.read.format("binaryFile").option(
-        "recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select("path"))
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    row = found.agg(F.count(F.lit(1)), F.count_distinct(folder)).first()
-    return row[0], row[1]
-
-
 def write_checkpoints(checkpoints: DataFrame, root: str, run_id: str) -> None:
     checkpoints.select(*CHECKPOINT.names).write.mode("overwrite").parquet(table_path(root, "checkpoints", run_id))
 

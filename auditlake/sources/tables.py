@@ -5,10 +5,9 @@ made last, and only one writer can make it, so folders of a broken run are never
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import CHECKPOINT, FAILED_FILE, METRICS, SEEN, STORED_EVENT
+from ..schemas import CHECKPOINT, FAILED_FILE, METRICS, SEEN
 from .paths import load_or_empty
 
 
@@ -17,10 +16,10 @@ def table_path(root: str, table: str, run_id: str | None = None) -> str:
     return base if run_id is None else f"{base}/run_id={run_id}"
 
 
-def read_commits(spark: SparkSession, root: str) -> DataFrame:
+def read_commits(spark: SparkSession, root: str, table: str = "commits") -> DataFrame:
     """(seq, run_id) of the runs that count: one small file each."""
     return load_or_empty(spark, "seq bigint, run_id string",
-                         lambda: spark.read.schema("seq bigint, run_id string").json(table_path(root, "commits")))
+                         lambda: spark.read.schema("seq bigint, run_id string").json(table_path(root, table)))
 
 
 def committed_runs(spark: SparkSession, root: str) -> list[tuple[int, str]]:
@@ -95,10 +94,3 @@ def read_seen(spark: SparkSession, root: str, runs=None) -> DataFrame:
     old = _read_runs(spark, root, "seen_base", SEEN, [segment_id(a, b) for a, b, _ in segments], read)
     new = _read_runs(spark, root, "seen", SEEN, behind, read)
     return new if not segments else old if not behind else old.unionByName(new)
-
-
-def read_events(spark: SparkSession, root: str, runs=None) -> DataFrame:
-    """Stored lines with their route; an empty region comes back as ''."""
-    lines = _read_runs(spark, root, "events", STORED_EVENT, _runs(spark, root, runs),
-                       lambda reader, paths: reader.text(paths))
-    return lines.withColumn("region", F.coalesce("region", F.lit("")))

@@ -9,13 +9,13 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from auditlake import Trail, ingest_batch, requeue_files
+from auditlake import Trail, ingest_batch, merge_hours, requeue_files
 from auditlake.operators import log_objects, loser_bitmaps
 from auditlake.operators import losers as lose
 from auditlake.plans import ingest as plan
 from auditlake.session import create_file
-from auditlake.sinks import event_lines, write_seen
-from auditlake.sources import known_among, list_objects
+from auditlake.sinks import event_lines, events as sink_events, write_seen
+from auditlake.sources import event_files, known_among, list_objects
 from auditlake.sources.known_ids import narrowed
 from auditlake.sources import (committed_runs, known_layers, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
@@ -594,3 +594,73 @@ def test_listing_in_chunks(spark, tmp_path, monkeypatch):
                                  "bucket string, prefix string, account_id string, region string, last_processed_key string")
     left = [k for k, in rows(list_objects(spark, [TRAIL], few, after=last), "key") if "/r0/2024/03" in k and "000000000001" in k]
     assert left == [key(f"2024/03/{d}/{n}.json.gz", region="r0") for d in (19, 20) for n in range(10)]
+
+
+def test_merged_hours_read_back_equal_in_full_files(spark, tmp_path):
+    """Twenty runs bring events of one hour and some of others; readers see each event once at any time."""
+    lake = str(tmp_path / "lake")
+    for i in range(20):
+        put(tmp_path, key(f"{i:02d}.json.gz"), log(
+            *[event(f"e{i}-{j}") for j in range(i % 3 + 1)],
+            event(f"f{i}", account=f"00000000000{i % 2 + 2}", time="2024-01-02T00:00:00Z", region="" if i % 2 else "r")))
+    m = run(spark, tmp_path, max_files=4, events_per_file=7)
+    before = values(spark, tmp_path)
+    assert len(before) == m["events_written"] == 59
+    few = options(tmp_path, events_per_file=7)
+    cold = F.col("day") < "02"
+    assert merge_hours(spark, lake, few, cold) == 1
+    assert values(spark, tmp_path) == before
+    sizes = sorted(rows(event_files(spark, lake).filter(cold), "rows"))
+    assert sizes == [(4,)] + [(7,)] * 5
+    # Another run, then the rest; what the first merge replaced is dropped only now.
+    first = next(r for _, r in committed_runs(spark, lake))
+    old = f"{lake}/events/run_id={first}/account_id=000000000001"
+    assert os.path.exists(old)
+    put(tmp_path, key("20.json.gz"), log(event("more"), event("e0-0")))
+    assert run(spark, tmp_path, events_per_file=7)["events_written"] == 1
+    assert merge_hours(spark, lake, few) == 3
+    assert not any(f for _, _, f in os.walk(old))
+    assert values(spark, tmp_path) == sorted([*before, event("more")])
+    assert merge_hours(spark, lake, few) == 0
+    for r in event_files(spark, lake).groupBy("account_id", "region", "day").agg(
+            F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files")).collect():
+        assert r.files == -(-r.rows // 7)
+
+
+def test_reading_one_account_lists_no_other(spark, tmp_path):
+    for a in "123":
+        put(tmp_path, key("1.json.gz", account=f"00000000000{a}"), log(*[event(f"{a}{i}", account=f"00000000000{a}") for i in range(3)]))
+    run(spark, tmp_path)
+    one = read_events(spark, str(tmp_path / "lake"), where=F.col("account_id") == "000000000002")
+    assert rows(one, "value") == [(event(f"2{i}", account="000000000002"),) for i in range(3)]
+    assert all("account_id=000000000002" in f for f in one.inputFiles()) and one.inputFiles()
+    location = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "000000000001" not in location
+    assert read_events(spark, str(tmp_path / "lake"), where=F.lit(False)).count() == 0
+
+
+def test_a_merge_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lake")
+    for i in range(3):
+        put(tmp_path, key(f"{i}.json.gz"), log(event(f"e{i}")))
+    run(spark, tmp_path, max_files=1)
+    monkeypatch.setattr(sink_events, "write_manifest", lambda *_: sink_events.Written(0, 0, 0))
+    with pytest.raises(RuntimeError, match="wrote 0 of 3"):
+        merge_hours(spark, lake)
+    monkeypatch.undo()
+    assert values(spark, tmp_path) == [event(f"e{i}") for i in range(3)]
+    assert merge_hours(spark, lake) == 1 and len(os.listdir(f"{lake}/merge_commits")) >= 1
+    assert values(spark, tmp_path) == [event(f"e{i}") for i in range(3)]
+
+
+def test_a_batch_run_tells_its_progress(spark, tmp_path, caplog):
+    for i in range(4):
+        put(tmp_path, key(f"{i}.json.gz"), log(*[event(f"e{i}-{j}") for j in range(50)]))
+    with caplog.at_level("INFO", "auditlake.progress"):
+        run(spark, tmp_path, progress_seconds=0.5)
+    lines = [json.loads(r.message) for r in caplog.records]
+    assert len(lines) > 2 and lines[-1]["state"] == "done"
+    assert all(a["tasks_done"] <= b["tasks_done"] and a["jobs"] <= b["jobs"] for a, b in zip(lines, lines[1:]))
+    assert lines[0]["tasks_done"] < lines[-2]["tasks_done"] <= lines[-1]["tasks"]
+    assert (lines[-1]["files"], lines[-1]["events"], lines[-1]["step"]) == (4, 200, "state")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
