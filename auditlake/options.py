@@ -27,6 +27,11 @@ class IngestOptions:
     # Streams only: "file_log" reads every new file; "high_water" leaves out keys at or
     # below the last one of their pair when the query started, as a batch run does.
     late: Literal["file_log", "high_water"] = "file_log"
+    # Streams only, how objects are found: "files" is Spark's file source, which lists whole trails at
+    # every trigger; "offsets" asks only folders at or behind the last key of each pair, less
+    # `look_back_days` for late keys.
+    listing: Literal["files", "offsets"] = "files"
+    look_back_days: int = 2
     # A record of wrong JSON type in a read field is malformed.
     strict: bool = True
     # True keeps every record without an id; False lets only the first one through.

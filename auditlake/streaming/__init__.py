@@ -1,8 +1,9 @@
-from .ingest import checkpoint_table, stream_ingest, stream_objects
+from .ingest import checkpoint_table, drained, stream_ingest, stream_objects
+from .objects import listed_stream
 from .records import stream_bad_files, stream_dedup, stream_events, stream_log_files, stream_write
 from .progress import ProgressLog
 
 __all__ = [
-    "ProgressLog", "checkpoint_table", "stream_bad_files", "stream_dedup", "stream_events", "stream_ingest",
+    "ProgressLog", "checkpoint_table", "drained", "listed_stream", "stream_bad_files", "stream_dedup", "stream_events", "stream_ingest",
     "stream_log_files", "stream_objects", "stream_write",
 ]

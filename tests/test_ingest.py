@@ -23,7 +23,8 @@ from auditlake.sources import listing
 from auditlake.sources.listing import Walk
 from auditlake.sources.tables import seen_segments
 from auditlake.sinks.tables import Claimed, claimed, compact_seen
-from auditlake.streaming import (ProgressLog, checkpoint_table, stream_bad_files, stream_dedup, stream_events, stream_ingest,
+from auditlake.streaming import objects
+from auditlake.streaming import (ProgressLog, checkpoint_table, drained, stream_bad_files, stream_dedup, stream_events, stream_ingest,
                                  stream_log_files, stream_write)
 
 from helpers import TRAIL, event, key, log, options, put, rows
@@ -664,3 +665,59 @@ def test_a_batch_run_tells_its_progress(spark, tmp_path, caplog):
     assert lines[0]["tasks_done"] < lines[-2]["tasks_done"] <= lines[-1]["tasks"]
     assert (lines[-1]["files"], lines[-1]["events"], lines[-1]["step"]) == (4, 200, "state")
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def listed(spark, tmp_path, **changes):
+    opts = options(tmp_path, listing="offsets", retry_seconds=0, **changes)
+    return drained(lambda: stream_ingest(spark, [TRAIL], str(tmp_path / "lake"), str(tmp_path / "state"), opts, once=True))
+
+
+def test_listing_offsets(spark, tmp_path):
+    """Late keys, new pairs and equal times, a few files in each batch; then nothing new."""
+    for i, name in enumerate("5364"):
+        path = put(tmp_path, key(f"2024/01/0{name}/x.json.gz"), log(event(name)))
+        os.utime(path, (1_700_000_000 + 10 * (i // 2),) * 2)
+    put(tmp_path, key("flat.json.gz", region="other"), log(event("flat")))
+    assert listed(spark, tmp_path, max_files=2) == 5
+    assert listed(spark, tmp_path, max_files=2) == 0
+    put(tmp_path, key("2024/01/05/late.json.gz"), log(event("late"), event("5")))
+    put(tmp_path, key("2024/01/01/too-late.json.gz"), log(event("too late")))
+    put(tmp_path, key("1.json.gz", account="000000000009"), log(event("account")))
+    put(tmp_path, key("early.json.gz", region="other"), log(event("early")))
+    assert listed(spark, tmp_path, max_files=2) == 3
+    assert values(spark, tmp_path) == sorted(event(i) for i in ("5", "3", "6", "4", "flat", "late", "account", "early"))
+
+
+def test_a_stream_goes_on_behind_a_batch(spark, tmp_path):
+    put(tmp_path, key("2024/01/01/1.json.gz"), log(event("a")))
+    put(tmp_path, key("2024/01/09/2.json.gz", org="o-1", account="000000000002"), log(event("b")))
+    run(spark, tmp_path)
+    offset = objects.offset_of(read_checkpoints(spark, str(tmp_path / "lake")), [TRAIL])
+    assert offset["last"] == {"0:000000000001/CloudTrail/us-east-1": "2024/01/01/1.json.gz",
+                              "0:o-1/000000000002/CloudTrail/us-east-1": "2024/01/09/2.json.gz"}
+    put(tmp_path, key("2024/01/01/3.json.gz"), log(event("c"), event("a")))
+    listed(spark, tmp_path)
+    assert values(spark, tmp_path) == [event(i) for i in "abc"]
+
+
+def test_only_folders_behind_the_last_keys_are_asked(tmp_path):
+    for day in range(1, 29):
+        for region in ("r1", "r2"):
+            put(tmp_path, key(f"2024/02/{day:02d}/x.json.gz", region=region), "")
+    root = str(tmp_path / "b" / "AWSLogs")
+    reader = objects.ObjectReader([root], 2, 1000, objects.START)
+    rows_, offset = reader.read(objects.START)
+    assert len(list(rows_)) == 56 and len(offset["recent"]) == 56
+    reader.listing.asked.clear()
+    rows_, same = reader.read(offset)
+    assert list(rows_) == [] and same == offset
+    # Root and the regions of the account; of each region itself, year, month and the days of the look-back.
+    assert sorted(f.split("CloudTrail/")[-1] for f in reader.listing.asked if "2024/02/" in f) == [
+        f"{r}/2024/02/{d}" for r in ("r1", "r2") for d in (26, 27, 28)]
+    assert len(reader.listing.asked) == 2 + 2 * (1 + 1 + 1 + 3)
+    # Made again, a batch has what it had, and nothing that came later.
+    path = put(tmp_path, key("2024/02/28/y.json.gz", region="r1"), "")
+    again = [r[1] for r in reader.readBetweenOffsets(objects.START, offset)]
+    assert len(again) == 56 and path not in again
+    rows_, later = reader.read(offset)
+    assert [r[1] for r in rows_] == [path] and path in later["recent"]

@@ -211,7 +211,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_resume": _stored("SELECT acct AS account_id, count(*) AS records FROM stored GROUP BY ALL"),
         "stream_dedup": _audit(f"{ROUTES}"),
         **{name: _dense(ROUTES) for name in ("ingest_approx_resized", "ingest_approx_overfull", "trails_from_table",
-                                             "stream_late_keys", "stream_second_query", "ingest_rebucketed")},
+                                             "stream_late_keys", "stream_second_query", "ingest_rebucketed",
+                                             "stream_listed_late_keys")},
+        "merged_hours": _dense("""
+            SELECT route, count(*) AS events, CAST(ceil(count(*) / 20) AS BIGINT) AS files FROM firsts GROUP BY route"""),
         "loser_bitmaps": _dense("""
             SELECT s.key, count(*) AS records, count(*) FILTER (r.copy_no IS NULL OR r.copy_no = 1) AS "left"
             FROM stored s LEFT JOIN ranked r ON s.trail = r.trail AND s.i = r.i GROUP BY s.key"""),

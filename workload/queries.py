@@ -13,7 +13,7 @@ from auditlake.functions.paths import bare_path
 from auditlake.plans import ingest as plan, ingest_batch
 from auditlake.schemas import PAIR, ROUTE
 from auditlake.session import scratch
-from auditlake.sinks import write_events, write_layer, write_seen
+from auditlake.sinks import merge_hours, write_events, write_layer, write_seen
 from auditlake.sources.known_ids import layer_of
 from auditlake.sources.listing import distinct_objects
 
@@ -371,6 +371,15 @@ def ingest_rebucketed(spark, sf_dir):
     return _routes(src.read_events(spark, root))
 
 
+def merged_hours(spark, sf_dir):
+    """Hours that several runs brought events of, merged into files of 20 events at most."""
+    root, options = scratch(spark, "lake"), _dense(spark, sf_dir, max_files=40, events_per_file=20)
+    ingest_batch(spark, d.TRAILS, root, options)
+    merge_hours(spark, root, options)
+    files = src.event_files(spark, root).groupBy(fn.route_key().alias("route")).agg(F.count(F.lit(1)).alias("files"))
+    return _routes(src.read_events(spark, root)).join(files, "route")
+
+
 def loser_bitmaps(spark, sf_dir):
     """Records of each log file, and those left once the copies of other files have gone."""
     options = _dense(spark, sf_dir)
@@ -444,6 +453,17 @@ def list_after_checkpoint(spark, sf_dir):
     return op.pending_objects(listed, first).select("bucket", "key").distinct()
 
 
+def stream_listed_late_keys(spark, sf_dir):
+    """As `stream_late_keys`, by the source that keeps listing offsets, which lists no folder in full again."""
+    files, logs, root = d.log_files(spark, sf_dir, dense=True), scratch(spark, "logs"), scratch(spark, "lake")
+    state, early = scratch(spark, "stream"), F.col("block") == 0
+    options = d.options_for(logs, max_files=60, listing="offsets")
+    for part in (~early, early):
+        d.write_log_files(files.filter(part).select("key", "body"), logs)
+        st.drained(lambda: st.stream_ingest(spark, d.TRAILS, root, state, options, once=True))
+    return _routes(src.read_events(spark, root))
+
+
 def _streamed_parts(spark, sf_dir, parts, states, **changes):
     """The routes of streams, one for each part of the files, that run one after another on one lake."""
     files, logs, root = d.log_files(spark, sf_dir, dense=True), scratch(spark, "logs"), scratch(spark, "lake")
@@ -486,4 +506,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_ingest, stream_checkpoint_table, stream_resume, stream_dedup, ingest_approx_resized,
         ingest_approx_overfull, trails_from_table, ingest_file_counters, list_after_checkpoint, stream_late_keys,
         stream_second_query, stream_bad_files, ingest_rebucketed, loser_bitmaps, known_ids, layered_sketch,
+        stream_listed_late_keys, merged_hours,
     )} | {"distinct_objects": distinct_listing, "ingest_batch": ingest}
