@@ -23,7 +23,8 @@ from auditlake.sources import listing
 from auditlake.sources.listing import Walk
 from auditlake.sources.tables import seen_segments
 from auditlake.sinks.tables import Claimed, claimed, compact_seen
-from auditlake.streaming import objects
+from auditlake.streaming import objects, stream_checkpoints, stream_files, stream_state
+from auditlake.streaming.state import last_batch
 from auditlake.streaming import (ProgressLog, checkpoint_table, drained, stream_bad_files, stream_dedup, stream_events, stream_ingest,
                                  stream_log_files, stream_write)
 
@@ -721,3 +722,21 @@ def test_only_folders_behind_the_last_keys_are_asked(tmp_path):
     assert len(again) == 56 and path not in again
     rows_, later = reader.read(offset)
     assert [r[1] for r in rows_] == [path] and path in later["recent"]
+
+
+def test_where_a_declarative_stream_stands(spark, tmp_path):
+    state, some = str(tmp_path / "state"), options(tmp_path)
+    assert stream_checkpoints(spark, state, [TRAIL], some).count() == 0
+    for i in range(14):
+        put(tmp_path, key(f"{i:02d} +%.json.gz", region=f"r{i % 2}"), log(event(f"e{i // 2}"), event("a")))
+        if i % 3 == 2 or i == 13:
+            files = stream_log_files(spark, str(tmp_path / "b"), 1)
+            stream_write(stream_dedup(stream_events(files)), f"{tmp_path}/out", state, once=True).awaitTermination()
+            pairs = stream_checkpoints(spark, state, [TRAIL], some)
+            assert rows(pairs, "region", "last_processed_key", "files_processed") == [
+                (f"r{r}", key(f"{j:02d} +%.json.gz", region=f"r{r}"), j // 2 + 1) for r in (0, 1) for j in [i - (i - r) % 2]]
+    # A batch that began and did not commit does not count.
+    os.remove(tmp_path / "state" / "commits" / str(last_batch(spark, state)))
+    assert stream_files(spark, state).count() == 13
+    held = {r.operator_id: r.state_rows for r in stream_state(spark, state).collect()}
+    assert len(held) == 2 and min(held.values()) == 8

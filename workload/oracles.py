@@ -213,6 +213,11 @@ def oracle_sql() -> dict[str, str]:
         **{name: _dense(ROUTES) for name in ("ingest_approx_resized", "ingest_approx_overfull", "trails_from_table",
                                              "stream_late_keys", "stream_second_query", "ingest_rebucketed",
                                              "stream_listed_late_keys")},
+        "stream_progress": _dense(f"""
+            SELECT '{BUCKET}' AS bucket, CASE WHEN trail = 'org-trail' THEN 'logs' ELSE '' END AS prefix,
+                   acct AS account_id, rg AS region, max(key) AS last_processed_key,
+                   count(DISTINCT key) AS files_processed, (SELECT count(*) FROM firsts) AS state_ids
+            FROM stored GROUP BY ALL"""),
         "merged_hours": _dense("""
             SELECT route, count(*) AS events, CAST(ceil(count(*) / 20) AS BIGINT) AS files FROM firsts GROUP BY route"""),
         "loser_bitmaps": _dense("""

@@ -338,6 +338,16 @@ def stream_dedup(spark, sf_dir):
     return _routes(src.read_events(spark, out, ["1"]))
 
 
+def stream_progress(spark, sf_dir):
+    """Files per pair and the ids in the state of a declarative stream, read from its checkpoint folder."""
+    logs, out, state = d.stored_logs(spark, sf_dir, dense=True), scratch(spark, "events"), scratch(spark, "stream")
+    events = st.stream_dedup(st.stream_events(st.stream_log_files(spark, f"{logs}/{d.BUCKET}", 50)))
+    st.stream_write(events, f"{out}/events/run_id=1", state, once=True, spread=1).awaitTermination()
+    held = st.stream_state(spark, state).agg(F.min("state_rows").alias("state_ids"))
+    pairs = st.stream_checkpoints(spark, state, d.TRAILS, d.options_for(logs))
+    return pairs.select(*PAIR, "last_processed_key", "files_processed").join(F.broadcast(held))
+
+
 # Runs that must not lose anything; on the dense set, whose hour folders are few
 
 def _dense(spark, sf_dir, **changes):
@@ -506,5 +516,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_ingest, stream_checkpoint_table, stream_resume, stream_dedup, ingest_approx_resized,
         ingest_approx_overfull, trails_from_table, ingest_file_counters, list_after_checkpoint, stream_late_keys,
         stream_second_query, stream_bad_files, ingest_rebucketed, loser_bitmaps, known_ids, layered_sketch,
-        stream_listed_late_keys, merged_hours,
+        stream_listed_late_keys, merged_hours, stream_progress,
     )} | {"distinct_objects": distinct_listing, "ingest_batch": ingest}
