@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.paths import decoded
 from ..options import IngestOptions
-from ..schemas import ROUTE, STORED_EVENT
+from ..schemas import MANIFEST, ROUTE
 from ..session import create_file, drop_folder, read_file, scratch_folder
 from ..sources.events import committed_merges, event_files, event_lines_in, read_replaced
 from ..sources.tables import table_path
@@ -47,14 +47,15 @@ class Written(NamedTuple):
 
 def write_manifest(spark: SparkSession, root: str, run_id: str) -> Written:
     """The files that `write_events` wrote for a run, their lines read back and counted."""
-    base = table_path(root, "events", run_id)
-    stored = StructType([f for f in STORED_EVENT.fields if f.name != "run_id"])
-    lines = spark.read.schema(stored).option("basePath", base).option("pathGlobFilter", "part-*").text(base)
+    path = table_path(root, "manifest", run_id)
+    lines = event_lines_in(spark, root, [f"run_id={run_id}"], pathGlobFilter="part-*")
+    if lines is None:
+        spark.createDataFrame([], StructType([f for f in MANIFEST.fields if f.name != "run_id"])).write.mode("overwrite").parquet(path)
+        return Written(0, 0, 0)
     folder = F.regexp_extract(decoded("_metadata.file_path"), "/(account_id=.*)/[^/]*$", 1)
     files = (lines.select(folder.alias("folder"), *ROUTE, F.col("_metadata.file_name").alias("file"),
                           F.col("_metadata.file_size").alias("bytes"))
              .groupBy("folder", *ROUTE, "file", "bytes").agg(F.count(F.lit(1)).alias("rows")))
-    path = table_path(root, "manifest", run_id)
     files.withColumn("region", F.coalesce("region", F.lit(""))).write.mode("overwrite").parquet(path)
     return Written(*spark.read.parquet(path).agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1)),
                                                  F.count_distinct("folder")).first())

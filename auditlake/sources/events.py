@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MANIFEST, REPLACED, ROUTE, STORED_EVENT
+from ..session import folders_in
 from .tables import _read_runs, committed_runs, read_commits, table_path
 
 
@@ -38,11 +39,13 @@ def event_folders(spark: SparkSession, root: str) -> DataFrame:
         F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
 
 
-def event_lines_in(spark: SparkSession, root: str, folders: list[str], **options) -> DataFrame:
-    """The text below folders of the events table, with run and route."""
-    if not folders:
-        return spark.createDataFrame([], STORED_EVENT)
+def event_lines_in(spark: SparkSession, root: str, folders: list[str], **options) -> DataFrame | None:
+    """The text below folders of the events table, with run and route; None if there is none, as of runs
+    without new events."""
     base = table_path(root, "events")
+    # The reader needs one folder of an hour to know the columns.
+    if not any("/" in f or folders_in(spark, f"{base}/{f}") for f in folders):
+        return None
     reader = spark.read.schema(STORED_EVENT).option("basePath", base).options(**options)
     return reader.text([f"{base}/{f}" for f in folders])
 
@@ -61,5 +64,7 @@ def read_events(spark: SparkSession, root: str, runs=None, where: Column | None
         found = event_folders(spark, root).filter(F.lit(True) if where is None else where)
         # One row for each hour folder that is read, as in Spark's own index of them.
         lines = event_lines_in(spark, root, [f"run_id={r.run_id}/{r.folder}" for r in found.select("run_id", "folder").collect()])
+    if lines is None:
+        return spark.createDataFrame([], STORED_EVENT)
     lines = lines.withColumn("region", F.coalesce("region", F.lit("")))
     return lines if where is None else lines.filter(where)
