@@ -13,8 +13,7 @@ worst of all blocks are dealt into blocks once more, so that blocks lose little
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,81 +31,203 @@ ISLANDS = 2
 EPOCHS = 3
 GENERATIONS = 4
 POPULATION = 4
-#: A worker's memory of words, as entries; it starts anew when full, which costs time only.
-CACHE_WORDS = 600_000
+#: A worker's memory of words (the binary digits of its slots, of which half are used) and of their parts;
+#: it starts anew when full, which costs time only.
+SLOT_BITS, CACHE_PARTS = 21, 250_000
 #: Texts are looked up together up to so many characters.
 TOGETHER = 300_000
+#: Longer words are not remembered: sums over so many characters could be alike by design.
+LONGEST = 255
+#: The bases of two word hashes: odd, so that they have inverses among 64-bit numbers.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Latin-1 letters fold to lower case one by one, and compose with nothing.
 ODD = re.compile("[^\\t\\n\\r -~\xa1-\xff]")
 
 
 # Tokens
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class WordHashes:
+    """Two 64-bit hashes of words in a byte array: sums of bytes times powers of a base, shifted back to
+    where the word begins. One pass of sums serves all words."""
+
+    def __init__(self):
+        self.n, self.tables = 0, []
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(data) > self.n:
+            self.n = max(len(data), 2 * self.n)
+            self.tables = [(_powers(b, self.n), _powers(pow(b, -1, 1 << 64), self.n)) for b in BASES]
+        out = []
+        wide = data.astype(np.uint64) + np.uint64(1)
+        for powers, inverse in self.tables:
+            sums = np.cumsum(wide * powers[:len(data)])
+            # A text begins with a space, so there is a sum before each word.
+            h = (sums[ends - 1] - sums[starts - 1]) * inverse[starts]
+            out.append(h ^ (h >> np.uint64(29)) * np.uint64(BASES[1]))
+        return out[0], out[1]
+
+
+class WordTable:
+    """Numbers of words by their hashes, in open slots; many are looked up at a time."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.one, self.two = (np.zeros(1 << bits, np.uint64) for _ in range(2))
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.used = np.full(1 << self.bits, -1, np.int32), 0
+
+    def _slots(self, one: np.ndarray) -> np.ndarray:
+        return (one >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 if it is not there."""
+        out, at, slot = np.full(len(one), -1, np.int64), np.arange(len(one)), self._slots(one)
+        while len(at):
+            number = self.number[slot]
+            same = (self.one[slot] == one[at]) & (self.two[slot] == two[at]) & (number >= 0)
+            out[at[same]] = number[same]
+            on = ~same & (number >= 0)
+            at, slot = at[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, one: np.ndarray, two: np.ndarray, number: np.ndarray) -> None:
+        """Words that are not there, each once."""
+        at, slot = np.arange(len(one)), self._slots(one)
+        self.used += len(one)
+        while len(at):
+            free = np.flatnonzero(self.number[slot] < 0)
+            # Of several words for one slot the first takes it.
+            _, first = np.unique(slot[free], return_index=True)
+            mine = free[first]
+            self.one[slot[mine]], self.two[slot[mine]], self.number[slot[mine]] = one[at[mine]], two[at[mine]], number[at[mine]]
+            on = np.ones(len(at), bool)
+            on[mine] = False
+            at, slot = at[on], slot[on]
+            taken = self.number[slot] >= 0
+            slot = np.where(taken, (slot + 1) & ((1 << self.bits) - 1), slot)
+
+
 class WordEncoder:
     """Ids of texts, looked up by white-space separated words.
 
     The tokenizer's own splitting ends a token at any white space and its normalisation does not
-    reach across one, so the ids of a text are those of its words in order. Words of Latin-1 text
-    are learned many at a time, as one text: each of their parts ends in an end-of-word token, so
-    the number of parts tells where the ids of the next word begin.
+    reach across one, so the ids of a text are those of its words in order, and those of a word are
+    those of its parts. Words of Latin-1 texts are found many at a time, by two hashes of 64 bits each.
+    Those not met before are cut into parts, which are learned as one text: the tokenizer's normalisation
+    has nothing left to do then, nor has its pattern, and both are left out. Each part ends in an
+    end-of-word token, which tells where the ids of the next one begin.
     """
 
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    SPACES = bytes.maketrans(b"\t\n\r", b"   ")
 
     def __init__(self, name: str = TOKENIZER):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
+        self.plain = Tokenizer.from_file(tokenizer_path(name))
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.is_end[ends] = True
-        self.place: dict[str, int] = {}
+        # Ids of a part as bytes, four for an id; the ids of word k lie from starts[k] to starts[k + 1].
+        self.parts: dict[str, bytes] = {}
+        self.hashes, self.table = WordHashes(), WordTable(SLOT_BITS)
         self._clear()
 
     def _clear(self) -> None:
-        self.place.clear()
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, "<u4")
-
-    def _learn(self, words: list[str]) -> None:
-        parts = [len(self.PARTS.findall(w)) for w in words]
-        ids = np.array(self._direct(" ".join(words)))
-        ends = np.flatnonzero(self.is_end[ids]) + 1
-        if len(ends) != sum(parts):
+        self.table.clear()
+        self.words, self.starts, self.flat = 0, np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4")
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids = np.array(self.plain.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.is_end[ids]) + 1
+        if len(stops) != len(parts):
             raise ValueError("the tokenizer does not split as expected")
-        marks = np.append(0, ends)[np.cumsum(parts)]
-        n, used = len(self.place), int(self.starts[len(self.place)])
+        data, stops = ids.tobytes(), (4 * stops).tolist()
+        self.parts.update(zip(parts, map(data.__getitem__, map(slice, [0, *stops], stops))))
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Numbers for words that have none."""
+        split = list(map(self.PARTS.findall, words))
+        distinct = set().union(*split)
+        new = [p for p in distinct if p not in self.parts]
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts.clear()
+            new = list(distinct)
+        if new:
+            self._learn_parts(new)
+        find = self.parts.__getitem__
+        coded = [find(p[0]) if len(p) == 1 else b"".join(map(find, p)) for p in split]
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        n, used = self.words, int(self.starts[self.words])
         while used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(words) >= len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         self.flat[used:used + len(ids)] = ids
-        self.starts[n + 1:n + 1 + len(words)] = used + marks
-        self.place.update(zip(words, range(n, n + len(words))))
+        self.starts[n + 1:n + 1 + len(words)] = used + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4)
+        self.words += len(words)
+        return np.arange(n, n + len(words))
+
+    def _numbers(self, text: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word of a text."""
+        one, two = self.hashes(data, starts, ends)
+        found = self.table.find(one, two)
+        long = ends - starts > LONGEST
+        found[long] = -1
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        order = new[np.lexsort((two[new], one[new], long[new]))]
+        # Equal words, but for long ones, are learned once.
+        first = np.ones(len(order), bool)
+        first[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]]) | long[order[1:]]
+        heads = order[first]
+        if self.table.used + len(heads) > 1 << (SLOT_BITS - 1):
+            self._clear()
+            return self._numbers(text, data, starts, ends)
+        words = [text[a:b].decode("latin-1") for a, b in zip(starts[heads].tolist(), ends[heads].tolist())]
+        numbers = self._learn(words)
+        found[order] = numbers[np.cumsum(first) - 1]
+        keep = ~long[heads]
+        self.table.add(one[heads[keep]], two[heads[keep]], numbers[keep])
+        return found
 
     def _direct(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _together(self, texts: list[str]) -> list[np.ndarray]:
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of texts that are Latin-1 and hold no special token."""
-        split = [t.lower().replace("\n", " ").split(" ") for t in texts]
-        distinct = set().union(*split)
-        new = [w for w in distinct if w not in self.place]
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self._clear()
-            new = list(distinct)
-        if new:
-            self._learn(new)
-        sizes = [len(words) for words in split]
-        k = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+        folded = [t.lower().encode("latin-1") for t in texts]
+        text = b" " + b" ".join(folded).translate(self.SPACES) + b" "
+        data = np.frombuffer(text, np.uint8)
+        space = data == 32
+        turns = np.flatnonzero(space[1:] != space[:-1]) + 1
+        starts, ends = turns[::2], turns[1::2]
+        k = self._numbers(text, data, starts, ends) if len(starts) else starts
         first = self.starts[k]
         lengths = self.starts[k + 1] - first
-        ends = np.cumsum(lengths)
-        flat = self.flat[np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1])]
-        return np.split(flat, ends[np.cumsum(sizes)[:-1] - 1])
-
-    def ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text; a null one has none."""
+        stops = np.cumsum(lengths)
+        flat = self.flat[np.repeat(first - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)].tobytes()
+        # The words of a text begin before the space behind it.
+        behind = np.cumsum([len(f) + 1 for f in folded])
+        bounds = (4 * np.append(0, stops)[np.searchsorted(starts, behind)]).tolist()
+        for a, b in zip([0, *bounds], bounds):
+            yield flat[a:b]
+
+    def encoded(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian bytes, four for an id; a null text has none."""
         waiting: list[str] = []
         size = 0
         for text in texts:
@@ -119,10 +240,15 @@ class WordEncoder:
                 yield from self._together(waiting)
                 waiting, size = [], 0
             if not plain:
-                yield self._direct(text)
+                yield self._direct(text).tobytes()
         if waiting:
             yield from self._together(waiting)
 
+    def ids(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text; a null one has none."""
+        for data in self.encoded(texts):
+            yield np.frombuffer(data, "<u4")
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -136,18 +262,24 @@ def encoder(name: str = TOKENIZER) -> WordEncoder:
 
 def pieces_column(text: Column, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> Column:
     """An array of (piece, start, length, ids_crc32) of a document with its end id."""
-    @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    step, end = 4 * capacity, END_ID.to_bytes(4, "little")
+
+    @F.pandas_udf("struct<tokens:long,crcs:array<long>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = encoder(tokenizer)
         for batch in batches:
-            out = []
-            for ids in words.ids(list(batch)):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                cuts = range(0, len(ids), capacity)
-                out.append([{"piece": i, "start": at, "length": min(capacity, len(ids) - at),
-                             "ids_crc32": zlib.crc32(ids[at:at + capacity].tobytes())} for i, at in enumerate(cuts)])
-            yield pd.Series(out)
-    return run(text.cast("string"))
+            tokens, crcs = [], []
+            for data in words.encoded(batch):
+                data += end
+                tokens.append(len(data) // 4)
+                crcs.append([zlib.crc32(data[at:at + step]) for at in range(0, len(data), step)])
+            yield pd.DataFrame({"tokens": tokens, "crcs": crcs})
+
+    found = run(text.cast("string"))
+    # One value in an array, so that the texts are encoded once for all pieces.
+    return F.flatten(F.transform(F.array(found), lambda f: F.transform(f["crcs"], lambda crc, i: F.struct(
+        i.alias("piece"), (i.cast("long") * capacity).alias("start"),
+        F.least(F.lit(capacity).cast("long"), f["tokens"] - i.cast("long") * capacity).alias("length"), crc.alias("ids_crc32")))))
 
 
 def tokens_column(text: Column, tokenizer: str = TOKENIZER) -> Column:

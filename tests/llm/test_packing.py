@@ -26,7 +26,8 @@ def test_ids_equal_the_tokenizer(words, spark):
 
 
 def test_a_full_cache_only_costs_time(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "SLOT_BITS", 7)
+    monkeypatch.setattr(packing, "CACHE_PARTS", 40)
     monkeypatch.setattr(packing, "TOGETHER", 100)
     own = packing.WordEncoder()
     values = [" ".join(f"w{i * j}" for j in range(20)) for i in range(40)]
@@ -34,6 +35,35 @@ def test_a_full_cache_only_costs_time(monkeypatch):
         assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_long_words_white_space_and_equal_words(words):
+    long = "ab-" * 300
+    values = [f"{long} {long}x\t{long}\r\nend", "  a  a\t\ta ", long, "a" * 255 + " " + "a" * 256, "\n", " x", "É" * 300]
+    for text, ids in zip(values * 2, words.ids(values * 2), strict=True):
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_table_keeps_words_apart():
+    rng = np.random.default_rng(1)
+    table = packing.WordTable(12)
+    one, two = rng.integers(0, 2 ** 64, (2, 2000), np.uint64)
+    one[:500] = one[0]
+    for part in np.array_split(rng.permutation(2000), 5):
+        assert (table.find(one[part], two[part]) == -1).all()
+        table.add(one[part], two[part], part)
+    assert (table.find(one, two) == np.arange(2000)).all()
+    assert (table.find(two, one) == -1).all()
+
+
+def test_hashes_are_of_the_word_alone():
+    hashes = packing.WordHashes()
+    text = b" one two one  twoo o ne one "
+    data = np.frombuffer(text, np.uint8)
+    turns = np.flatnonzero((data == 32)[1:] != (data == 32)[:-1]) + 1
+    words = [text[a:b] for a, b in zip(turns[::2], turns[1::2])]
+    for h in hashes(data, turns[::2], turns[1::2]):
+        assert len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+
+
 def check_packing(items, rows, capacity):
     bins = collections.defaultdict(list)
     for key, sequence, offset in rows:
