@@ -7,44 +7,73 @@ from auditlake.llm import line_templates as lt
 from .helpers import EDGE_TEXTS, docs, texts
 
 
+def tokens_of(line):
+    return [t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+
+
 def masked(line):
-    return ["<*>" if re.search("[0-9]", t) else t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+    return tuple("<*>" if re.search("[0-9]", t) else t for t in tokens_of(line))
 
 
-def slow_drop(rows, min_docs=3, min_constant=0.7):
-    """The cleaned texts of rows (id, text), with all lines and tokens in memory; no null ids."""
-    seen = collections.defaultdict(set)
+def slow_drop(rows, min_docs=3, min_constant=0.7, min_tokens=3, min_bytes=16, long_bytes=256):
+    """The cleaned texts of rows (id, text) by the rules as told, with all lines in memory; no null ids."""
+    documents, exact, least = collections.defaultdict(set), {}, {}
     for i, text in rows:
-        for line in (text or "").split("\n"):
-            tokens = masked(line)
-            if text is not None and len(tokens) >= 3:
-                seen[tuple(tokens)].add(i)
-    leaves = collections.defaultdict(list)
-    for tokens in seen:
-        leaves[len(tokens), tokens[:3]].append(tokens)
+        for line in (text or "").split("\n") if text is not None else []:
+            own, size = tuple(tokens_of(line)), len(line.strip(" \t\n\x0b\x0c\r").encode())
+            if len(own) < min_tokens and size < min_bytes:
+                continue
+            same = min(2, min_docs) if size >= long_bytes else min_docs
+            documents["verbatim", own].add(i)
+            exact[own] = min(same, exact.get(own, same))
+            if len(own) >= min_tokens:
+                documents["masked", masked(line)].add(i)
+                words = sum(t != "<*>" for t in masked(line))
+                if masked(line) == own:
+                    least[own] = min(same, least.get(own, same))
+                elif words > 0.5 * len(own):
+                    least[masked(line)] = min(min_docs, least.get(masked(line), min_docs))
     first = {}
+    leaves = collections.defaultdict(list)
+    for (kind, tokens), ids in documents.items():
+        if kind == "verbatim" and len(ids) >= exact[tokens]:
+            first[kind, tokens] = min(ids)
+        if kind == "masked":
+            leaves[len(tokens), tokens[:3]].append(tokens)
+            if len(ids) >= least.get(tokens, 10 ** 9):
+                first[kind, tokens] = min(ids)
     for members in leaves.values():
-        held = collections.Counter()
+        if len(members) < 2:
+            continue
+        holders, held = collections.defaultdict(set), collections.Counter()
         for tokens in members:
             for at, t in enumerate(tokens):
-                held[at, t] += len(seen[tokens])
-        shapes = collections.defaultdict(list)
+                holders[at, t] |= documents["masked", tokens]
+                held[at, t] += len(documents["masked", tokens])
+        shapes, having = {}, collections.defaultdict(set)
         for tokens in members:
-            shape = tuple(t if t != "<*>" and held[at, t] >= min_docs else None for at, t in enumerate(tokens))
-            if len(members) == 1:
-                shape = tokens
-            if sum(t is not None for t in shape) >= min_constant * len(tokens):
-                shapes[shape].append(tokens)
-        for alike in shapes.values():
-            if sum(len(seen[t]) for t in alike) >= min_docs:
-                for t in alike:
-                    first[t] = min(min(seen[x]) for x in alike)
-    out = []
-    for i, text in rows:
-        kept = text if text is None else "\n".join(
-            x for x in text.split("\n") if first.get(tuple(masked(x)), i) == i)
-        out.append((i, kept))
-    return out
+            can = [(at, t) for at, t in enumerate(tokens) if t != "<*>" and len(holders[at, t]) >= min_docs]
+            for level in {held[x] for x in can}:
+                shape = frozenset(x for x in can if held[x] >= level)
+                if len(shape) >= min_constant * len(tokens):
+                    shapes.setdefault(tokens, []).append(shape)
+                    having[shape] |= documents["masked", tokens]
+        own = {}
+        for tokens, mine in shapes.items():
+            good = [s for s in mine if len(having[s]) >= min_docs]
+            if good and ("masked", tokens) not in first:
+                own.setdefault(max(good, key=len), []).append(tokens)
+        for alike in own.values():
+            for t in alike:
+                first["masked", t] = min(min(documents["masked", x]) for x in alike)
+    def stays(i, line):
+        own, size = tuple(tokens_of(line)), len(line.strip(" \t\n\x0b\x0c\r").encode())
+        if len(own) < min_tokens and size < min_bytes:
+            return True
+        keys = [("masked", masked(line))] * (len(own) >= min_tokens) + [("verbatim", own)] * (len(own) < min_tokens or masked(line) != own)
+        return all(first.get(k, i) == i for k in keys)
+
+    return [(i, text if text is None else "\n".join(x for x in text.split("\n") if stays(i, x))) for i, text in rows]
 
 
 def run(frame, **options):
@@ -81,6 +110,22 @@ def test_against_a_slow_version(spark, monkeypatch):
     assert run(docs(spark, rows)) == want
 
 
+def test_other_rules_against_the_slow_version(spark):
+    rows = made(random.Random(2)) + [(400 + i, "two words\na long line that two hold " + "x" * (i % 2)) for i in range(6)]
+    rule = lt.Rule(min_docs=4, min_constant=0.5, min_tokens=2, min_bytes=9, long_bytes=20)
+    assert run(docs(spark, rows), rule=rule) == sorted(slow_drop(rows, *rule), key=str)
+
+
+def test_documents_are_counted_and_not_lines(spark):
+    """Three lines of one template in two documents are not three documents."""
+    line = "This story was filed by {} under sports"
+    rows = [(1, line.format("Ann") + "\n" + line.format("Bob")), (2, line.format("Cid"))]
+    assert run(docs(spark, rows)) == rows
+    rows += [(3, line.format("Dee"))]
+    assert run(docs(spark, rows)) == [rows[0], (2, ""), (3, "")]
+    assert sorted(slow_drop(rows)) == [rows[0], (2, ""), (3, "")]
+
+
 def test_variable_fields_share_a_template(spark):
     rows = [(i, f"Sent to you by {n} from the main office today\n{n} {n}x went {n}y away")
             for i, n in enumerate(["Ann", "Bob", "Cyd", "Dan"])]
@@ -101,7 +146,7 @@ def test_two_documents_are_not_enough_and_long_passages_go(spark):
 def test_edges(spark):
     rows = [(None, "a shared line here"), (None, "a shared line here"), (4, "a shared line here\nrest"),
             (5, "a shared line here"), (5, "a shared line here"), (5, "other\na shared line here"), (6, None), (7, "")]
-    frame = docs(spark, rows, ", gone int, text_hash string, Leaf int")
+    frame = docs(spark, rows, ", gone int, text_hash string, Leaf int, id_of_gone long, hash_of_gone long, __id long, __hash long")
     got = lt.drop_lines(frame, count_col="n_dropped")
     assert got.columns == [*frame.columns, "n_dropped"]
     assert sorted(((r.doc_id, r.text, r.n_dropped) for r in got.collect()), key=str) == sorted(
