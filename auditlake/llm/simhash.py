@@ -251,12 +251,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """`docs` with one row of each group: that of the smallest id. Columns are those of `docs`."""
-    fp = new_name(docs, "fp")
+    # Names that `docs` does not have.
+    fp, kept_fp, kept_id = (new_name(docs, n) for n in ("fp", "kept_fp", "kept_id"))
     texts = docs.withColumn(fp, fingerprint_column(F.col(text_col), shingle))
     prints = checkpointed(texts.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp")))
     kept = (fingerprint_groups(prints, radius).filter("fp = keep_fp")
-            .select(F.col("fp").alias("__fp"), F.col("component_id").alias("__id")))
-    texts = docs.join(kept.select("__id").distinct(), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+            .select(F.col("fp").alias(kept_fp), F.col("component_id").alias(kept_id)))
+    texts = docs.join(kept.select(kept_id).distinct(), F.col(id_col).eqNullSafe(F.col(kept_id)), "left_semi")
     texts = texts.withColumn(fp, fingerprint_column(F.col(text_col), shingle))
-    same = (F.col(fp) == F.col("__fp")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    same = (F.col(fp) == F.col(kept_fp)) & F.col(id_col).eqNullSafe(F.col(kept_id))
     return texts.join(kept, same, "left_semi").dropDuplicates([fp]).select(*docs.columns)
