@@ -173,11 +173,14 @@ class Partitions:
             return np.zeros(len(x), np.int64)
         return self.assigner.probabilities(x).argmax(axis=1)
 
-    def route(self, x: np.ndarray) -> np.ndarray:
-        """The most probable partitions of each query, best first."""
+    def route(self, x: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+        """The most probable partitions of each query, best first: as many as usual, and further ones
+        until they have `least` rows together, by the `sizes` of all partitions."""
         if self.router is None or not len(x):
-            return np.zeros((len(x), 1), np.int64)
-        return np.argsort(-self.router.probabilities(x), axis=1, kind="stable")[:, :self.probes]
+            return [np.zeros(1, np.int64)] * len(x)
+        order = np.argsort(-self.router.probabilities(x), axis=1, kind="stable")
+        enough = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1
+        return [o[:max(self.probes, n)] for o, n in zip(order, enough.tolist())]
 
 
 # The search
@@ -202,14 +205,14 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_id
         slack = 1e-9 * (np.abs(edge) + np.linalg.norm(queries[at:at + 256], axis=1) * 1e-3 + 1e-300)
         low = np.where(np.isfinite(edge), edge - slack, -np.finfo(float).max)
         q, r = np.nonzero(rough >= low[:, None])
-        for x in range(0, len(q), 1 << 18):
-            qs, rs = q[x:x + (1 << 18)], r[x:x + (1 << 18)]
-            found.append((qs + at, rs, inner_products(queries[qs + at], rows[rs])))
-    q, r, s = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
-    order = np.lexsort((row_ids[r], -s, q))
-    q, r, s = q[order], r[order], s[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    return q[rank < top], r[rank < top], s[rank < top]
+        s = np.concatenate([inner_products(queries[q[x:x + (1 << 18)] + at], rows[r[x:x + (1 << 18)]])
+                            for x in range(0, len(q), 1 << 18)] or [np.zeros(0)])
+        # Rows may be tied in any number: only the first stay, chunk by chunk.
+        order = np.lexsort((row_ids[r], -s, q))
+        q, r, s = q[order], r[order], s[order]
+        first = np.arange(len(q)) - np.searchsorted(q, q) < top
+        found.append((q[first] + at, r[first], s[first]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -247,11 +250,18 @@ def search(rows: DataFrame, is_query: Column, partitions: Partitions, top: int =
     def assign(vectors: pd.Series) -> pd.Series:
         return pd.Series(shared.value.assign(_matrix(vectors)).astype(np.int32))
 
+    index = checkpointed(rows.withColumn("part", assign("vector")))
+    # One number for each partition learned.
+    counts = np.zeros(partitions.count, np.int64)
+    for part, n in index.groupBy("part").count().collect():
+        counts[part] = n
+
     @F.pandas_udf("array<int>")
     def route(vectors: pd.Series) -> pd.Series:
-        return pd.Series(list(shared.value.route(_matrix(vectors)).astype(np.int32)))
+        # A query may be among the rows itself.
+        found = shared.value.route(_matrix(vectors), counts, top + 1)
+        return pd.Series([x.astype(np.int32) for x in found])
 
-    index = checkpointed(rows.withColumn("part", assign("vector")))
     asked = checkpointed(rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"),
                                                       F.explode(route("vector")).alias("part")))
     # One row for each partition: bounded by the partitions learned.

@@ -96,3 +96,31 @@ def test_edges(spark):
     empty = table(spark, [[1.0]]).limit(0)
     assert nb.nearest_neighbours(empty, nb.F.col("vec_id") % 20 == 0).count() == 0
     assert nb.nearest_neighbours(table(spark, [[1.0]]), nb.F.lit(True)).count() == 0
+
+
+def made(cls, **values):
+    """An object with these attributes and nothing learned."""
+    out = object.__new__(cls)
+    out.__dict__.update(values)
+    return out
+
+
+def test_small_partitions_do_not_cut_the_result(spark):
+    """Two partitions by length of the vectors; all queries are sent to the one that holds two rows."""
+    rng = np.random.default_rng(8)
+    vectors = dict(enumerate(rng.normal(size=(60, 4))))
+    vectors[7][0] = vectors[20][0] = 500.0
+    by_length = [np.array([[0.0]] * 4 + [[1.0]]), np.array([-4.0]), np.array([[10.0, 0.0]]), np.array([0.0, 1.0])]
+    always = [np.zeros((5, 1)), np.zeros(1), np.zeros((1, 2)), np.array([3.0, 0.0])]
+    parts = made(nb.Partitions, count=2, probes=1, assigner=made(nb.Classifier, w=by_length), router=made(nb.Classifier, w=always))
+    assert parts.assign(np.array([vectors[i] for i in (7, 8, 20)])).tolist() == [0, 1, 0]
+    got = as_lists(nb.search(nb.usable(table(spark, list(vectors.values()))), nb.F.col("vec_id") % 20 == 0, parts).collect())
+    want = slow(list(vectors), vectors, [0, 20, 40])
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
+def test_many_equal_rows_are_cut_chunk_by_chunk():
+    rows = np.ones((5000, 3))
+    q, r, s = nb.nearest(rows[:600], np.arange(600), rows, np.arange(5000), 20)
+    assert len(q) == 600 * 20 and (s == 3).all()
+    assert r[:20].tolist() == list(range(1, 21)) and r[20 * 5:20 * 6].tolist() == [*range(5), *range(6, 21)]
