@@ -25,7 +25,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return warc.compare(warc.archive(pages), warc.archive(warc.damaged(pages)))[0]
+    return warc.compare(warc.archive(pages), warc.archive(warc.damaged(pages))).found
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

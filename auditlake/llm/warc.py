@@ -6,9 +6,14 @@ hashes `FANOUT` neighbouring ranges, up to the file, and then `FANOUT` neighbour
 root. A node has at most `FANOUT` children, and a range no more records than fit in its bytes, so
 no group is unbounded. Two replicas are compared from the root down: a level is only looked at below
 nodes that differ, and the records below differing ranges are where the damage is.
+
+There, records are aligned by id and digest, so that one lost record is one finding though all behind it
+in its file have moved.
 """
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed
@@ -42,21 +47,28 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     """(file, offset, length, copies, digest, page_id): where each page's record lies.
 
     A file holds `file_pages` consecutive ids, a null id counts as -1; its records are ordered by id
-    and digest. Equal records lie behind each other and are one row with their number of copies, so
-    that the running offset of a file goes over different records only.
+    and digest. Equal records lie behind each other and are one row with their number of copies. The
+    running offset of a file is that of its slices (an id and the beginning of a digest), of which it has
+    a bounded number, and the one inside the slice; so a file with a third of all rows is no one task.
     """
-    from pyspark.sql import Window
-
     page_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long"))
     text = record_text(F.col(id_col), F.col(url_col), F.col(payload_col))
     rows = pages.select(page_id.alias("page_id"), F.octet_length(text).cast("long").alias("length"),
                         F.sha2(text, 256).alias("digest"))
-    rows = rows.groupBy("page_id", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
-    before = (Window.partitionBy("file").orderBy("page_id", "digest")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return (rows.withColumn("file", F.floor(F.col("page_id") / file_pages).cast("long"))
-            .withColumn("offset", F.coalesce(F.sum(F.col("length") * F.col("copies")).over(before), F.lit(0))
-                        .cast("long"))
+    rows = (rows.groupBy("page_id", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
+            .withColumn("file", F.floor(F.col("page_id") / file_pages).cast("long"))
+            .withColumn("begins", F.substring("digest", 1, 2)))
+    bytes_ = F.sum(F.col("length") * F.col("copies"))
+    cell = ["file", "page_id", "begins"]
+
+    def earlier(group, *order):
+        return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+    slices = rows.groupBy(*cell).agg(bytes_.alias("bytes"))
+    slices = slices.select(*cell, F.coalesce(F.sum("bytes").over(earlier(["file"], "page_id", "begins")), F.lit(0)).alias("first"))
+    inside = F.coalesce(bytes_.over(earlier(cell, "digest", "length")), F.lit(0))
+    return (rows.withColumn("inside", inside).join(slices, cell)
+            .withColumn("offset", (F.col("first") + F.col("inside")).cast("long"))
             .select("file", "offset", "length", "copies", "digest", "page_id"))
 
 
@@ -107,11 +119,20 @@ def spans_of(*replicas: DataFrame, least: int = RANGE, fanout: int = FANOUT) ->
     return [*spans, ("root", 0)]
 
 
-def audit(one: Tree, two: Tree) -> tuple[DataFrame, list[int]]:
-    """The records that differ: (file, offset, page_id, problem, digest_one, digest_two), and the
-    number of differing nodes of each level looked at, from the root down.
+class Audit(NamedTuple):
+    """`found` are the records that differ: (file, offset, page_id, problem, digest_one, digest_two);
+    `moved` those that only lie elsewhere in their file: (file, page_id, digest, offset_one, offset_two);
+    `counts` the differing nodes of each level looked at, from the root down."""
+    found: DataFrame
+    counts: list[int]
+    moved: DataFrame
+
+
+def audit(one: Tree, two: Tree) -> Audit:
+    """What differs between two replicas.
 
-    `problem` is altered, missing (only in the first replica) or added (only in the second).
+    `problem` is altered (a record of the same id, or other numbers of copies), missing (only in the first
+    replica) or added (only in the second). `offset` is that in the first replica that has the record.
     """
     assert one.spans == two.spans
     below, counts = None, []
@@ -125,14 +146,29 @@ def audit(one: Tree, two: Tree) -> tuple[DataFrame, list[int]]:
         if not counts[-1]:
             break
     a, b = (_under(x.records, below, one.spans[0] if counts[-1] else one.spans[level], "offset") for x in (one, two))
-    key = ["file", "offset"]
-    both = (a.select(*key, F.struct("length", "copies", "digest", "page_id").alias("a"))
-            .join(b.select(*key, F.struct("length", "copies", "digest", "page_id").alias("b")), key, "full"))
+    content = ["file", "page_id", "digest", "length"]
+
+    def named(x, side):
+        return x.select(*content, F.struct("offset", "copies", "digest").alias(side))
+
+    both = checkpointed(named(a, "a").join(named(b, "b"), content, "full"))
+    same = F.col("a").isNotNull() & F.col("b").isNotNull()
+    moved = both.filter(same & (F.col("a.offset") != F.col("b.offset"))).select(
+        "file", "page_id", "digest", F.col("a.offset").alias("offset_one"), F.col("b.offset").alias("offset_two"))
+    copies = both.filter(same & (F.col("a.copies") != F.col("b.copies"))).select("file", "page_id", "a", "b")
+    # Records of one id that no other one equals are told apart by their order.
+    nth = F.row_number().over(Window.partitionBy("file", "page_id").orderBy("offset")).alias("nth")
+
+    def alone(side, other):
+        return both.filter(F.col(other).isNull()).select("file", "page_id", side, F.col(f"{side}.offset").alias("offset")).select(
+            "file", "page_id", side, nth)
+
+    pairs = alone("a", "b").join(alone("b", "a"), ["file", "page_id", "nth"], "full").select("file", "page_id", "a", "b")
     problem = (F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "added").otherwise("altered"))
-    found = both.filter(~F.col("a").eqNullSafe(F.col("b"))).select(
-        *key, F.coalesce("a.page_id", "b.page_id").alias("page_id"), problem.alias("problem"),
+    found = copies.unionByName(pairs).select(
+        "file", F.coalesce("a.offset", "b.offset").alias("offset"), "page_id", problem.alias("problem"),
         F.col("a.digest").alias("digest_one"), F.col("b.digest").alias("digest_two"))
-    return found, counts
+    return Audit(found, counts, moved)
 
 
 def _under(nodes: DataFrame, parents: DataFrame, span: tuple[str, int], at: str) -> DataFrame:
@@ -144,7 +180,7 @@ def _under(nodes: DataFrame, parents: DataFrame, span: tuple[str, int], at: str)
     return keyed.join(named, same, "left_semi").drop("__f", "__n")
 
 
-def compare(one: DataFrame, two: DataFrame, least: int = RANGE, fanout: int = FANOUT) -> tuple[DataFrame, list[int]]:
+def compare(one: DataFrame, two: DataFrame, least: int = RANGE, fanout: int = FANOUT) -> Audit:
     """`audit` of two archives (as `archive` gives them); empty ones are equal."""
     one, two = checkpointed(one), checkpointed(two)
     spans = spans_of(one, two, least=least, fanout=fanout)
@@ -156,11 +192,12 @@ def compare(one: DataFrame, two: DataFrame, least: int = RANGE, fanout: int = FA
 def damaged(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html",
             file_pages: int = FILE_PAGES) -> DataFrame:
     """Pages as a bad copy has them: where the MD5 of the id begins with 00, the first character is
-    changed, and each seventh file has lost its last three pages."""
+    changed; each third file has lost a page inside it, and each seventh its last three."""
     first = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).substr(1, 2)
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     other = F.when(payload.startswith("#"), "!").otherwise("#")
     page_id = F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long"))
-    lost = ((F.floor(page_id / file_pages) % 7 == 3) & (F.pmod(page_id, F.lit(file_pages)) >= file_pages - 3))
+    file, place = F.floor(page_id / file_pages), F.pmod(page_id, F.lit(file_pages))
+    lost = ((file % 7 == 3) & (place >= file_pages - 3)) | ((file % 3 == 0) & (place == file_pages // 5))
     changed = F.concat(other, F.substr(payload, F.lit(2)))
     return pages.filter(~lost).withColumn(payload_col, F.when(first == "00", changed).otherwise(payload))

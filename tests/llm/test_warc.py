@@ -1,4 +1,6 @@
+import collections
 import hashlib
+import itertools
 import random
 
 import duckdb
@@ -49,10 +51,12 @@ def test_only_differing_branches_are_opened(spark):
     bad[777] = (777, "u777", bad[777][2] + "y")
     bad[778] = (778, "u778", bad[778][2][:0])
     one, two = (archived(spark, r, file_pages=10) for r in (rows, bad))
-    found, counts = warc.compare(one, two, least=512, fanout=4)
-    assert {p for _, _, p, _ in as_set(found)} <= set(range(777, 780))
+    found, counts, moved = warc.compare(one, two, least=512, fanout=4)
+    assert {(p, x) for _, _, p, x in as_set(found)} == {(777, "altered"), (778, "altered")}
+    # What lies behind a record of another length in its file has moved.
+    assert {r.page_id for r in moved.collect()} <= {778, 779}
     assert counts[0] == 1 and max(counts) <= 8 and len(counts) >= 5
-    same, counts = warc.compare(one, one)
+    same, counts, _ = warc.compare(one, one)
     assert as_set(same) == set() and counts == [0]
 
 
@@ -61,14 +65,42 @@ def test_against_a_plain_comparison(spark):
     rows = [(rng.randrange(300), f"u{rng.randrange(5)}", "ab"[i % 2] * rng.randrange(200)) for i in range(500)]
     bad = [(p, u, h if rng.random() < 0.95 else h[1:] + "z") for p, u, h in rows if rng.random() < 0.99]
     one, two = (archived(spark, r, file_pages=30) for r in (rows, bad + [(900, "new", None)]))
-    found, _ = warc.compare(one, two, least=256, fanout=3)
-    a, b = ({(r.file, r.offset): (r.length, r.copies, r.digest, r.page_id) for r in x.collect()} for x in (one, two))
+    found, _, moved = warc.compare(one, two, least=256, fanout=3)
+
+    def by_content(x):
+        return {(r.file, r.page_id, r.digest): (r.offset, r.copies) for r in x.collect()}
+
+    a, b = by_content(one), by_content(two)
+    left = [collections.defaultdict(list), collections.defaultdict(list)]
     want = set()
-    for key in a.keys() | b.keys():
-        if a.get(key) != b.get(key):
-            problem = "missing" if key not in b else "added" if key not in a else "altered"
-            want.add((*key, (a.get(key) or b[key])[3], problem))
+    for mine, other, out in ((a, b, left[0]), (b, a, left[1])):
+        for (file, page, digest), (offset, copies) in mine.items():
+            if (file, page, digest) not in other:
+                out[file, page].append(offset)
+            elif out is left[0] and copies != other[file, page, digest][1]:
+                want.add((file, offset, page, "altered"))
+    for file, page in left[0].keys() | left[1].keys():
+        for x, y in itertools.zip_longest(sorted(left[0][file, page]), sorted(left[1][file, page])):
+            want.add((file, y if x is None else x, page, "missing" if y is None else "added" if x is None else "altered"))
     assert as_set(found) == want and {p for *_, p in want} == {"missing", "added", "altered"}
+    assert {(r.file, r.page_id, r.digest) for r in moved.collect()} == {
+        k for k in a.keys() & b.keys() if a[k][0] != b[k][0]}
+
+
+def test_one_lost_record_is_one_finding(spark):
+    rows = [(i, "u", "x" * (i * 37 % 301)) for i in range(100)]
+    one, two = archived(spark, rows), archived(spark, rows[:40] + rows[41:])
+    found, _, moved = warc.compare(one, two, least=128, fanout=4)
+    assert [(r.page_id, r.problem) for r in found.collect()] == [(40, "missing")]
+    assert sorted(r.page_id for r in moved.collect()) == list(range(41, 100))
+
+
+def test_many_payloads_without_an_id(spark):
+    rows = [(None, "u", f"p{i}") for i in range(300)]
+    records = sorted((r.offset, r.length) for r in archived(spark, rows).collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(records, records[1:])) and len(records) == 300
+    found = warc.compare(archived(spark, rows), archived(spark, rows[:-1])).found
+    assert [r.problem for r in found.collect()] == ["missing"]
 
 
 def test_edges(spark):
