@@ -33,9 +33,9 @@ GENERATIONS = 4
 POPULATION = 4
 #: A worker's memory of words (the binary digits of its slots, of which half are used) and of their parts;
 #: it starts anew when full, which costs time only.
-SLOT_BITS, CACHE_PARTS = 21, 250_000
+SLOT_BITS, CACHE_PARTS = 21, 100_000
 #: Texts are looked up together up to so many characters.
-TOGETHER = 300_000
+TOGETHER = 200_000
 #: Longer words are not remembered: sums over so many characters could be alike by design.
 LONGEST = 255
 #: The bases of two word hashes: odd, so that they have inverses among 64-bit numbers.
@@ -53,7 +53,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class WordHashes:
-    """Two 64-bit hashes of words in a byte array: sums of bytes times powers of a base, shifted back to
+    """Hashes of 64 and 32 bits of words in a byte array: sums of bytes times powers of a base, shifted back to
     where the word begins. One pass of sums serves all words."""
 
     def __init__(self):
@@ -61,7 +61,7 @@ class WordHashes:
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(data) > self.n:
-            self.n = max(len(data), 2 * self.n)
+            self.n = len(data)
             self.tables = [(_powers(b, self.n), _powers(pow(b, -1, 1 << 64), self.n)) for b in BASES]
         out = []
         wide = data.astype(np.uint64) + np.uint64(1)
@@ -70,7 +70,7 @@ class WordHashes:
             # A text begins with a space, so there is a sum before each word.
             h = (sums[ends - 1] - sums[starts - 1]) * inverse[starts]
             out.append(h ^ (h >> np.uint64(29)) * np.uint64(BASES[1]))
-        return out[0], out[1]
+        return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
 
 
 class WordTable:
@@ -78,7 +78,7 @@ class WordTable:
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.one, self.two = (np.zeros(1 << bits, np.uint64) for _ in range(2))
+        self.one, self.two = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint32)
         self.clear()
 
     def clear(self) -> None:
@@ -120,7 +120,7 @@ class WordEncoder:
 
     The tokenizer's own splitting ends a token at any white space and its normalisation does not
     reach across one, so the ids of a text are those of its words in order, and those of a word are
-    those of its parts. Words of Latin-1 texts are found many at a time, by two hashes of 64 bits each.
+    those of its parts. Words of Latin-1 texts are found many at a time, by two hashes of 96 bits together.
     Those not met before are cut into parts, which are learned as one text: the tokenizer's normalisation
     has nothing left to do then, nor has its pattern, and both are left out. Each part ends in an
     end-of-word token, which tells where the ids of the next one begin.
