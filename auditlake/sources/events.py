@@ -1,7 +1,5 @@
 """The stored events as the manifests of committed runs and merges tell them."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
