@@ -135,23 +135,33 @@ def log_files(spark: SparkSession, sf_dir: str, dense: bool = False, copies: int
             .withColumn("key", key))
 
 
-def _write_batches(batches):
-    for pdf in batches:
-        for path, body, plain in zip(pdf["path"], pdf["body"], pdf["plain"]):
+def _write_files(rows):
+    """Write `(path, body, plain)` rows, which come to Python a few at a time; how many."""
+    fs, folders, files = None, set(), 0
+    for path, body, plain in rows:
+        if fs is None:
             fs, at = pafs.FileSystem.from_uri(path)
-            fs.create_dir(posixpath.dirname(at), recursive=True)
-            data = body.encode()
-            with fs.open_output_stream(at, compression=None) as out:
-                out.write(data if plain else gzip.compress(data, 1))
-        yield pdf[["path"]]
+            start = len(path) - len(at)
+        at = path[start:]
+        if (folder := posixpath.dirname(at)) not in folders:
+            fs.create_dir(folder, recursive=True)
+            folders.add(folder)
+        data = body.encode()
+        with fs.open_output_stream(at, compression=None) as out:
+            out.write(data if plain else gzip.compress(data, 1))
+        files += 1
+    yield files
 
 
 def write_log_files(files: DataFrame, root: str) -> int:
-    """Write `(key, body[, plain])` below `root` from the tasks; how many files."""
+    """Write `(key, body[, plain])` below `root` from the tasks; how many files.
+
+    The rows go to Python in pickled batches of a few MB: an Arrow batch would hold 10,000 whole bodies.
+    """
     if "plain" not in files.columns:
         files = files.withColumn("plain", F.lit(False))
     at = files.select(F.concat(F.lit(f"{root}/{BUCKET}/"), "key").alias("path"), "body", "plain")
-    return at.mapInPandas(_write_batches, "path string").count()
+    return at.rdd.mapPartitions(_write_files).sum()
 
 
 def _write_stored(spark: SparkSession, sf_dir: str, root: str, dense: bool) -> None:
