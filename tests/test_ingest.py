@@ -740,3 +740,24 @@ def test_where_a_declarative_stream_stands(spark, tmp_path):
     assert stream_files(spark, state).count() == 13
     held = {r.operator_id: r.state_rows for r in stream_state(spark, state).collect()}
     assert len(held) == 2 and min(held.values()) == 8
+
+
+def test_walk_asks_no_file_of_a_folder_of_files(spark, tmp_path):
+    for i in range(20):
+        put(tmp_path, key(f"2024/01/{i}.json.gz"), log(event(str(i))))
+
+    class Counted:
+        """The files of a folder; how many were asked for."""
+        def __init__(self, found):
+            self.found = found
+
+        def __iter__(self):
+            for s in self.found:
+                asked.append(s)
+                yield s
+
+    asked, walk = [], Walk(spark, TRAIL, options(tmp_path))
+    listed, walk._listed = walk._listed, lambda folder: Counted(listed(folder))
+    assert [f.rsplit("us-east-1/", 1)[1] for f in walk.folders()] == ["2024/01"]
+    # Account, region, year and month, and one of the files.
+    assert len(asked) == 5
