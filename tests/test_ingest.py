@@ -13,7 +13,7 @@ from auditlake import Trail, ingest_batch, merge_hours, requeue_files
 from auditlake.operators import log_objects, loser_bitmaps
 from auditlake.operators import losers as lose
 from auditlake.plans import ingest as plan
-from auditlake.session import create_file
+from auditlake.session import LISTERS, LISTING_TASKS, create_file
 from auditlake.sinks import event_lines, events as sink_events, write_seen
 from auditlake.sources import event_files, known_among, list_objects
 from auditlake.sources.known_ids import narrowed
@@ -742,6 +742,21 @@ def test_where_a_declarative_stream_stands(spark, tmp_path):
     assert len(held) == 2 and min(held.values()) == 8
 
 
+def test_a_few_tasks_list_many_files(spark, tmp_path):
+    for i in range(100):
+        put(tmp_path, key(f"{i}.json.gz"), log(event(str(i))))
+    spark.conf.unset(LISTING_TASKS)
+    tracker, before = spark.sparkContext.statusTracker(), LISTERS * spark.sparkContext.defaultParallelism
+    spark.sparkContext.setJobGroup("few", "few")
+    try:
+        files = list_objects(spark, [TRAIL], options(tmp_path)).select("path", F.lit(0).alias("file_no"))
+        assert plan.opened(spark, files).count() == 100
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("few") for s in tracker.getJobInfo(j).stageIds]
+        assert max(s.numTasks for s in stages if s is not None) <= before < 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_walk_asks_no_file_of_a_folder_of_files(spark, tmp_path):
     for i in range(20):
         put(tmp_path, key(f"2024/01/{i}.json.gz"), log(event(str(i))))
