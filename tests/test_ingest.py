@@ -19,7 +19,7 @@ from auditlake.sources import event_files, known_among, list_objects
 from auditlake.sources.known_ids import narrowed
 from auditlake.sources import (committed_runs, known_layers, read_checkpoints, read_events, read_failed_files,
                                read_metrics, read_seen)
-from auditlake.sources import listing
+from auditlake.sources import events as sources_events, listing
 from auditlake.sources.listing import Walk
 from auditlake.sources.tables import seen_segments
 from auditlake.sinks.tables import Claimed, claimed, compact_seen
@@ -742,6 +742,22 @@ def test_where_a_declarative_stream_stands(spark, tmp_path):
     assert len(held) == 2 and min(held.values()) == 8
 
 
+def test_runs_are_read_by_days_and_a_sink_by_its_log(spark, tmp_path):
+    put(tmp_path, key("1.json.gz"), log(event("a"), event("b", region="r [x]*{1}"), event("c", time="2024-01-03T01:02:03Z"),
+                                        event("d", time="2024-01-03T02:02:03Z"), event("e", account="2%3A")))
+    run(spark, tmp_path)
+    lake = str(tmp_path / "lake")
+    (_, done), = committed_runs(spark, lake)
+    # The two hours of one day are one folder.
+    days = sources_events._day_folders(spark, lake, f"run_id={done}")
+    assert len(days) == 4 and all(d.rsplit("/", 1)[1].startswith("day=") for d in days)
+    assert len(rows(read_events(spark, lake), "value")) == 5
+    stream_write(stream_events(stream_log_files(spark, f"{tmp_path}/b")), f"{lake}2/events/run_id=1", f"{tmp_path}/state2",
+                 once=True).awaitTermination()
+    assert sources_events._day_folders(spark, f"{lake}2", "run_id=1") == ["run_id=1"]
+    assert len(rows(read_events(spark, f"{lake}2", ["1"]), "value")) == 5
+
+
 def test_a_few_tasks_list_many_files(spark, tmp_path):
     for i in range(100):
         put(tmp_path, key(f"{i}.json.gz"), log(event(str(i))))
