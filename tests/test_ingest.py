@@ -13,8 +13,9 @@ from auditlake import Trail, ingest_batch, merge_hours, requeue_files
 from auditlake.operators import log_objects, loser_bitmaps
 from auditlake.operators import losers as lose
 from auditlake.plans import ingest as plan
-from auditlake.session import LISTERS, LISTING_TASKS, create_file
-from auditlake.sinks import event_lines, events as sink_events, write_seen
+from auditlake.schemas import ROUTE
+from auditlake.session import LISTERS, LISTING_TASKS, at_once, create_file
+from auditlake.sinks import event_lines, events as sink_events, write_events, write_seen
 from auditlake.sources import event_files, known_among, list_objects
 from auditlake.sources.known_ids import narrowed
 from auditlake.sources import (committed_runs, known_layers, read_checkpoints, read_events, read_failed_files,
@@ -520,6 +521,41 @@ def test_many_hits_choose_folders_only(spark, tmp_path):
     assert 0 < few.count() < 1000
 
 
+def test_ids_of_many_small_runs_are_merged(spark, tmp_path):
+    """However few runs there were, no run has to open many folders of ids."""
+    lake, behind = str(tmp_path / "lake"), []
+    for i in range(4):
+        put(tmp_path, key(f"{i}.json.gz"), log(event(f"e{i}"), event(f"e{i + 1}")))
+        m = run(spark, tmp_path, id_buckets=4, most_id_folders=8)
+        assert (m["events_written"], m["events_duplicate"]) == ((1, 1) if i else (2, 0))
+        behind.append(len(seen_segments(spark, lake, [r for _, r in committed_runs(spark, lake)])[1]))
+    assert behind == [1, 2, 0, 1]
+
+
+def test_hours_of_few_events_are_written_by_several_tasks(spark, tmp_path):
+    hours = [F.lit(v).alias(c) for c, v in zip(ROUTE[:-1], ("000000000001", "r", "2024", "01", "01"))]
+    events = spark.range(200).select(F.col("id").cast("string").alias("raw"), *hours,
+                                     F.lpad((F.col("id") % 20).cast("string"), 2, "0").alias("hour"))
+    write_events(events, f"{tmp_path}/out", count=200)
+    found = [f for _, _, files in os.walk(f"{tmp_path}/out") for f in files if f.startswith("part-")]
+    # One file an hour, its task in its name.
+    assert len(found) == 20 and len({f[:10] for f in found}) > 2
+    assert spark.read.text(f"{tmp_path}/out").count() == 200
+
+
+def test_steps_at_once(spark):
+    """All have ended when one's failure is raised; they keep the caller's job group."""
+    sc, ended = spark.sparkContext, []
+    sc.setLocalProperty("spark.jobGroup.id", "mine")
+    try:
+        assert at_once(spark, lambda: spark.range(3).count(), lambda: sc.getLocalProperty("spark.jobGroup.id")) == [3, "mine"]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda: 1 / 0, lambda: ended.append(spark.range(2).count()))
+    assert ended == [2]
+
+
 def test_bytes_of_a_run_do_not_grow(spark, tmp_path):
     """Ids and sketches that a run writes are its own, and layers stay few."""
     lake, sizes = str(tmp_path / "lake"), []
