@@ -14,7 +14,8 @@ from auditlake.operators import log_objects, loser_bitmaps
 from auditlake.operators import losers as lose
 from auditlake.plans import ingest as plan
 from auditlake.schemas import ROUTE
-from auditlake.session import LISTERS, LISTING_TASKS, at_once, create_file
+from auditlake.session import (DEFAULT_PARTS, LEAST_STATE_PARTS, LISTERS, LISTING_TASKS, SHUFFLE_PARTS, STATE_PARTS, at_once,
+                               create_file)
 from auditlake.sinks import event_lines, events as sink_events, write_events, write_seen
 from auditlake.sources import event_files, known_among, list_objects
 from auditlake.sources.known_ids import narrowed
@@ -794,6 +795,22 @@ def test_runs_are_read_by_days_and_a_sink_by_its_log(spark, tmp_path):
     assert len(rows(read_events(spark, f"{lake}2", ["1"]), "value")) == 5
 
 
+def test_a_stream_has_few_parts_of_state(spark, tmp_path):
+    put(tmp_path, key("1.json.gz"), log(event("a"), event("a")))
+    before = spark.conf.get(SHUFFLE_PARTS)
+    spark.conf.set(SHUFFLE_PARTS, DEFAULT_PARTS)
+    try:
+        state = f"{tmp_path}/state"
+        events = stream_dedup(stream_events(stream_log_files(spark, f"{tmp_path}/b")))
+        stream_write(events, f"{tmp_path}/lake/events/run_id=1", state, once=True).awaitTermination()
+        assert spark.conf.get(SHUFFLE_PARTS) == DEFAULT_PARTS
+    finally:
+        spark.conf.set(SHUFFLE_PARTS, before)
+    parts = spark.read.format("state-metadata").load(state).select("numPartitions").distinct().collect()
+    assert [r[0] for r in parts] == [max(STATE_PARTS * spark.sparkContext.defaultParallelism, LEAST_STATE_PARTS)]
+    assert read_events(spark, f"{tmp_path}/lake", ["1"]).count() == 1
+
+
 def test_a_few_tasks_list_many_files(spark, tmp_path):
     for i in range(100):
         put(tmp_path, key(f"{i}.json.gz"), log(event(str(i))))
