@@ -29,7 +29,7 @@ from ..operators.numbering import running_number
 from ..operators.records import classify_records
 from ..options import IngestOptions, Trail
 from ..schemas import FAILED_FILE, PAIR
-from ..session import at_once, scratch_folder, stored
+from ..session import at_once, scratch_folder, small_files, stored
 from ..sinks import (claimed, compact_seen, drop_run, write_checkpoints, write_events, write_failed_files, write_layer,
                      write_manifest, write_metrics, write_seen)
 from ..sinks.events import Written
@@ -202,7 +202,7 @@ def commit_run(spark: SparkSession, files: DataFrame, root: str, run_id: str, op
         done = f"{run_id}{ATTEMPT}{uuid.uuid4().hex[:8]}"
         with claimed(spark, root, seq, options.claim_hours) as lease:
             try:
-                with run_progress(spark, done, options.progress_seconds) as progress, scratch_folder(spark, "ingest") as work:
+                with run_progress(spark, done, options.progress_seconds) as progress, scratch_folder(spark, "ingest") as work, small_files(spark):
                     full = _write_run(spark, files, root, done, seq, [r for _, r in runs], options, work, progress)
                 lease.commit(done)
             except BaseException:
@@ -240,15 +240,16 @@ def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_id
              .withColumn("failed", F.coalesce("corrupt", F.lit(True))).drop("corrupt"))
 
     is_new = ~F.col("is_seen")
-    losers, (wanted, named) = at_once(
+    losers, source, (wanted, named) = at_once(
         spark,
         lambda: stored(lose.loser_bitmaps(losing_records(rows, groups)), f"{work}/losers"),
+        lambda: _text_files(files, count, groups, work),
         lambda: groups.agg(F.count_if(F.col("kind").isin(EVENT, UNNAMED) & is_new), F.count_if((F.col("kind") == EVENT) & is_new)).first())
     progress.step("write", events=wanted)
     ids = groups.filter((F.col("kind") == EVENT) & is_new)
     written, *_ = at_once(
         spark,
-        lambda: _write_text(spark, files, read, losers, root, run_id, wanted, options),
+        lambda: _write_text(spark, source, read if source is files else None, losers, root, run_id, wanted, options),
         lambda: write_seen(ids, root, run_id, options.id_buckets),
         lambda: write_layer(layer_of(ids, named, options.bloom_items, options.bloom_fpp), root, run_id) if approx else None,
         lambda: write_checkpoints(_advanced(spark, root, run_ids, tried, options), root, run_id),
@@ -264,18 +265,26 @@ def _write_run(spark, files: DataFrame, root: str, run_id: str, seq: int, run_id
     return len(layers or []) > options.most_sketches or folders > options.most_id_folders
 
 
-def _write_text(spark, files: DataFrame, read: DataFrame, losers: DataFrame, root: str, run_id: str, wanted: int,
+def _text_files(files: DataFrame, count: int, groups: DataFrame, work: str) -> DataFrame:
+    """Those of `count` files that hold an event to be written; `files` itself if these are more than half of them,
+    as files named anew are listed anew."""
+    new = groups.filter(F.col("kind").isin(EVENT, UNNAMED) & ~F.col("is_seen"))
+    first = stored(new.select(F.shiftright("place", 32).alias("file_no")).distinct(), f"{work}/first")
+    return files.join(F.broadcast(first), "file_no", "left_semi") if 2 * first.count() <= count else files
+
+
+def _write_text(spark, files: DataFrame, read: DataFrame | None, losers: DataFrame, root: str, run_id: str, wanted: int,
                 options: IngestOptions) -> Written:
     """The events of a run, `wanted` of them, and their manifest.
 
-    The files are read a second time, now for their text, which goes straight to the sink. Only a run
-    with more losers than may be broadcast does so in several steps.
+    Files with new events are read a second time (as `read`, if all are), now for their text, which goes
+    straight to the sink. Only a run with more losers than may be broadcast does so in several steps.
     """
     events = table_path(root, "events", run_id)
     ranges = lose.scan_ranges(files, losers)
     for i, (first, last) in enumerate(ranges or [(0, 0)]):
         part = files.filter(F.col("file_no").between(first, last))
-        new = new_events(read if len(ranges) < 2 else opened(spark, part), part, losers, options)
+        new = new_events(read if read is not None and len(ranges) < 2 else opened(spark, part), part, losers, options)
         write_events(new, events, options.events_per_file, "append" if i else "overwrite", wanted)
     # A file that the second scan cannot read, or only in part, gives fewer lines and no error.
     written = write_manifest(spark, root, run_id)

@@ -65,6 +65,24 @@ def list_in_few_tasks(spark: SparkSession) -> None:
         spark.conf.set(LISTING_TASKS, most)
 
 
+#: What opening a file counts as while a run is made, in bytes, if the session has Spark's own value.
+OPEN_COST_KEY, DEFAULT_OPEN_COST, OPEN_COST = "spark.sql.files.openCostInBytes", 4 * 1024 * 1024, 1024 * 1024
+
+
+@contextmanager
+def small_files(spark: SparkSession):
+    """In this block up to 128 small files are the work of one task, not 32; as many tasks as cores stay."""
+    before = spark.conf.get(OPEN_COST_KEY)
+    if before not in (str(DEFAULT_OPEN_COST), f"{DEFAULT_OPEN_COST}b"):
+        yield
+        return
+    spark.conf.set(OPEN_COST_KEY, OPEN_COST)
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_COST_KEY, before)
+
+
 #: Parts of a stream's state: for each core, and at least, as a stream that has begun keeps their number.
 STATE_PARTS, LEAST_STATE_PARTS = 4, 48
 SHUFFLE_PARTS, DEFAULT_PARTS = "spark.sql.shuffle.partitions", "200"
@@ -89,6 +107,11 @@ def state_width(spark: SparkSession):
         spark.conf.set(SHUFFLE_PARTS, DEFAULT_PARTS)
 
 
+def java_paths(spark: SparkSession, paths: list[str]):
+    """Paths for a reader of the JVM, sent as one text: a list goes there one path at a time."""
+    return spark._jvm.org.apache.commons.lang3.StringUtils.split("\0".join(paths), "\0")
+
+
 def at_once(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Do steps that need nothing of each other at the same time, in the caller's job group; what they gave.
 

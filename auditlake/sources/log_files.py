@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import decoded
 from ..schemas import LOG_FILE, LOG_SUFFIX
-from ..session import list_in_few_tasks
+from ..session import java_paths, list_in_few_tasks
 
 # U+0001 cannot occur raw in JSON, so a file is one "line" and each record keeps
 # its exact text (other ways of reading re-serialize numbers and escapes).
@@ -32,7 +32,8 @@ def read_log_files(spark: SparkSession, paths) -> DataFrame:
     all, which only shows against the listing.
     """
     list_in_few_tasks(spark)
-    files = spark.read.schema(LOG_FILE).options(**READ_OPTIONS).json(paths)
+    reader = spark.read.schema(LOG_FILE).options(**READ_OPTIONS)
+    files = DataFrame(reader._jreader.json(java_paths(spark, paths)), spark) if isinstance(paths, list) else reader.json(paths)
     return files.select(decoded("_metadata.file_path").alias("path"), "Records", corrupt())
 
 

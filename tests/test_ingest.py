@@ -6,6 +6,7 @@ import os
 import time
 
 import pytest
+from py4j.java_collections import ListConverter
 
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from auditlake.sources import (committed_runs, known_layers, read_checkpoints, r
                                read_metrics, read_seen)
 from auditlake.sources import events as sources_events, listing
 from auditlake.sources.listing import Walk
+from auditlake.sources.log_files import read_log_files
 from auditlake.sources.tables import seen_segments
 from auditlake.sinks.tables import Claimed, claimed, compact_seen
 from auditlake.streaming import objects, stream_checkpoints, stream_files, stream_state
@@ -795,6 +797,36 @@ def test_runs_are_read_by_days_and_a_sink_by_its_log(spark, tmp_path):
     assert len(rows(read_events(spark, f"{lake}2", ["1"]), "value")) == 5
 
 
+def test_files_without_new_events_are_opened_once(spark, tmp_path, monkeypatch):
+    asked, opened = [], plan.opened
+
+    def counted(session, files):
+        asked.append(sorted(r.key.rsplit("/", 1)[1] for r in files.select("key").collect()))
+        return opened(session, files)
+
+    monkeypatch.setattr(plan, "opened", counted)
+    put(tmp_path, key("1.json.gz"), log(event("a"), event("b")))
+    run(spark, tmp_path)
+    # 2 and 3 bring what was written before, 5 a copy of what 4 brings first.
+    for name, ids in (("2", "a"), ("3", "ab"), ("4", "bc"), ("5", "ca")):
+        put(tmp_path, key(f"{name}.json.gz"), log(*[event(i) for i in ids]))
+    run(spark, tmp_path)
+    put(tmp_path, key("6.json.gz"), log(event("c")))
+    run(spark, tmp_path)
+    assert asked == [["1.json.gz"], [f"{i}.json.gz" for i in range(2, 6)], ["4.json.gz"], ["6.json.gz"], []]
+    assert values(spark, tmp_path) == sorted([event("a"), event("b"), event("c")])
+
+
+def test_paths_go_to_the_reader_as_one_text(spark, tmp_path, monkeypatch):
+    names = ["a b.json.gz", "c,d.json.gz", "e\nf.json.gz", "ü%20.json.gz"]
+    paths = [put(tmp_path, key(n), log(event(n))) for n in names]
+    sent, convert = [], ListConverter.convert
+    monkeypatch.setattr(ListConverter, "convert", lambda self, items, client: sent.extend(items) or convert(self, items, client))
+    found = rows(read_log_files(spark, [f"file:{p}" for p in paths]).select("path"), "path")
+    assert len(found) == 4 and not any(str(x).startswith("file:") for x in sent)
+    assert rows(read_log_files(spark, []), "path") == []
+
+
 def test_a_stream_has_few_parts_of_state(spark, tmp_path):
     put(tmp_path, key("1.json.gz"), log(event("a"), event("a")))
     before = spark.conf.get(SHUFFLE_PARTS)
